@@ -1,9 +1,25 @@
-"""Queries of the document operators, and the DuckDB SQL of those that SQL can express."""
+"""Queries of the document operators, and the DuckDB SQL of those that SQL can express.
+
+None has SQL here: tokenizers, classifiers, page trees and the suffix array are out of its reach, and the exact joins on
+word shingles are too slow in it on whole tables. Their tests hold them against brute force.
+"""
 
 from __future__ import annotations
 
+from .decontaminate import op10_decontamination
+from .html_extract import op2_html_text
 from .jaccard_join import op4_jaccard_join
+from .language_id import op6_language_id
+from .packing import op7_packing
+from .quality import op5_quality_rules
+from .repeats import op8_repeat_removal
+from .token_count import op9_token_counts
+from .token_files import op3_token_files
+from .toxicity import op1_toxicity
 
-QUERIES = {f.__name__: f for f in (op4_jaccard_join,)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_toxicity, op2_html_text, op3_token_files, op4_jaccard_join, op5_quality_rules, op6_language_id, op7_packing, op8_repeat_removal, op9_token_counts, op10_decontamination)
+}
 
 SQL: dict[str, str] = {}

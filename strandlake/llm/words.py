@@ -96,6 +96,15 @@ def shingles(w: Words, size: int = 5, lower: bool = True) -> tuple[np.ndarray, n
     return h, doc, at
 
 
+def sequences(w: Words, size: int) -> np.ndarray:
+    """At each word, the hash that shingles() gives a whole text of the ``size`` words from there on."""
+    h, n = w.hashes(True), len(w.start) - size + 1
+    value = np.zeros(n, U64)
+    for k in range(size):
+        value = value * _SHORT + h[k : n + k]
+    return mix(value * _SHORT + U64(size))
+
+
 def shingle_sets(w: Words, size: int = 5, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of all texts, ascending within each text, and the n + 1 offsets of the texts."""
     h, doc, _ = shingles(w, size, lower)
