@@ -49,7 +49,7 @@ def fit(docs: DataFrame, labelled: DataFrame, rows: int, settings: Settings, pri
         if held:
             p = Scorer(model).probabilities([r[1] for r in held])
             right = sorted(float(q.max()) for q, r in zip(p, held, strict=True) if model.labels[int(q.argmax())] == r[2])
-            model.floor = right[len(right) // 200] if right else 0.0
+            model.floor = min(0.5, right[len(right) // 200]) if right else 0.0
         yield pa.RecordBatch.from_arrays([pa.array([model.dumps()], pa.binary())], names=["model"])
 
     got = sample.repartition(1).mapInArrow(run, "model binary").collect()

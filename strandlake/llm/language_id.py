@@ -28,7 +28,8 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """(doc_id, lang_pred, score, rejected) of every row.
 
     lang_pred is the likeliest learned language and score its probability; und and 0 where the text is null or has no
-    letter. rejected: und, or a score under the model's floor, which 99.5 in 100 rightly told calibration texts reach.
+    letter. rejected: und, or a score under the model's floor, which 99.5 in 100 rightly told calibration texts reach
+    and which is no more than a half.
     Repeated rows and null ids each give a row; other columns are ignored; an empty table gives an empty result.
     """
     ddl = "doc_id long,lang_pred string,score double,rejected boolean"

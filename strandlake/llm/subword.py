@@ -148,7 +148,7 @@ def train(texts: list[str], labels: list, s: Settings = Settings()) -> Model:
     share = np.bincount(np.concatenate(docs) if docs else [], minlength=len(words)) / max(1, len(docs))
     weight = s.common / (s.common + share)
     rng = np.random.RandomState(s.seed)
-    embed = (rng.rand(s.buckets, s.dims) - 0.5) / s.dims
+    embed = (rng.rand(s.buckets, s.dims) - 0.5) * 1e-3  # n-grams never trained add next to nothing
     out = (rng.rand(s.dims, len(names)) - 0.5) / s.dims
     bias = np.zeros(len(names))
     squares_e, squares_o, squares_b = np.full(s.buckets, 1e-8), 1e-8, 1e-8
