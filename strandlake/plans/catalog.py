@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import interval_queries
+from . import interval_queries, molecule_queries
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _module in (interval_queries,):
+for _module in (interval_queries, molecule_queries):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL
