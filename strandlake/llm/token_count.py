@@ -6,10 +6,10 @@ leftmost first, is merged again and again; the count is the number of bytes less
 
 from __future__ import annotations
 
-import heapq
 import json
 import re
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import regex
@@ -20,15 +20,22 @@ from .common import documents, record, slices, table, text_buffer
 from .tokens import vocabulary
 
 VOCAB, LIMIT = "byte_bpe_50k.json", 1024
-#: Distinct chunks and pre-tokens whose counts a worker remembers, each; dropped together when full.
-CACHED = 500_000
+#: Distinct pre-tokens whose counts a worker remembers; the half used longest ago goes when there are more.
+CACHED = 700_000
 
 # The vocabulary's published splitting pattern, and Unicode's white space as its matcher has it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Texts of these characters are cut by the same pattern over their own letters, digits and white space.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+_PLAIN = re.compile(f"[\t-\r -~\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7{_LETTERS}\u2010-\u2027\u20ac]*")
+
+
+def _pattern(letters: str, digits: str, space: str) -> str:
+    """PATTERN over the given classes of letters, digits and white space."""
+    return f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^{space}{letters}{digits}]+|[{space}]+(?![^{space}])|[{space}]+"
 
 
-@lru_cache(1)
 def _byte_letters() -> list[str]:
     """The printable letter that stands for each byte in the vocabulary: itself, or the next free one from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -42,73 +49,81 @@ class Counter:
     def __init__(self, vocab: str):
         with open(vocabulary(vocab), encoding="utf-8") as file:
             spec = json.load(file)
-        pairs = spec["model"]["merges"]
-        self.rank = {tuple(p.split(" ")) if isinstance(p, str) else tuple(p): i for i, p in enumerate(pairs)}
+        symbol = {c: b for b, c in enumerate(_byte_letters())}
+        self.rank: dict[int, int] = {}  # of two symbols, left << 20 | right
+        self.made: list[int] = []  # the symbol that the merge of each rank makes
+        for i, pair in enumerate(spec["model"]["merges"]):
+            left, right = pair.split(" ") if isinstance(pair, str) else pair
+            self.rank[symbol[left] << 20 | symbol[right]] = i
+            self.made.append(symbol.setdefault(left + right, len(symbol)))
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.split_special = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
-        self.pattern = regex.compile(PATTERN.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]"))
-        self.chunk = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
-        self.letters = _byte_letters()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.chunks: dict[str, int] = {}
-        self.pretokens: dict[str, int] = {}
+        self.split_special = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) or "(?!)")
+        self.any = regex.compile(_pattern(r"\p{L}", r"\p{N}", SPACE))
+        self.plain = re.compile(_pattern(_LETTERS, "0-9", r"\t-\r "))
+        self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def merged(self, pretoken: str) -> int:
         """Symbols of one pre-token after all merges."""
-        symbols = [self.letters[b] for b in pretoken.encode()]
+        symbols = list(pretoken.encode())
         n = count = len(symbols)
+        get, made = self.rank.get, self.made
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank = self.rank
-        heap = [(r, i, symbols[i], symbols[i + 1]) for i in range(n - 1) if (r := rank.get((symbols[i], symbols[i + 1]))) is not None]
-        heapq.heapify(heap)
+        ranks = [get(a << 20 | b, -1) for a, b in zip(symbols, symbols[1:], strict=False)]  # of the pair that begins here
+        ranks.append(-1)
+        heap = [r << 32 | i for i, r in enumerate(ranks) if r >= 0]
+        heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
-            j = after[i]
-            if symbols[i] != left or j >= n or symbols[j] != right:
+            top = heappop(heap)
+            i, r = top & 0xFFFFFFFF, top >> 32
+            if ranks[i] != r:
                 continue  # one of the two was merged meanwhile
-            symbols[i], symbols[j] = left + right, ""
-            after[i] = k = after[j]
+            j = after[i]
+            k = after[i] = after[j]
+            symbols[i] = new = made[r]
+            ranks[j] = -1
             count -= 1
             if k < n:
                 before[k] = i
-                if (r := rank.get((symbols[i], symbols[k]))) is not None:
-                    heapq.heappush(heap, (r, i, symbols[i], symbols[k]))
+                ranks[i] = r = get(new << 20 | symbols[k], -1)
+                if r >= 0:
+                    heappush(heap, r << 32 | i)
+            else:
+                ranks[i] = -1
             h = before[i]
-            if h >= 0 and (r := rank.get((symbols[h], symbols[i]))) is not None:
-                heapq.heappush(heap, (r, h, symbols[h], symbols[i]))
+            if h >= 0:
+                ranks[h] = r = get(symbols[h] << 20 | new, -1)
+                if r >= 0:
+                    heappush(heap, r << 32 | h)
         return count
 
-    def _chunk(self, chunk: str) -> int:
-        total = 0
-        for p in self.pattern.findall(chunk):
-            if (n := self.pretokens.get(p)) is None:
-                n = self.merged(p)
-                if len(p) <= 64:
-                    self.pretokens[p] = n
-            total += n
-        return total
-
     def _piece(self, text: str) -> int:
-        """A text without special strings. A pre-token never goes past white space, but for one leading space."""
-        known = self.chunks
-        found = self.chunk.findall(text)
-        new = set(found) - known.keys()
-        if len(known) + len(new) > CACHED or len(self.pretokens) > CACHED:
-            self._forget()
-            known, new = self.chunks, set(found)
-        for c in new:
-            known[c] = self._chunk(c)
+        """A text without special strings."""
+        found = (self.plain if _PLAIN.fullmatch(text) else self.any).findall(text)
+        known = self.known
+        if len(known) > CACHED // 2:
+            self.older, self.known = known, {}
+            known = self.known
+        new = [p for p in set(found) if p not in known]
+        older, merged = self.older.get, self.merged
+        for p in new:
+            n = older(p)
+            known[p] = merged(p) if n is None else n
         return sum(map(known.__getitem__, found))
 
     def __call__(self, text: str) -> int:
-        if self.split_special and any(s in text for s in self.special):
+        if any(s in text for s in self.special):
             pieces = self.split_special.split(text)
             return len(pieces) - 1 + sum(map(self._piece, pieces))
         return self._piece(text)
 
 
+@lru_cache(2)
+def counter(vocab: str) -> Counter:
+    """One counter for all tasks that a worker runs."""
+    return Counter(vocab)
+
+
 def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab: str = VOCAB, limit: int = LIMIT) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every row: UTF-8 bytes and tokens of the text, n_tokens > limit.
 
@@ -118,7 +133,7 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ddl = "doc_id long,n_bytes long,n_tokens long"
 
     def run(batches):
-        count = Counter(vocab)
+        count = counter(vocab)
         for batch in slices(batches):
             _, ends = text_buffer(batch.column(1))
             yield record(ddl, batch.column(0), np.diff(ends), [count(t) for t in batch.column(1).to_pylist()])
