@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import dac
 from .common import documents, new_path, record, slices, table
-from .tokens import ChunkEncoder
+from .tokens import encoder
 
 VOCAB, END_ID = "word_bpe_49k.json", 1
 #: Ids after which a segment is closed; a longer document is a segment of its own.
@@ -35,7 +35,7 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     ordered = documents(df, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches):
-        coder, part, before = ChunkEncoder(vocab, end_id), TaskContext.get().partitionId(), 0
+        coder, part, before = encoder(vocab, end_id), TaskContext.get().partitionId(), 0
         ids, sizes, codes, held = [], [], [], 0
 
         def closed():
