@@ -26,7 +26,7 @@ LENGTH, ANCHOR = 400, 64
 #: Segments of one anchor that are compared in one task; those of a larger group go string by string.
 MOST = 1 << 16
 #: Starts that one numpy step works on.
-STARTS = 1 << 21
+STARTS = 1 << 19
 
 _RANDOM = np.random.RandomState(977)
 _BYTE = _RANDOM.randint(0, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
