@@ -21,14 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bloom import Bloom
 from .common import documents, record, slices, stored, table, text_buffer
 from .graph import components
 from .words import U64, mix, shingle_sets, words
 
 #: Counters of the frequency sketch and of its blocks; its size is fixed whatever the corpus holds.
 SKETCH, BLOCK = 1 << 22, 1 << 16
-#: Bits of the filter that names the classes whose sets are needed for verification.
-BLOOM = 1 << 26
 #: Classes that a worker remembers as already emitted; beyond it only more duplicates reach the shuffle.
 REMEMBERED = 1 << 18
 
@@ -207,33 +206,17 @@ def _needed(percent: int):
 def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(cls, tokens): the token set of each class in ``wanted`` (cls), and of a few others.
 
-    Which documents to send is decided where they are read, by a filter of BLOOM bits; its size is fixed.
+    Which documents to send is decided where they are read, by a filter of fixed size.
     """
-
-    def mark(batches):
-        bits = np.zeros(BLOOM // 8, np.uint8)
-        some = False
-        for batch in batches:
-            h = mix(batch.column(0).to_numpy(zero_copy_only=False).view(U64)) & U64(BLOOM - 1)
-            np.bitwise_or.at(bits, (h >> U64(3)).astype(np.int64), np.uint8(1) << (h & U64(7)).astype(np.uint8))
-            some |= batch.num_rows > 0
-        if some:
-            yield record("bits binary", pa.array([zlib.compress(bits.tobytes(), 1)], pa.binary()))
-
-    bits = np.zeros(BLOOM // 8, np.uint8)
-    for row in wanted.coalesce(16).mapInArrow(mark, "bits binary").collect():
-        bits |= np.frombuffer(zlib.decompress(row.bits), np.uint8)
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    hit = Bloom(wanted)
 
     def run(batches):
         once = Once()
         for _, sets in sets_of(batches, size):
             keys = np.array([class_key(s) for s in sets], np.int64)
-            h = mix(keys.view(U64)) & U64(BLOOM - 1)
-            hit = (sent.value[(h >> U64(3)).astype(np.int64)] >> (h & U64(7)).astype(np.uint8)) & 1
-            hit = [i for i in np.flatnonzero(hit) if keys[i] and once(int(keys[i]))]
-            if hit:
-                yield record("cls long,tokens binary", keys[hit], pa.array([sets[i].tobytes() for i in hit], pa.binary()))
+            kept = [i for i in np.flatnonzero(hit.has(keys)) if keys[i] and once(int(keys[i]))]
+            if kept:
+                yield record("cls long,tokens binary", keys[kept], pa.array([sets[i].tobytes() for i in kept], pa.binary()))
 
     return docs.mapInArrow(run, "cls long,tokens binary").dropDuplicates(["cls"])
 
@@ -256,7 +239,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(run, ddl)
 
 
-def links(docs: DataFrame, size: int = 5, percent: int = 80, most: int = 4, dense: int = 32, hubs: int = 3) -> DataFrame:
+def links(docs: DataFrame, size: int = 5, percent: int = 80, most: int = 4, dense: int = 32, hubs: int = 6) -> DataFrame:
     """Links (a, b) between classes that give the same components as all pairs at the threshold."""
     spark = docs.sparkSession
     counts = frequency_sketch(docs, size)
@@ -265,13 +248,14 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80, most: int = 4, dens
     sorted_postings = postings(docs, sent, load, size, percent, most).repartition("token").sortWithinPartitions("token")
     met = stored(meet(sorted_postings, percent, dense), "met")
     crowd = met.where("kind = 1").select(F.col("b").alias("token"), F.col("a").alias("cls"), F.col("na").alias("n"), F.col("ma").alias("m"), "rank")
-    some = crowd.groupBy("cls").agg(F.count(F.lit(1)).alias("crowded"))
-    pairs = met.where("kind = 0").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), *[F.first(c).alias(c) for c in ("na", "nb", "ma", "mb")])
+    counted = met.where("kind = 0").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), *[F.first(c).alias(c) for c in ("na", "nb", "ma", "mb")])
+    counted = stored(counted, "counted")
+    crowded = crowd.groupBy("cls").agg(F.count(F.lit(1)).alias("crowded"))
+    pairs = counted
     for side in "ab":
-        pairs = pairs.join(some.select(F.col("cls").alias(side), F.col("crowded").alias(f"c{side}")), side, "left")
+        pairs = pairs.join(crowded.select(F.col("cls").alias(side), F.col("crowded").alias(f"c{side}")), side, "left")
     near = F.col("k") + F.least(F.coalesce("ca", F.lit(0)), F.coalesce("cb", F.lit(0))) >= _needed(percent)
-    pairs = stored(pairs.where(near).select("a", "b", "k", "na", "nb", "ma", "mb"), "pairs")
-    done = pairs.select("a", "b")
+    done = stored(pairs.where(near).select("a", "b"), "pairs")
     # Dense tokens: their classes meet the few of the highest ranks, then only across the components found.
     ends = _hubs(crowd, hubs)
     stars = crowd.join(ends, "token").select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b"), "n", "hub_n").where(f"a <> b AND 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)").select("a", "b").distinct()
@@ -282,19 +266,47 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80, most: int = 4, dens
     if crowd.isEmpty():
         return found
     label = stored(components(found), "labels")
-    named = crowd.join(label.withColumnRenamed("node", "cls"), "cls", "left").select("token", "cls", "n", "m", F.coalesce("component", "cls").alias("comp"))
-    open_ = named.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    named = stored(named.join(open_, "token"), "named")
-    x = named.select("token", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("comp").alias("compa"))
-    y = named.select("token", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb"), F.col("comp").alias("compb"))
-    cross = x.join(y, "token").where(f"a < b AND compa <> compb AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    cross = cross.groupBy("a", "b").agg(F.count(F.lit(1)).alias("kc"), *[F.first(c).alias(c) for c in ("na", "nb", "ma", "mb")])
-    apart = met.where("kind = 0").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"))
-    cross = cross.join(apart, ["a", "b"], "left").where(F.col("kc") + F.coalesce("k", F.lit(0)) >= _needed(percent)).select("a", "b")
-    cross = cross.join(done.unionAll(stars), ["a", "b"], "left_anti")
+    cross = _across(crowd, counted, label, percent).join(done.unionAll(stars), ["a", "b"], "left_anti")
     return found.unionAll(stored(verified(cross, sets, percent).select("a", "b"), "links"))
 
 
+def _across(crowd: DataFrame, counted: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes in different components that dense tokens can still bring to the threshold.
+
+    The dense tokens of each class are ordered, those of fewer classes first. Of a pair that needs q of them, the first
+    that both have is among all but the last q - 1 of either, so classes meet on those alone, and not at all where one
+    of them has under q. The pair's tokens are then counted from both lists, which are parts of prefixes.
+    """
+    sizes = crowd.groupBy("token").agg(F.count(F.lit(1)).alias("classes"))
+    lists = crowd.join(sizes, "token").groupBy("cls", "n", "m").agg(F.sort_array(F.collect_list(F.struct("classes", "token"))).alias("own"))
+    both = counted.select(F.col("a").alias("cls"), "k").unionAll(counted.select(F.col("b").alias("cls"), "k"))
+    lists = lists.join(both.join(crowd.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.max("k").alias("other")), "cls", "left")
+    lists = lists.join(label.withColumnRenamed("node", "cls"), "cls", "left")
+    lists = lists.select("cls", "n", "m", F.coalesce("other", F.lit(0)).alias("other"), F.coalesce("component", "cls").alias("comp"), F.col("own.token").alias("own"))
+    lists = stored(lists, "dense")
+    each = lists.select("cls", "n", "m", "other", "comp", F.size("own").alias("size"), F.posexplode("own").alias("pos", "token"))
+    held = each.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("classes"))
+    held = held.groupBy("token").agg(F.max(F.struct("classes", "comp"))["comp"].alias("most"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    each = each.join(held.select("token", "most"), "token").withColumn("outside", F.col("comp") != F.col("most"))
+    # A class meets each band of partner sizes apart, so that how many tokens a pair needs is known on either side.
+    each = each.withColumn("band", F.floor(F.log("n") / F.log(F.lit(1.01)) + F.lit(1e-9)).cast("int"))
+    bands = each.groupBy("token", F.col("band").alias("with")).agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.min("m").alias("least_m"))
+    each = each.join(bands, "token").where(f"100 * n >= {percent} * least_n AND 100 * most_n >= {percent} * n")
+    overlap = F.ceil(F.lit(percent) * (F.col("n") + F.col("least_n")) / F.lit(100.0 + percent) - F.lit(1e-9))
+    rest = F.greatest(F.ceil(F.col("n") * percent / F.lit(100.0) - F.lit(1e-9)) - F.col("m"), F.ceil(F.col("most_n") * percent / F.lit(100.0) - F.lit(1e-9)) - F.col("least_m"))
+    least = F.greatest(F.greatest(F.least("m", "least_m"), overlap - rest) - F.col("other"), F.lit(1))
+    each = each.where(F.col("pos") <= F.col("size") - least).withColumn("low", F.least("band", "with")).withColumn("high", F.greatest("band", "with"))
+    x = each.where("outside").select("token", "low", "high", F.col("cls").alias("a"), F.col("comp").alias("compa"))
+    y = each.select("token", "low", "high", F.col("cls").alias("b"), F.col("comp").alias("compb"), "outside")
+    pairs = x.join(y, ["token", "low", "high"]).where("compa <> compb AND (NOT outside OR a < b)")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for side in "ab":
+        pairs = pairs.join(lists.select(*[F.col(c).alias(f"{t}{side}") for c, t in (("cls", ""), ("n", "n"), ("m", "m"), ("other", "o"), ("own", "own"))]), side)
+    needed = F.greatest(_needed(percent) - F.least("oa", "ob"), F.lit(1))
+    sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    return pairs.where(sizes & (F.size(F.array_intersect("owna", "ownb")) >= needed)).select("a", "b")
+
+
 def _hubs(crowd: DataFrame, hubs: int) -> DataFrame:
     """(token, hub, hub_n): up to ``hubs`` classes of each token; the best by rank, and the least by two hashes."""
     picks = [F.max(F.struct("rank", "n", "cls")).alias("h0")]
