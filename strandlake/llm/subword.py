@@ -105,10 +105,11 @@ class Scorer:
     def logits(self, texts: list[str]) -> np.ndarray:
         bags = [distinct_words(t) for t in texts]
         flat = [w for b in bags for w in b]
-        new = set(flat) - self.known.keys()
+        every = set(flat)
+        new = [w for w in every if w not in self.known]
         if len(self.known) + len(new) > CACHED:
             self._forget()
-            new = set(flat)
+            new = list(every)
         if new:
             self._learn(sorted(new))
         at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
