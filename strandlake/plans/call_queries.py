@@ -132,7 +132,7 @@ def f15_duplex_only(s, d):
     return cl.duplex_only(fx.calls(s, d), fx.reads(s, d)).select(*_SITE, "duplex_pass")
 
 
-@query("f17_region_read_filter", _MASK + """, f as (select r.run_id, r.zm, coalesce(sum(least(r.end_pos, m.end_pos) - greatest(r.start_pos, m.start_pos) + 1), 0)::double / max(r.end_pos - r.start_pos + 1) as fraction
+@query("f17_region_read_filter", _MASK + """, f as (select r.run_id, r.zm, coalesce(sum(case when m.seqnames is not null then least(r.end_pos, m.end_pos) - greatest(r.start_pos, m.start_pos) + 1 end), 0)::double / max(r.end_pos - r.start_pos + 1) as fraction
  from fx_read r left join mask m on m.seqnames = r.seqnames and r.start_pos <= m.end_pos and r.end_pos >= m.start_pos group by r.run_id, r.zm, r.strand)
  select r.run_id, r.zm, r.strand from fx_read r join (select run_id, zm from f group by run_id, zm having avg(fraction) < 0.2) g using (run_id, zm)""")
 def f17_region_read_filter(s, d):
