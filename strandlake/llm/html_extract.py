@@ -4,7 +4,7 @@ Pages of one host are taken in small groups. In a group, every page's DOM tree i
 simple tree matching (the largest order-keeping match of equal-labelled nodes, top down). Text that stays the same in
 most pages of the group is the host's template; text in slots that vary is content. What a page marks as navigation,
 footer, advert, notice, form, comment or script by its element or class is left out, and where the page has an article
-or main element, the slots inside it are the content.
+or main element, the slots inside it are the content, less what nearly all pages share.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from .common import record, table
 GROUP, SHARES = 32, 100_000
 #: Of a group's distinct pages, the share with equal text in a slot from which it is template, and the least number.
 CONSTANT, LEAST = 0.5, 3
+#: The same inside an article or main element, where only what nearly all pages share is not the author's.
+CONSTANT_INSIDE, LEAST_INSIDE = 0.9, 8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -59,7 +61,7 @@ class Node:
         self.tag, self.text, self.out = tag, text, out
         self.kids: list[Node] = []
         self.shape = 0
-        self.constant = False
+        self.constant = 0
 
 
 def parse(page: str) -> Node:
@@ -183,7 +185,7 @@ class Shapes:
 
 
 def induce(pages: list[Node]) -> None:
-    """Sets ``constant`` on the text nodes of all pages that belong to the group's template."""
+    """Sets ``constant`` on the text nodes that belong to the group's template: 1, or 2 if nearly all pages share them."""
     if len(pages) < LEAST:
         return
     shapes = Shapes()
@@ -191,7 +193,6 @@ def induce(pages: list[Node]) -> None:
         shapes.name(p)
     reference = pages[0]
     slots: dict[int, list[Node]] = {}
-    kept: list[Node] = []
 
     def walk(a: Node, b: Node) -> None:
         todo = [(a, b)]
@@ -204,8 +205,8 @@ def induce(pages: list[Node]) -> None:
 
     for p in pages[1:]:
         walk(reference, p)
-        kept.append(p)
     need = max(LEAST, CONSTANT * len(pages))
+    nearly_all = max(LEAST_INSIDE, CONSTANT_INSIDE * len(pages))
     for nodes in slots.values():
         if len(nodes) < need:
             continue
@@ -214,7 +215,7 @@ def induce(pages: list[Node]) -> None:
             if n >= need and text:
                 for node in nodes:
                     if node.text.strip() == text:
-                        node.constant = True
+                        node.constant = 2 if n >= nearly_all else 1
 
 
 def _find(node: Node, tags: tuple, into: list) -> list:
@@ -229,23 +230,28 @@ def _find(node: Node, tags: tuple, into: list) -> list:
 
 
 def content(page: Node) -> str:
-    """Blocks of the varying slots in the page's main part, joined by newlines."""
+    """Blocks of the page's main part that hold a varying slot, joined by newlines. A block goes only if all of it is template."""
     parts = _find(page, ("article",), []) or _find(page, ("main",), [])
+    template = 2 if parts else 1
     blocks: list[str] = []
     run: list[str] = []
+    varies = False
 
     def close() -> None:
-        if run:
+        nonlocal varies
+        if varies:
             text = " ".join(html.unescape("".join(run)).split())
             if text:
                 blocks.append(text)
-            run.clear()
+        run.clear()
+        varies = False
 
     def walk(node: Node) -> None:
+        nonlocal varies
         for k in node.kids:
             if k.tag == "":
-                if not k.constant:
-                    run.append(k.text)
+                run.append(k.text)
+                varies = varies or k.constant < template
             elif k.tag == "br":
                 run.append(" ")
             elif k.out:
