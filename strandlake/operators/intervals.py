@@ -55,9 +55,9 @@ def overlaps_any(x: DataFrame, y: DataFrame, keys: Sequence[str] = CONTIG, name:
 
 
 def restrict(x: DataFrame, regions: DataFrame, keys: Sequence[str] = CONTIG, bin_size: int = BIN) -> DataFrame:
-    """Rows of x that overlap a region; duplicates in the regions change nothing."""
+    """Rows of x that overlap a region. Regions aren't merged: an insertion between two that touch is in neither."""
     own = [*keys, S, E]
-    hits = overlap_pairs(x.select(*own).distinct(), merge(regions.select(*own), keys), keys, bin_size).select(*own).distinct()
+    hits = overlap_pairs(x.select(*own).distinct(), regions.select(*own).distinct(), keys, bin_size).select(*own).distinct()
     return x.join(hits, own, "left_semi")
 
 
