@@ -13,8 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 
 U64 = np.uint64
-#: Distinct words whose contributions a worker remembers; dropped together when full.
-CACHED = 300_000
+#: Distinct words whose contributions a worker remembers; dropped together when full. Words cut into n-grams at a time.
+CACHED, STEP = 300_000, 50_000
 
 
 @dataclass(frozen=True)
@@ -136,15 +136,20 @@ def softmax(x: np.ndarray) -> np.ndarray:
 def train(texts: list[str], labels: list, s: Settings = Settings()) -> Model:
     """A model of the given texts; texts are used whole, in a fixed random order."""
     names = sorted(set(labels))
-    bags = [distinct_words(t) for t in texts]
+    bags = [sorted(distinct_words(t)) for t in texts]
     number: dict[str, int] = {}
     for b in bags:
         for w in b:
             number.setdefault(w, len(number))
     words = list(number)
-    bucket, word = ngrams(words, s)
-    first = np.searchsorted(word, np.arange(len(words) + 1))
-    grams = np.diff(first)
+    parts, grams = [], []
+    for at in range(0, len(words), STEP):  # in steps, for n-grams of all words at once take much memory
+        b, w = ngrams(words[at : at + STEP], s)
+        parts.append(b.astype(np.int32))
+        grams.append(np.bincount(w, minlength=len(words[at : at + STEP])))
+    bucket = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    grams = np.concatenate(grams) if grams else np.zeros(0, np.int64)
+    first = np.concatenate(([0], np.cumsum(grams)))
     docs = [np.fromiter((number[w] for w in b), np.int64, len(b)) for b in bags]
     share = np.bincount(np.concatenate(docs) if docs else [], minlength=len(words)) / max(1, len(docs))
     weight = s.common / (s.common + share)
