@@ -115,3 +115,45 @@ def prune_stats(stats: DataFrame, call_types: list[str]) -> DataFrame:
 def assemble(parts: dict[str, DataFrame], tag: str) -> DataFrame:
     """Distinct rows of all parts, tagged with their names."""
     return reduce(DataFrame.unionByName, [df.withColumn(tag, F.lit(name)) for name, df in parts.items()]).distinct()
+
+
+def call_quality(calls: DataFrame, reads: DataFrame, array: str) -> DataFrame:
+    """calls (with start_query, end_query) and the array's values at their bases; for deletions those of both neighbours."""
+    low = F.least("start_query", "end_query")
+    size = F.abs(F.col("end_query") - F.col("start_query")) + 1
+    got = F.slice(array, low.cast("int"), size.cast("int"))
+    return calls.join(reads.select(*K, "strand", array), [*K, "strand"], "left").withColumn(f"call_{array}", got).drop(array)
+
+
+def extract_mdb(reads: DataFrame, score: str, least: float) -> DataFrame:
+    """Modified bases of gapless reads: (run_id, zm, strand, seqnames, start_pos, end_pos, mdb_score) of scores of at least ``least``."""
+    each = reads.select(*K, "strand", "seqnames", S, F.posexplode(score).alias("i", "mdb_score")).where(F.col("mdb_score") >= least)
+    return each.select(*K, "strand", "seqnames", (F.col(S) + F.col("i")).alias(S), (F.col(S) + F.col("i")).alias(E), "mdb_score")
+
+
+def subread_support(calls: DataFrame, coverage_least: float, match_least: float) -> DataFrame:
+    """calls (sa, highest_sa, sm, sx) with subread_pass: coverage sa / highest_sa and matches sm / (sm + sx) reach their limits; nulls fail."""
+    enough = (F.col("sa") / F.col("highest_sa") >= coverage_least) & (F.col("sm") / (F.col("sm") + F.col("sx")) >= match_least)
+    return calls.withColumn("subread_pass", F.coalesce(enough, F.lit(False)))
+
+
+def post_germline_limits(reads: DataFrame, calls: DataFrame, passed: str, most: int) -> DataFrame:
+    """(run_id, zm, pass): at most ``most`` calls on either strand among those that have passed so far."""
+    n = calls.where(passed).groupBy(*K, "strand").agg(F.count(F.lit(1)).alias("n")).groupBy(*K).agg(F.max("n").alias("n"))
+    return reads.select(*K).distinct().join(n, K, "left").select(*K, (F.coalesce("n", F.lit(0)) <= most).alias("pass"))
+
+
+def interrogated(runs: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(call_class, bases): interrogated base pairs of duplex runs for mutations, and both strands' bases for other classes."""
+    total = runs.agg(F.sum(F.col("depth") * (F.col(E) - F.col(S) + 1)).alias("bp"))
+    return kinds.crossJoin(F.broadcast(total)).select("call_class", F.when(F.col("call_class") == "mutation", F.col("bp")).otherwise(2 * F.col("bp")).alias("bases"))
+
+
+def combine_indels(spectra: DataFrame, keys: list[str]) -> DataFrame:
+    """Insertion and deletion channel counts summed over filter groups: (keys, channel, count)."""
+    return spectra.groupBy(*keys, "channel").agg(F.sum("count").alias("count"))
+
+
+def join_list(df: DataFrame, column: str) -> DataFrame:
+    """An array column as a comma-separated string."""
+    return df.withColumn(column, F.array_join(F.col(column).cast("array<string>"), ","))

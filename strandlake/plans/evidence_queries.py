@@ -8,6 +8,7 @@ from ..functions.sequences import reverse_complement
 from ..operators import calls as cl
 from ..operators import evidence as ev
 from ..operators import genome as gn
+from ..operators import intervals as iv
 from . import fixtures as fx
 from .call_queries import _OPP, _SBS, _SITE, _VAR, SITE, _classified, _sbs, _variants
 from .interval_queries import _RUNS
@@ -132,3 +133,44 @@ def g4_vcf_anchor(s, d):
 def e25_assemble(s, d):
     c = fx.calls(s, d)
     return ev.assemble({"sbs": c.where("call_type = 'SBS'").select("seqnames", "start_pos"), "indel": c.where("call_type <> 'SBS'").select("seqnames", "start_pos")}, "analysis")
+
+
+@query("c6_call_quality", "SELECT run_id, zm, strand, call_type, array_to_string(list_transform(generate_series(least(a, b), greatest(a, b)), lambda p: (zm + p) % 94), ',') as call_qual from (select run_id, zm, strand, call_type, 10 + zm % 40 as a, case call_type when 'deletion' then 9 + zm % 40 else 9 + zm % 40 + w end as b from fx_call) t")
+def c6_call_quality(s, d):
+    qual = F.transform(F.sequence(F.lit(1), F.lit(80)), lambda i: ((F.col("zm") + i) % 94).cast("int"))
+    at = 10 + F.col("zm") % 40
+    c = fx.calls(s, d).withColumns({"start_query": at, "end_query": F.when(F.col("call_type") == "deletion", at - 1).otherwise(at - 1 + F.col("w"))})
+    out = ev.call_quality(c, fx.reads(s, d).withColumn("qual", qual), "qual")
+    return ev.join_list(out, "call_qual").select("run_id", "zm", "strand", "call_type", "call_qual")
+
+
+@query("c9_extract_mdb", "SELECT run_id, zm, strand, seqnames, start_pos + i as start_pos, start_pos + i as end_pos, ((zm + i * 7) % 100)::double / 100 as mdb_score from (select *, unnest(generate_series(0, 49)) as i from fx_read) t where ((zm + i * 7) % 100)::double / 100 >= 0.95")
+def c9_extract_mdb(s, d):
+    score = F.transform(F.sequence(F.lit(0), F.lit(49)), lambda i: ((F.col("zm") + i * 7) % 100).cast("double") / 100)
+    return ev.extract_mdb(fx.reads(s, d).withColumn("score", score), "score", 0.95)
+
+
+@query("f14_subread_support", f"SELECT {SITE}, (c.zm % 20)::double / 19 >= 0.8 and case when c.zm % 7 + c.start_pos % 5 = 0 then false else (c.zm % 7)::double / (c.zm % 7 + c.start_pos % 5) >= 0.6 end as subread_pass from fx_call c")
+def f14_subread_support(s, d):
+    z = F.col("zm")
+    c = fx.calls(s, d).withColumns({"sa": z % 20, "highest_sa": F.lit(19), "sm": F.when(z % 7 + F.col("start_pos") % 5 > 0, z % 7), "sx": F.col("start_pos") % 5})
+    return ev.subread_support(c, 0.8, 0.6).select(*_SITE, "subread_pass")
+
+
+@query("f6_post_germline_limits", _MATCH + ", n as (select run_id, zm, max(n) as n from (select run_id, zm, strand, count(*) as n from m where germline_pass group by all) t group by all) select r.run_id, r.zm, coalesce(n, 0) <= 2 as pass from (select distinct run_id, zm from fx_read) r left join n on n.run_id = r.run_id and n.zm = r.zm")
+def f6_post_germline_limits(s, d):
+    m = cl.match_variants(fx.calls(s, d), _variants(s, d), ["seqnames", "start_pos", "end_pos", "call_type", "alt_code"])
+    return ev.post_germline_limits(fx.reads(s, d), m, "germline_pass", 2)
+
+
+@query("g15_interrogated", "b as (select sum(end_pos - start_pos + 1)::bigint as bp from fx_read where strand = '+') select k as call_class, case when k = 'mutation' then bp else 2 * bp end as bases from b, (select unnest(['mutation', 'mismatch-ss', 'mismatch-ds']) as k) t")
+def g15_interrogated(s, d):
+    runs = iv.duplex_coverage(fx.reads(s, d))
+    return ev.interrogated(runs, s.createDataFrame([("mutation",), ("mismatch-ss",), ("mismatch-ds",)], "call_class string"))
+
+
+@query("g12_combine_indels", "SELECT run_id, least(w, 5)::varchar || ':' || call_type as channel, count(*) as count from fx_call where call_type <> 'SBS' group by all")
+def g12_combine_indels(s, d):
+    c = fx.calls(s, d).where("call_type <> 'SBS'").withColumn("channel", F.concat(F.least("w", F.lit(5)).cast("string"), F.lit(":"), F.col("call_type")))
+    per = c.groupBy("run_id", "strand", "channel").agg(F.count(F.lit(1)).alias("count"))
+    return ev.combine_indels(per, ["run_id"])
