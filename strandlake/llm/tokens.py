@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Distinct parts that a worker remembers; the half used longest ago goes when there are more.
-CACHED = 700_000
+CACHED = 400_000
 
 # The vocabulary's published splitting pattern over the letters of _PLAIN, and Unicode's white space.
 _LETTERS = "a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017f"
