@@ -55,15 +55,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Row ranges of the batches whose text column holds about SLICE_BYTES; a longer text is a slice of its own."""
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Row ranges of the batches whose text column holds about ``size`` bytes; a longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, ends = text_buffer(batch.column(batch.schema.get_field_index(column)))
         at = 0
         while at < batch.num_rows:
-            to = int(np.searchsorted(ends, ends[at] + SLICE_BYTES, side="right")) - 1
+            to = int(np.searchsorted(ends, ends[at] + size, side="right")) - 1
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to

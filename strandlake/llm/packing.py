@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, record, slices, stored, table
-from .tokens import encoder
+from .tokens import AT_ONCE, encoder
 
 VOCAB, END_ID, WINDOW = "word_bpe_49k.json", 2, 4096
 #: Windows open at a time in a partition, the smallest gap that a piece is cut for, and partitions merged at a time.
@@ -109,7 +109,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: in
 
     def run(batches):
         coder, packer, part, made = encoder(vocab, end_id), Packer(size, space, worth, _cut), TaskContext.get().partitionId(), 0
-        for batch in slices(batches):
+        for batch in slices(batches, size=AT_ONCE):
             flat, counts = coder.encode(batch.column(1).to_pylist())
             raw, at = memoryview(flat.astype("<u4").tobytes()), 0
             for doc, n in zip(batch.column(0).to_pylist(), counts.tolist(), strict=True):

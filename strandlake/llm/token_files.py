@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import dac
 from .common import documents, new_path, record, slices, table
-from .tokens import encoder
+from .tokens import AT_ONCE, encoder
 
 VOCAB, END_ID = "word_bpe_49k.json", 1
 #: Ids after which a segment is closed; a longer document is a segment of its own.
@@ -46,7 +46,7 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             ids, sizes, codes, held = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _ARROW, strict=True)], schema=_ARROW)
 
-        for batch in slices(batches):
+        for batch in slices(batches, size=AT_ONCE):
             flat, counts = coder.encode(batch.column(1).to_pylist())
             at = 0
             for doc, k in zip(batch.column(0).to_pylist(), counts.tolist(), strict=True):

@@ -16,6 +16,8 @@ import numpy as np
 
 #: Distinct parts that a worker remembers; the half used longest ago goes when there are more.
 CACHED = 400_000
+#: Text bytes encoded at a time; the library's results for new parts take many times their size.
+AT_ONCE = 1 << 19
 
 # The vocabulary's published splitting pattern over the letters of _PLAIN, and Unicode's white space.
 _LETTERS = "a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017f"
