@@ -3,8 +3,9 @@
 Pages of one host are taken in small groups. In a group, every page's DOM tree is aligned with a reference page by
 simple tree matching (the largest order-keeping match of equal-labelled nodes, top down). Text that stays the same in
 most pages of the group is the host's template; text in slots that vary is content. What a page marks as navigation,
-footer, advert, notice, form, comment or script by its element or class is left out, and where the page has an article
-or main element, the slots inside it are the content, less what nearly all pages share.
+footer, advert, notice, form, comment or script by its element or a whole name in its class is left out, unless a form,
+a header or what is marked by name alone holds an article or main element or most of the varying text. Where the page has
+an article or main element, the slots inside it are the content, less what nearly all pages share.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
-_MARKED = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_MARKED = re.compile(r"(?<![\w\-])(class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 # Element names of HTML by their part in this.
@@ -46,24 +47,36 @@ _CLOSES_P = _BLOCK - frozenset("html body head caption tbody td tfoot th thead t
 _SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
 _HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}, "tbody": {"table"}}
 _AROUND = frozenset("nav header footer aside form menu button select input head dialog".split())
-_WORDS = re.compile(
-    r"(?:^|[\s_\-\"'])(?:ad|ads|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|"
+_WRAPS = frozenset("form header".split())
+_WORD = (
+    r"(?:ad|ads|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|"
     r"footer|header|masthead|cookie|cookies|consent|notice|notices|alert|popup|modal|newsletter|subscribe|subscription|signup|login|form|comment|comments|disqus|replies|"
-    r"share|sharing|social|related|recommended|widget|toolbar|skip|copyright|legal|disclaimer|complementary|contentinfo)s?(?:$|[\s_\-\"'])",
-    re.I,
+    r"share|sharing|social|related|recommended|widget|toolbar|skip|copyright|legal|disclaimer|complementary|contentinfo)s?"
 )
+_WORDS = re.compile(rf"{_WORD}(?:[\s_\-]+{_WORD})*", re.I)
+#: An element's mark: out whatever it holds, or out unless it holds the page's main part.
+CERTAIN, NAMED = 1, 2
 
 
 class Node:
     __slots__ = ("tag", "text", "kids", "out", "shape", "constant")
 
-    def __init__(self, tag: str, text: str = "", out: bool = False):
+    def __init__(self, tag: str, text: str = "", out: int = 0):
         self.tag, self.text, self.out = tag, text, out
         self.kids: list[Node] = []
         self.shape = 0
         self.constant = 0
 
 
+def _named(attributes: str) -> bool:
+    """Whether a class, id, role or itemprop has a token made of listed words alone, or a label is made of them."""
+    for name, value in _MARKED.findall(attributes):
+        value = value.strip("\"' \t\r\n")
+        if any(_WORDS.fullmatch(v) for v in ([value] if name.lower() == "aria-label" else value.split())):
+            return True
+    return False
+
+
 def parse(page: str) -> Node:
     """The DOM tree, tolerant of unclosed and stray tags. Text nodes have tag ''; out marks boilerplate elements."""
     root = Node("#")
@@ -103,12 +116,15 @@ def parse(page: str) -> Node:
         node = Node(tag)
         if m[4]:
             rest = m[4]
-            node.out = bool(_HIDDEN.search(rest)) or tag not in ("html", "body", "article", "main") and any(_WORDS.search(v) for v in _MARKED.findall(rest))
+            if _HIDDEN.search(rest):
+                node.out = CERTAIN
+            elif tag not in ("html", "body", "article", "main") and _named(rest):
+                node.out = NAMED
             if rest.endswith("/") and tag not in _BLOCK:
                 stack[-1].kids.append(node)
                 continue
         if tag in _AROUND:
-            node.out = True
+            node.out = node.out or NAMED if tag in _WRAPS else CERTAIN
         stack[-1].kids.append(node)
         if tag not in _VOID:
             stack.append(node)
@@ -218,6 +234,23 @@ def induce(pages: list[Node]) -> None:
                         node.constant = 2 if n >= nearly_all else 1
 
 
+def release(page: Node) -> None:
+    """Unmarks NAMED elements that hold an article or main element, or over half of the varying text outside links."""
+    order: list[tuple[Node, int]] = [(page, -1)]
+    for at, (node, _) in enumerate(order):  # grows on the way: parents before children
+        order += [(k, at) for k in node.kids if k.out != CERTAIN and k.tag != "a"]
+    size, holds = [0] * len(order), [False] * len(order)
+    for at in range(len(order) - 1, 0, -1):
+        node, up = order[at]
+        if node.tag == "" and not node.constant:
+            size[at] = len(node.text.strip())
+        size[up] += size[at]
+        holds[up] |= holds[at] or node.tag in ("article", "main")
+    for at, (node, _) in enumerate(order):
+        if node.out and (holds[at] or 2 * size[at] > size[0]):
+            node.out = 0
+
+
 def _find(node: Node, tags: tuple, into: list) -> list:
     for k in node.kids:
         if k.out:
@@ -277,6 +310,8 @@ def group_texts(pages: list[str]) -> list[str]:
         if p not in trees:
             trees[p] = parse(p)
     induce(list(trees.values()))
+    for t in trees.values():
+        release(t)
     texts = {p: content(t) for p, t in trees.items()}
     return [texts[p] for p in pages]
 

@@ -67,6 +67,16 @@ def test_template_and_boilerplate_go_content_stays(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_wrappers_with_a_listed_word_in_their_name_stay():
+    names = ("content has-sidebar", "no-header", "layout--with-nav", "sidebar", "form")
+    for k, name in enumerate(names):
+        pages = [f"<div class='nav'>n{i}</div><div class='{name}'><article><h1>Head {i}</h1><p>Body {i}</article></div>" for i in range(k % 2 * 2 + 1)]
+        assert html_extract.group_texts(pages) == [f"Head {i}\nBody {i}" for i in range(len(pages))]
+    most = ["<form><div id='widget'><p>" + "long text " * 9 + f"{i}</div><div class='ad banner'>buy {i}</div><div class='comment-form'>c{i}</div><div class=entry-header>Head {i}</div></form>" for i in range(3)]
+    assert html_extract.group_texts(most) == ["long text " * 9 + f"{i}\nHead {i}" for i in range(3)]
+    assert html_extract.group_texts(["<p>text of the page</p><nav><article>card</article></nav><div aria-label='Main menu' class='menu'>m</div><section aria-label='Social policy'>kept</section>"]) == ["text of the page\nkept"]
+
+
 def test_tree_matching_is_the_largest_order_keeping_match():
     shapes = html_extract.Shapes()
     a, b = (html_extract.parse(x) for x in ("<ul><li>1<li>2<li><b>3</b></ul><p>x", "<ul><li><b>0</b><li>2</ul><p>x<p>y"))
