@@ -32,6 +32,23 @@ def context(points: DataFrame, tiles: DataFrame, left: int, right: int, pos: str
     return points.join(joined, ["seqnames", pos], "left")
 
 
+def beside_units(points: DataFrame, contigs: DataFrame, left: int = 10, copies: int = 6, pos: str = "start_pos", width: str = "w") -> DataFrame:
+    """points with ``before``, the ``left`` bases in front of pos, and ``ahead``, copies times width bases from pos on.
+
+    Beyond the contig's ends they are N. The tiles' overlap follows the longest width, so that units of any length have their context.
+    """
+    longest = points.agg(F.max(width)).first()[0] or 0
+    pad = int(max(PAD, left, copies * longest))
+    tile = max(TILE, pad)
+    some = points.select("seqnames", pos, width).distinct().withColumn("tile", F.floor((F.col(pos) - 1) / tile))
+    at = (F.col(pos) - F.col("first") + 1).cast("int")
+    have = F.least(at - 1, F.lit(left))
+    front, ahead = F.substr("seq", at - have, have), F.substr("seq", at, (F.col(width) * copies).cast("int"))
+    j = some.join(tiled(contigs, tile, pad), ["seqnames", "tile"])
+    j = j.select("seqnames", pos, width, F.lpad(front, left, "N").alias("before"), F.rpad(ahead, (F.col(width) * copies).cast("int"), "N").alias("ahead"))
+    return points.join(j, ["seqnames", pos, width], "left")
+
+
 def trinucleotides(points: DataFrame, tiles: DataFrame, pos: str = "start_pos") -> DataFrame:
     """points with reftnc (plus strand) and reftnc_pyr; null past a contig's end or beside an unknown base."""
     out = context(points, tiles, 1, 1, pos, "reftnc")

@@ -80,12 +80,15 @@ def repeat_class(unit: Column, after: Column, most: int = 5) -> Column:
 
 
 def microhomology(unit: Column, before: Column, after: Column, longest: int = 5) -> Column:
-    """Bases that a deleted unit shares with what follows it (from its front) or precedes it (from its back), at most its length less 1."""
+    """Bases that a deleted unit shares with what follows it (from its front) or precedes it (from its back).
+
+    At most its length less 1, but up to ``longest`` for units of that length and more.
+    """
     out = F.lit(0)
     for k in range(1, longest + 1):
         front = F.substr(unit, F.lit(1), F.lit(k)) == F.substr(after, F.lit(1), F.lit(k))
         back = F.right(unit, F.lit(k)) == F.right(before, F.lit(k))
-        out = F.when((F.length(unit) > k) & (front | back), k).otherwise(out)
+        out = F.when((F.length(unit) >= (k if k == longest else k + 1)) & (front | back), k).otherwise(out)
     return out
 
 

@@ -237,6 +237,27 @@ def g7_deletion_repeats(s, d):
     return out.groupBy("run_id", "w", "repeats", "homology").agg(F.count(F.lit(1)).alias("calls"))
 
 
+_AHEAD = """substr(repeat('N', 20) || g.seq || repeat('N', 6 * c.w::int), c.start_pos::int + 10, 10 + 6 * c.w::int)"""
+_REPEATS = "case " + " ".join(f"when starts_with(after, repeat(unit, {k})) then {k}" for k in (5, 4, 3, 2, 1)) + " else 0 end"
+_HOMOLOGY = "case " + " ".join(f"when w >= {min(k + 1, 5)} and (left(unit, {k}) = left(after, {k}) or right(unit, {k}) = right(before, {k})) then {k}" for k in (5, 4, 3, 2, 1)) + " else 0 end"
+
+
+def _deletions(s, d, where: str):
+    """Deletions with ``unit``, ``before`` and ``after``, which holds five more units."""
+    x = gn.beside_units(fx.calls(s, d).where("call_type = 'deletion'").where(where), fx.contigs(s, d))
+    w = F.col("w").cast("int")
+    return x.withColumns({"unit": F.substr("ahead", F.lit(1), w), "after": F.substr("ahead", w + 1, 5 * w)})
+
+
+@query("g7_deletion_repeats_all", f"""dd as (select c.*, {_AHEAD} as x from fx_call c join fx_contig g using (seqnames) where c.call_type = 'deletion' and c.w >= 2),
+ r as (select *, substr(x, 1, 10) as before, substr(x, 11, w::int) as unit, substr(x, 11 + w::int, 5 * w::int) as after from dd)
+ select run_id, w, {_REPEATS} as repeats, {_HOMOLOGY} as homology, count(*) as calls from r group by all""")
+def g7_deletion_repeats_all(s, d):
+    """Deletions of every length from 2 bp on; g7_deletion_repeats has 2 and 3 bp alone, in a context of 20 bases."""
+    out = _deletions(s, d, "w >= 2").select("run_id", "w", sp.repeat_class(F.col("unit"), F.col("after")).alias("repeats"), sp.microhomology(F.col("unit"), F.col("before"), F.col("after")).alias("homology"))
+    return out.groupBy("run_id", "w", "repeats", "homology").agg(F.count(F.lit(1)).alias("calls"))
+
+
 @query("e18_group_quantile", "SELECT l_returnflag, l_linestatus, count(*) as kept, round(q, 6) as q from (select *, quantile_cont(l_extendedprice::double, 0.9) over (partition by l_returnflag, l_linestatus) as q from lineitem) t where l_extendedprice >= q group by l_returnflag, l_linestatus, q")
 def e18_group_quantile(s, d):
     items = s.read.parquet(f"{d}/lineitem.parquet").select("l_returnflag", "l_linestatus", F.col("l_extendedprice").cast("double").alias("v"))
