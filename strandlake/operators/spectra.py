@@ -92,6 +92,37 @@ def microhomology(unit: Column, before: Column, after: Column, longest: int = 5)
     return out
 
 
+def indel_channels(spark: SparkSession, template: bool = False) -> DataFrame:
+    """(channel, ord): the 83 indel channels, or the 107 of the template strand, whose 1-bp ones tell four bases apart."""
+    names = [f"1:{k}:{b}:{n}" for k in ("Del", "Ins") for b in ("CTGA" if template else "CT") for n in range(6)]
+    names += [f"{w}:{k}:R:{n}" for k in ("Del", "Ins") for w in range(2, 6) for n in range(6)]
+    names += [f"{w}:Del:M:{n}" for w in range(2, 6) for n in range(1, 6 if w == 5 else w)]
+    return spark.createDataFrame(list(zip(names, range(len(names)), strict=True)), "channel string, ord int")
+
+
+def indel_channel(indels: DataFrame, template: bool = False) -> DataFrame:
+    """indels (call_type, w, unit, before, after; strand for the template) with their channel; null where the unit has an unknown base.
+
+    unit is what is deleted or inserted, after what follows it, five units long. 1-bp channels name the base on the
+    pyrimidine strand, or on the template strand, which is opposite the read's, and the longer run beside it, up to 5.
+    Others tell the copies that follow, or for deletions without one the microhomology.
+    """
+    unit, before, after = F.col("unit"), F.col("before"), F.col("after")
+    kind = F.when(F.col("call_type") == "deletion", "Del").otherwise("Ins")
+    own = F.col("strand") == "-" if template else unit.isin("C", "T")
+    longest = F.least(F.greatest(run_length(F.reverse(before), unit), run_length(after, unit)), F.lit(5))
+    one = F.concat_ws(":", F.lit("1"), kind, F.when(own, unit).otherwise(reverse_complement(unit)), longest.cast("string"))
+    copies, shared, size = repeat_class(unit, after), microhomology(unit, before, after), F.least(F.col("w"), F.lit(5)).cast("string")
+    more = F.when((kind == "Del") & (copies == 0) & (shared > 0), F.concat_ws(":", size, kind, F.lit("M"), shared.cast("string"))).otherwise(F.concat_ws(":", size, kind, F.lit("R"), copies.cast("string")))
+    return indels.withColumn("channel", F.when(unit.rlike("^[ACGT]+$"), F.when(F.col("w") == 1, one).otherwise(more)))
+
+
+def indel_spectrum(indels: DataFrame, keys: list[str], template: bool = False) -> DataFrame:
+    """(keys, channel, count, fraction) over all indel channels."""
+    some = indel_channel(indels, template).where("channel IS NOT NULL").withColumnRenamed("channel", "c")
+    return count_complete(some, "c", indel_channels(indels.sparkSession, template), keys)
+
+
 def tnc_ratio(observed: DataFrame, reference: DataFrame) -> DataFrame:
     """(tnc, ratio): share of each trinucleotide in observed (tnc, n) over its share in reference."""
     share = lambda d, name: d.crossJoin(F.broadcast(d.agg(F.sum("n").alias("t")))).select("tnc", (F.col("n").cast("double") / F.col("t")).alias(name))

@@ -242,11 +242,15 @@ _REPEATS = "case " + " ".join(f"when starts_with(after, repeat(unit, {k})) then
 _HOMOLOGY = "case " + " ".join(f"when w >= {min(k + 1, 5)} and (left(unit, {k}) = left(after, {k}) or right(unit, {k}) = right(before, {k})) then {k}" for k in (5, 4, 3, 2, 1)) + " else 0 end"
 
 
-def _deletions(s, d, where: str):
-    """Deletions with ``unit``, ``before`` and ``after``, which holds five more units."""
-    x = gn.beside_units(fx.calls(s, d).where("call_type = 'deletion'").where(where), fx.contigs(s, d))
-    w = F.col("w").cast("int")
-    return x.withColumns({"unit": F.substr("ahead", F.lit(1), w), "after": F.substr("ahead", w + 1, 5 * w)})
+def _indels(s, d, where: str):
+    """Indels with ``unit``, ``before`` and ``after``, which holds five more units.
+
+    What is inserted are the next w bases, each alt_code - 1 steps further in ACGT, so alt_code 1 is a duplication.
+    """
+    x = gn.beside_units(fx.calls(s, d).where("call_type <> 'SBS'").where(where), fx.contigs(s, d))
+    w, deleted, next_ = F.col("w").cast("int"), F.col("call_type") == "deletion", F.expr("substr(ahead, 1, int(w))")
+    inserted = F.when(F.col("alt_code") == 1, next_).when(F.col("alt_code") == 2, F.translate(next_, "ACGT", "CGTA")).otherwise(F.translate(next_, "ACGT", "GTAC"))
+    return x.withColumns({"unit": F.when(deleted, next_).otherwise(inserted), "after": F.substr("ahead", F.when(deleted, w + 1).otherwise(1), 5 * w)})
 
 
 @query("g7_deletion_repeats_all", f"""dd as (select c.*, {_AHEAD} as x from fx_call c join fx_contig g using (seqnames) where c.call_type = 'deletion' and c.w >= 2),
@@ -254,10 +258,54 @@ def _deletions(s, d, where: str):
  select run_id, w, {_REPEATS} as repeats, {_HOMOLOGY} as homology, count(*) as calls from r group by all""")
 def g7_deletion_repeats_all(s, d):
     """Deletions of every length from 2 bp on; g7_deletion_repeats has 2 and 3 bp alone, in a context of 20 bases."""
-    out = _deletions(s, d, "w >= 2").select("run_id", "w", sp.repeat_class(F.col("unit"), F.col("after")).alias("repeats"), sp.microhomology(F.col("unit"), F.col("before"), F.col("after")).alias("homology"))
+    out = _indels(s, d, "call_type = 'deletion' AND w >= 2").select("run_id", "w", sp.repeat_class(F.col("unit"), F.col("after")).alias("repeats"), sp.microhomology(F.col("unit"), F.col("before"), F.col("after")).alias("homology"))
     return out.groupBy("run_id", "w", "repeats", "homology").agg(F.count(F.lit(1)).alias("calls"))
 
 
+_RUN = "least(greatest(length(before) - length(rtrim(before, unit)), length(after) - length(ltrim(after, unit))), 5)::varchar"
+_KIND, _BIG = "case when call_type = 'deletion' then 'Del' else 'Ins' end", "least(w, 5)::varchar"
+_INDEL = f"""ix as (select c.*, {_AHEAD} as x from fx_call c join fx_contig g using (seqnames) where c.call_type <> 'SBS'),
+ iu as (select *, substr(x, 1, 10) as before, case when call_type = 'deletion' or alt_code = 1 then substr(x, 11, w::int) when alt_code = 2 then translate(substr(x, 11, w::int), 'ACGT', 'CGTA') else translate(substr(x, 11, w::int), 'ACGT', 'GTAC') end as unit,
+  case when call_type = 'deletion' then substr(x, 11 + w::int, 5 * w::int) else substr(x, 11, 5 * w::int) end as after from ix),
+ ik as (select *, {_REPEATS} as repeats, {_HOMOLOGY} as homology from iu where unit not like '%N%'),
+ ich as (select *, case when w > 1 and call_type = 'deletion' and repeats = 0 and homology > 0 then {_BIG} || ':Del:M:' || homology::varchar when w > 1 then {_BIG} || ':' || {_KIND} || ':R:' || repeats::varchar end as big,
+  case when w = 1 then '1:' || {_KIND} || ':' || case when unit in ('C', 'T') then unit else translate(unit, 'AG', 'TC') end || ':' || {_RUN} end as pyr,
+  case when w = 1 then '1:' || {_KIND} || ':' || case when strand = '-' then unit else translate(unit, 'ACGT', 'TGCA') end || ':' || {_RUN} end as tem from ik)"""
+
+
+def _indel_levels(bases: str) -> str:
+    return f"""one as (select '1:' || k || ':' || b || ':' || n::varchar as channel from (select unnest(['Del','Ins']) as k) x, (select unnest([{bases}]) as b) y, generate_series(0, 5) t(n)),
+ rep as (select z::varchar || ':' || k || ':R:' || n::varchar as channel from generate_series(2, 5) s(z), (select unnest(['Del','Ins']) as k) x, generate_series(0, 5) t(n)),
+ mh as (select z::varchar || ':Del:M:' || n::varchar as channel from generate_series(2, 5) s(z), generate_series(1, 5) t(n) where n < z or z = 5),
+ ilev as (select * from one union all select * from rep union all select * from mh)"""
+
+
+def _indel_spectrum(column: str) -> str:
+    return f"""n as (select run_id, coalesce(big, {column}) as channel, count(*) as n from ich group by all)
+ select k.run_id, ilev.channel, coalesce(n.n, 0) as count, round(coalesce(n.n, 0)::double / tot, 9) as fraction from (select run_id, sum(n) as tot from n group by run_id) k cross join ilev left join n on n.run_id = k.run_id and n.channel = ilev.channel"""
+
+
+@query("g6_insertion_1bp", _INDEL + " select run_id, pyr as channel, count(*) as calls from ich where call_type = 'insertion' and w = 1 group by all")
+def g6_insertion_1bp(s, d):
+    return sp.indel_channel(_indels(s, d, "call_type = 'insertion' AND w = 1")).where("channel IS NOT NULL").groupBy("run_id", "channel").agg(F.count(F.lit(1)).alias("calls"))
+
+
+@query("g9_insertion_repeats", _INDEL + " select run_id, w, repeats, count(*) as calls from ich where call_type = 'insertion' and w >= 2 group by all")
+def g9_insertion_repeats(s, d):
+    x = _indels(s, d, "call_type = 'insertion' AND w >= 2").where("unit RLIKE '^[ACGT]+$'")
+    return x.groupBy("run_id", "w", sp.repeat_class(F.col("unit"), F.col("after")).alias("repeats")).agg(F.count(F.lit(1)).alias("calls"))
+
+
+@query("g11_indel_spectrum", _INDEL + ", " + _indel_levels("'C','T'") + ", " + _indel_spectrum("pyr"))
+def g11_indel_spectrum(s, d):
+    return sp.indel_spectrum(_indels(s, d, "true"), ["run_id"]).withColumn("fraction", F.round("fraction", 9))
+
+
+@query("g11_indel_template", _INDEL + ", " + _indel_levels("'C','T','G','A'") + ", " + _indel_spectrum("tem"))
+def g11_indel_template(s, d):
+    return sp.indel_spectrum(_indels(s, d, "true"), ["run_id"], template=True).withColumn("fraction", F.round("fraction", 9))
+
+
 @query("e18_group_quantile", "SELECT l_returnflag, l_linestatus, count(*) as kept, round(q, 6) as q from (select *, quantile_cont(l_extendedprice::double, 0.9) over (partition by l_returnflag, l_linestatus) as q from lineitem) t where l_extendedprice >= q group by l_returnflag, l_linestatus, q")
 def e18_group_quantile(s, d):
     items = s.read.parquet(f"{d}/lineitem.parquet").select("l_returnflag", "l_linestatus", F.col("l_extendedprice").cast("double").alias("v"))

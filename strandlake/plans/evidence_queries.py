@@ -9,8 +9,9 @@ from ..operators import calls as cl
 from ..operators import evidence as ev
 from ..operators import genome as gn
 from ..operators import intervals as iv
+from ..operators import spectra as sp
 from . import fixtures as fx
-from .call_queries import _OPP, _SBS, _SITE, _VAR, SITE, _classified, _sbs, _variants
+from .call_queries import _INDEL, _OPP, _SBS, _SITE, _VAR, SITE, _classified, _indels, _sbs, _variants
 from .interval_queries import _RUNS
 from .molecule_queries import _AT, _RC
 
@@ -174,3 +175,10 @@ def g12_combine_indels(s, d):
     c = fx.calls(s, d).where("call_type <> 'SBS'").withColumn("channel", F.concat(F.least("w", F.lit(5)).cast("string"), F.lit(":"), F.col("call_type")))
     per = c.groupBy("run_id", "strand", "channel").agg(F.count(F.lit(1)).alias("count"))
     return ev.combine_indels(per, ["run_id"])
+
+
+@query("g12_combine_indel_spectra", _INDEL + " select run_id, coalesce(big, pyr) as channel, count(*) as count from ich group by all")
+def g12_combine_indel_spectra(s, d):
+    """The indel channels of both strands, as filter groups, summed."""
+    per = sp.indel_spectrum(_indels(s, d, "true"), ["run_id", "strand"])
+    return ev.combine_indels(per, ["run_id"]).where("count > 0")
