@@ -14,6 +14,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,9 +74,13 @@ class HammingIndex:
 
 
 class Items:
-    """Benchmark items (id, text): their shingle bags, weights, fingerprints and index. Wordless items match nothing."""
+    """Benchmark items (id, text): their shingle bags, weights, fingerprints and index. Wordless items match nothing.
 
-    def __init__(self, items: list[tuple[int, str]], size: int = SIZE, radius: int = RADIUS):
+    Where these are a block of a larger benchmark, whole tells about all of it: the number of its items with words, its
+    shingles of more than one item in order, and of how many.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], size: int = SIZE, radius: int = RADIUS, whole: tuple[int, np.ndarray, np.ndarray] | None = None):
         raw = [t.encode() for _, t in items]
         ends = np.concatenate(([0], np.cumsum([len(r) for r in raw], dtype=np.int64)))
         w = words(np.frombuffer(b"".join(raw), np.uint8), ends)
@@ -86,9 +91,10 @@ class Items:
         self.words = np.array([int(count[i]) for i in used], np.int64)
         self.bags = [set(h[doc == i].tolist()) for i in used] if len(used) < 64 else self._bags(h, doc, used)
         shared = Counter(t for b in self.bags for t in b)
-        n = len(self.bags)
-        self.weight = {t: math.log1p(n / k) for t, k in shared.items()}
+        self.whole = whole or (len(self.bags), np.zeros(0, U64), np.zeros(0, np.int64))
+        n = self.whole[0]
         self.other = math.log1p(n)
+        self.weight = {t: self._whole_weight(t) for t in shared} if whole else {t: math.log1p(n / k) for t, k in shared.items()}
         self.totals = [sum(self.weight[t] for t in b) for b in self.bags]
         self.of: dict[int, list[int]] = defaultdict(list)
         for i, b in enumerate(self.bags):
@@ -106,6 +112,16 @@ class Items:
         cuts = np.searchsorted(doc, np.arange((used[-1] if used else 0) + 2))
         return [set(h[cuts[i] : cuts[i + 1]].tolist()) for i in used]
 
+    def _whole_weight(self, t: int) -> float:
+        n, known, count = self.whole
+        at = int(np.searchsorted(known, U64(t)))
+        return math.log1p(n / int(count[at])) if at < len(known) and int(known[at]) == t else self.other
+
+    def weigh(self, t: int) -> float:
+        """The weight of any shingle; one that no item has weighs as one of a single item."""
+        w = self.weight.get(t)
+        return w if w is not None else self._whole_weight(t) if len(self.whole[1]) else self.other
+
     def hits(self, h: np.ndarray) -> np.ndarray:
         maybe = np.flatnonzero(self.filter[(h & U64(_FILTER - 1)).astype(np.int64)])
         return np.array([i for i in maybe if int(h[i]) in self.of], np.int64)
@@ -114,7 +130,7 @@ class Items:
         """Weighted Jaccard similarity; 1 for equal bags."""
         bag = self.bags[item]
         both = sum(self.weight[t] for t in bag & window)
-        return both / (self.totals[item] + sum(self.weight.get(t, self.other) for t in window - bag))
+        return both / (self.totals[item] + sum(self.weigh(t) for t in window - bag))
 
 
 def matches(items: Items, h: np.ndarray, size: int, percent: int) -> dict[int, tuple[float, int]]:
@@ -130,7 +146,7 @@ def matches(items: Items, h: np.ndarray, size: int, percent: int) -> dict[int, t
         low = int(at[0])
         part = h[low : int(at[-1]) + k]
         # A window is a set: what it holds twice counts once, so sums over runs of windows leave repeats to the exact bag.
-        weights = np.array([items.weight.get(t, items.other) for t in part.tolist()])
+        weights = np.array([items.weigh(t) for t in part.tolist()])
         sums = np.concatenate((np.zeros((1, 64)), np.cumsum(weights[:, None] * _signs(part), axis=0)))
         diff = sums[at - low + k] - sums[at - low]
         if len(set(part.tolist())) < len(part):
@@ -149,6 +165,26 @@ def matches(items: Items, h: np.ndarray, size: int, percent: int) -> dict[int, t
     return best
 
 
+def _whole(items: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """What Items asks about the whole benchmark. It takes 16 bytes for each shingle that several items have."""
+
+    def count(batches):
+        for part in slices(batches):
+            w = words(*text_buffer(part.column(1)))
+            h, doc, _ = shingles(w, SIZE)
+            each = np.unique(np.stack([doc.astype(np.int64), h.view(np.int64)]), axis=1)
+            found, k = np.unique(each[1], return_counts=True)
+            used = int((np.diff(w.first) > 0).sum())
+            yield pa.RecordBatch.from_arrays([pa.array([None, *found.tolist()], pa.int64()), pa.array([used, *k.tolist()], pa.int64())], names=["t", "k"])
+
+    got = items.where("item_id IS NOT NULL").mapInArrow(count, "t long, k long").groupBy("t").agg(F.sum("k").alias("k")).where("t IS NULL OR k > 1").toArrow()
+    total = sum(k for t, k in zip(got["t"].to_pylist(), got["k"].to_pylist(), strict=True) if t is None) if got["t"].null_count else 0
+    got = got.filter(got["t"].is_valid())
+    known, k = got["t"].to_numpy().view(U64), got["k"].to_numpy()
+    order = np.argsort(known)
+    return total, known[order], k[order]
+
+
 def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, radius: int = RADIUS, held: int = HELD) -> DataFrame:
     """(doc_id, item_id, similarity, start_word): each document and benchmark item (item_id, text) that it holds.
 
@@ -156,7 +192,8 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     percent / 100 or more; the best window is told, the first of equals. Words are lower-cased (A-Z) runs of non-space
     bytes. Items of under five words are held where exactly their words follow one another. Null, empty and wordless
     texts and items match nothing. Repeated rows give a row each, repeated items one for each item_id; other columns
-    are ignored; an empty table on either side gives an empty result.
+    are ignored; an empty table on either side gives an empty result. Items with a null item_id are left out. Blocks of a
+    large benchmark weigh shingles by the whole of it, so the result doesn't depend on ``held``.
     """
     spark = df.sparkSession
     docs = documents(df, id_col, text_col)
@@ -164,13 +201,14 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     total = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     blocks = -(-total // (held * 6)) or 1  # about six bytes a word
     ddl = "doc_id long,item_id long,similarity double,start_word long"
+    whole = spark.sparkContext.broadcast(_whole(items) if blocks > 1 else None)
     out = None
     for block in range(blocks):
         own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         sent = spark.sparkContext.broadcast(sorted(tuple(r) for r in own.collect() if r.item_id is not None))  # a block's texts are bounded by ``held``
 
         def run(batches, sent=sent):
-            index = Items(sent.value, SIZE, radius)
+            index = Items(sent.value, SIZE, radius, whole.value)
             if not index.ids:
                 return
             for part in slices(batches):

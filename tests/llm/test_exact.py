@@ -198,6 +198,37 @@ def test_held_items_are_found(spark, docs, item, nothing):
     assert decontaminate.contaminated(nothing, bench).count() == 0 and decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_blocks_of_a_benchmark_weigh_by_the_whole_of_it(spark):
+    """Against all item-sized windows, scored exactly; items share passages, and texts are near the limit."""
+    rng = np.random.RandomState(11)
+    word = lambda: f"w{rng.randint(10**6)}"
+    shared = [[word() for _ in range(14)] for _ in range(3)]
+    items = [shared[i % 3] + [word() for _ in range(12 + i % 9)] for i in range(24)]
+    texts = []
+    for i, it in enumerate(items):
+        for cut in range(0, 9, 2):
+            other = items[(i + 7) % 24][14 - cut : 14] if i % 2 else [word() for _ in range(cut)]
+            texts.append([word() for _ in range(6)] + it[: len(it) - cut] + other + [word() for _ in range(6)])
+            texts.append([word() for _ in range(3)] + it[cut:] + shared[(i + 1) % 3][:cut])
+    bag = lambda w: {tuple(w[p : p + 5]) for p in range(len(w) - 4)}
+    count = {}
+    for it in items:
+        for t in bag(it):
+            count[t] = count.get(t, 0) + 1
+    weight = lambda bags: sum(np.log1p(len(items) / count.get(t, 1)) for t in bags)
+    want = {}
+    for d, text in enumerate(texts):
+        for i, it in enumerate(items):
+            best = max(weight(b & bag(it)) / weight(b | bag(it)) for b in (bag(text[p : p + len(it)]) for p in range(max(1, len(text) - len(it) + 1))))
+            if best >= 0.8 - 1e-11:
+                want[d, i] = pytest.approx(best)
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)] + [(None, " ".join(items[0])), (99, " ")], "item_id long, text string")
+    assert 24 < len(want) < 24 * 10
+    for held in (decontaminate.HELD, 200):
+        assert {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(docs, bench, held=held).collect()} == want
+
+
 def test_near_fingerprints_are_all_found():
     rng = np.random.RandomState(2)
     entries = rng.randint(0, 2**62, 300, dtype=np.int64).astype(np.uint64)
