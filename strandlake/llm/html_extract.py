@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections import Counter
 
 import pyarrow as pa
@@ -22,6 +23,8 @@ from .common import record, table
 
 #: Pages aligned with one reference, and the largest share of all pages that one (host, salt) may hold, as 1 / SHARES.
 GROUP, SHARES = 32, 100_000
+#: Groups of distinct pages that a salt of a large host has at least on average, and copies of a page that it makes up for.
+DEALT, COPIES = 2, 16
 #: Of a group's distinct pages, the share with equal text in a slot from which it is template, and the least number.
 CONSTANT, LEAST = 0.5, 3
 #: The same inside an article or main element, where only what nearly all pages share is not the author's.
@@ -316,6 +319,26 @@ def group_texts(pages: list[str]) -> list[str]:
     return [texts[p] for p in pages]
 
 
+def cut(pages: list[str], last: bool) -> list[int]:
+    """Ends of the groups that can be cut from pages, equal ones side by side; if these are the last, the ends of all.
+
+    A group has GROUP distinct pages; the last up to half as many more, or two share the rest. So if there are half of
+    GROUP, no group has less.
+    """
+    starts = [i for i, p in enumerate(pages) if not i or p != pages[i - 1]]
+    sizes, left = [], len(starts)
+    while left > 2 * GROUP:
+        sizes.append(GROUP)
+        left -= GROUP
+    if last and left:
+        sizes += [left] if left <= GROUP + GROUP // 2 else [left - left // 2, left // 2]
+    ends, at = [], 0
+    for n in sizes:
+        at += n
+        ends.append(starts[at] if at < len(starts) else len(pages))
+    return ends
+
+
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every row; text is empty for null, empty or content-free pages.
 
@@ -328,39 +351,51 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
         F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)).alias("host"),
     )
-    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    total = hosts.agg(F.sum("n")).first()[0] or 0
-    most = max(GROUP, total // SHARES)
-    salts = {r.host: -(-r.n // most) for r in hosts.where(F.col("n") > most).collect()}  # at most SHARES hosts
+    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("html")).alias("distinct"))
+    total = pages.count()
+    most = max(DEALT * GROUP, total // SHARES)
+    salts = {r.host: max(1, min(r.distinct, r.n) // most, r.n // (most * COPIES)) for r in hosts.where(F.col("n") > most).collect()}  # at most SHARES hosts
     sent = df.sparkSession.sparkContext.broadcast(salts)
 
     def salt(batches):
         for batch in batches:
-            ids, hosts = batch.column(0).to_pylist(), batch.column(3).to_pylist()
-            drawn = [((i or 0) * 0x9E3779B1 >> 7) % sent.value.get(h, 1) for i, h in zip(ids, hosts, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(drawn, pa.int64())], names=["page_id", "url", "html", "host", "salt"])
+            ids, urls, hosts, mixed = (batch.column(k).to_pylist() for k in (0, 1, 3, 4))
+            drawn = [zlib.crc32(f"{i} {u} {m}".encode("utf-8", "replace")) % n if (n := sent.value.get(h, 1)) > 1 else 0 for i, u, h, m in zip(ids, urls, hosts, mixed, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(drawn, pa.int64())], names=["page_id", "url", "html", "host", "mixed", "salt"])
 
     ddl = "page_id long,url string,text string,n_chars long"
 
     def run(batches):
-        group: list[tuple] = []
+        held: list[tuple] = []
+        distinct, key = 0, None
 
-        def flush():
-            texts = group_texts([g[2] for g in group])
-            out = record(ddl, [g[0] for g in group], [g[1] for g in group], texts, [len(t) for t in texts])
-            group.clear()
-            return out
+        def flush(last):
+            begin = 0
+            for end in cut([g[2] for g in held], last):
+                group, begin = held[begin:end], end
+                texts = group_texts([g[2] for g in group])
+                yield record(ddl, [g[0] for g in group], [g[1] for g in group], texts, [len(t) for t in texts])
+            del held[:begin]
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group and (len(group) >= GROUP or group[-1][3:] != row[3:]):
-                    yield flush()
-                group.append(row)
-        if group:
-            yield flush()
-
-    dealt = pages.mapInArrow(salt, "page_id long,url string,html string,host string,salt long").repartition("host", "salt")
-    return dealt.sortWithinPartitions("host", "salt", "page_id", "html").mapInArrow(run, ddl)
+            for i, url, page, host, _, drawn in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and key != (host, drawn):
+                    yield from flush(True)
+                    distinct = 0
+                key = host, drawn
+                if held and held[-1][2] == page:
+                    page = held[-1][2]  # copies are held once
+                else:
+                    distinct += 1
+                    if distinct > 3 * GROUP:
+                        yield from flush(False)
+                        distinct = 1 + sum(a[2] != b[2] for a, b in zip(held, held[1:])) + 1
+                held.append((i, url, page))
+        yield from flush(True)
+
+    mixed = pages.withColumn("mixed", F.xxhash64("html"))  # copies are side by side, others in no order of their own
+    dealt = mixed.mapInArrow(salt, "page_id long,url string,html string,host string,mixed long,salt long").repartition("host", "salt")
+    return dealt.sortWithinPartitions("host", "salt", "mixed", "html", "page_id").mapInArrow(run, ddl)
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

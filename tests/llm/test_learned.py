@@ -77,6 +77,20 @@ def test_wrappers_with_a_listed_word_in_their_name_stay():
     assert html_extract.group_texts(["<p>text of the page</p><nav><article>card</article></nav><div aria-label='Main menu' class='menu'>m</div><section aria-label='Social policy'>kept</section>"]) == ["text of the page\nkept"]
 
 
+def test_groups_of_a_host_are_at_least_half_full(spark):
+    for n in (0, 1, 15, 16, 33, 48, 49, 64, 65, 96, 97, 200):
+        pages = [f"{k}" for k in range(n) for _ in range(1 + k % 3)]
+        ends = html_extract.cut(pages, True)
+        sizes = [len(set(pages[a:b])) for a, b in zip([0, *ends], ends)]
+        assert sum(sizes) == n and all(16 <= s <= 48 for s in sizes if n >= 16) and (not ends or ends[-1] == len(pages))
+        assert not {x for a, b in zip(ends, ends[1:]) for x in (set(pages[:a]) & set(pages[a:b]))}
+    rows = [(k if k % 5 else None, f"http://big.test/{k}", page(k, f"<article><p>Body {k}</p><p>Follow us</p></article>")) for k in range(1500)]
+    rows += [(2000 + k, "http://big.test/same", rows[7][2]) for k in range(700)]
+    rows += [(3000 + k, "http://small.test/", page(k, f"<article><p>Body {k}</p><p>Follow us</p></article>")) for k in range(33 + 1)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows) and {r.text for r in got} == {f"Body {k}" for k in range(1500)}
+
+
 def test_tree_matching_is_the_largest_order_keeping_match():
     shapes = html_extract.Shapes()
     a, b = (html_extract.parse(x) for x in ("<ul><li>1<li>2<li><b>3</b></ul><p>x", "<ul><li><b>0</b><li>2</ul><p>x<p>y"))
