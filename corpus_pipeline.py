@@ -9,17 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import stored, table
-from strandlake.llm.decontaminate import contaminated
+from strandlake.llm.decontaminate import uncontaminated
 from strandlake.llm.jaccard_join import keep_one
-from strandlake.llm.language_id import fit_language, identify
+from strandlake.llm.language_id import fit_language, recognized
 from strandlake.llm.packing import pack
 from strandlake.llm.repeats import with_text_kept
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language model doesn't reject; it learns from the langs of the stage's own input."""
-    rejected = identify(docs, fit_language(docs)).where("rejected").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    return recognized(docs, fit_language(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +33,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    held = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(held, "doc_id", "left_anti").select(*docs.columns)
+    return uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,10 +29,11 @@ def sampled(labelled: DataFrame, rows: int) -> tuple[DataFrame, dict]:
     return labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < rate), counts
 
 
-def fit(docs: DataFrame, labelled: DataFrame, rows: int, settings: Settings, prior: bool) -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, rows: int, settings: Settings, prior: bool) -> Model | None:
     """Trains on a sample of the labelled documents' whole texts, in one task; a fifth is held back to calibrate.
 
-    ``rows`` bounds the sample. With ``prior``, scores follow the labels' true shares instead of the sample's.
+    ``rows`` bounds the sample. With ``prior``, scores follow the labels' true shares instead of the sample's. None if
+    there is no labelled document to learn from.
     """
     chosen, counts = sampled(labelled, rows)
     sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("label").cast("string"))  # at most about ``rows`` rows
@@ -53,17 +54,18 @@ def fit(docs: DataFrame, labelled: DataFrame, rows: int, settings: Settings, pri
         yield pa.RecordBatch.from_arrays([pa.array([model.dumps()], pa.binary())], names=["model"])
 
     got = sample.repartition(1).mapInArrow(run, "model binary").collect()
-    if not got:
-        raise ValueError("no labelled document to learn from")
-    return pickle.loads(got[0].model)
+    return pickle.loads(got[0].model) if got else None
 
 
-def scored(docs: DataFrame, model: Model, ddl: str, row) -> DataFrame:
-    """docs (doc_id, text) through row(ids, texts, scorer), which gives one record batch of the columns in ddl."""
-    sent = docs.sparkSession.sparkContext.broadcast(model.dumps())
+def scored(docs: DataFrame, model: Model | None, ddl: str, row) -> DataFrame:
+    """docs (doc_id, text) through row(ids, texts, scorer), which gives one record batch of the columns in ddl.
+
+    The scorer is None where there is no model.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model and model.dumps())
 
     def run(batches):
-        scorer = Scorer(pickle.loads(sent.value))
+        scorer = sent.value and Scorer(pickle.loads(sent.value))
         for part in slices(batches):
             yield row(part.column(0), part.column(1).to_pylist(), scorer)
 

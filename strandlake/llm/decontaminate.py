@@ -195,44 +195,76 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     are ignored; an empty table on either side gives an empty result. Items with a null item_id are left out. Blocks of a
     large benchmark weigh shingles by the whole of it, so the result doesn't depend on ``held``.
     """
-    spark = df.sparkSession
     docs = documents(df, id_col, text_col)
-    items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    total = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    blocks = -(-total // (held * 6)) or 1  # about six bytes a word
     ddl = "doc_id long,item_id long,similarity double,start_word long"
-    whole = spark.sparkContext.broadcast(_whole(items) if blocks > 1 else None)
     out = None
-    for block in range(blocks):
-        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        sent = spark.sparkContext.broadcast(sorted(tuple(r) for r in own.collect() if r.item_id is not None))  # a block's texts are bounded by ``held``
+    for items in _blocks(benchmark, radius, held):
 
-        def run(batches, sent=sent):
-            index = Items(sent.value, SIZE, radius, whole.value)
+        def run(batches, items=items):
+            index = items()
             if not index.ids:
                 return
             for part in slices(batches):
-                w = words(*text_buffer(part.column(1)))
-                found: list[tuple] = []
-                ids, count = part.column(0).to_pylist(), np.diff(w.first)
-                h, doc, _ = shingles(w, SIZE)
-                hit = np.unique(doc[index.hits(h)])
-                low, high = np.searchsorted(doc, hit), np.searchsorted(doc, hit, side="right")
-                for d, a, b in zip(hit.tolist(), low.tolist(), high.tolist(), strict=True):
-                    for i, (sim, start) in matches(index, h[a:b], SIZE, percent).items():
-                        if index.words[i] >= SIZE or count[d] < SIZE:
-                            found.append((ids[d], index.ids[i], sim, start))
-                for k in index.short:
-                    found += _short(index, w, ids, k)
+                found = _found(index, part.column(1), percent)
                 if found:
-                    yield record(ddl, *map(list, zip(*found, strict=True)))
+                    rows, *rest = map(list, zip(*found, strict=True))
+                    yield record(ddl, part.column(0).take(pa.array(rows, pa.int64())), *rest)
 
         more = docs.mapInArrow(run, ddl)
         out = more if out is None else out.unionAll(more)
     return out
 
 
-def _short(index: Items, w, ids: list, k: int) -> list[tuple]:
+def uncontaminated(df: DataFrame, benchmark: DataFrame, text_col: str = "text", percent: int = PERCENT, radius: int = RADIUS, held: int = HELD) -> DataFrame:
+    """The rows of df that hold no benchmark item, with all columns; each row is judged by its own text, whatever its id."""
+    for items in _blocks(benchmark, radius, held):
+
+        def run(batches, items=items):
+            index = items()
+            for part in slices(batches, text_col):
+                keep = np.ones(part.num_rows, bool)
+                if index.ids:
+                    keep[[f[0] for f in _found(index, part.column(text_col), percent)]] = False
+                yield part.filter(pa.array(keep))
+
+        df = df.mapInArrow(run, df.schema)
+    return df
+
+
+def _blocks(benchmark: DataFrame, radius: int, held: int) -> list:
+    """For each block of the benchmark a function that gives its Items on an executor."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    total = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    blocks = -(-total // (held * 6)) or 1  # about six bytes a word
+    whole = spark.sparkContext.broadcast(_whole(items) if blocks > 1 else None)
+    out = []
+    for block in range(blocks):
+        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        sent = spark.sparkContext.broadcast(sorted(tuple(r) for r in own.collect() if r.item_id is not None))  # a block's texts are bounded by ``held``
+
+        out.append(lambda sent=sent: Items(sent.value, SIZE, radius, whole.value))
+    return out
+
+
+def _found(index: Items, texts: pa.Array, percent: int) -> list[tuple]:
+    """(row, item_id, similarity, start_word) of texts."""
+    w = words(*text_buffer(texts))
+    found: list[tuple] = []
+    count = np.diff(w.first)
+    h, doc, _ = shingles(w, SIZE)
+    hit = np.unique(doc[index.hits(h)])
+    low, high = np.searchsorted(doc, hit), np.searchsorted(doc, hit, side="right")
+    for d, a, b in zip(hit.tolist(), low.tolist(), high.tolist(), strict=True):
+        for i, (sim, start) in matches(index, h[a:b], SIZE, percent).items():
+            if index.words[i] >= SIZE or count[d] < SIZE:
+                found.append((d, index.ids[i], sim, start))
+    for k in index.short:
+        found += _short(index, w, k)
+    return found
+
+
+def _short(index: Items, w, k: int) -> list[tuple]:
     """Matches of items of k < SIZE words in texts of SIZE words and more, by their exact word sequence."""
     count = np.diff(w.first)
     n = len(w.start)
@@ -247,7 +279,7 @@ def _short(index: Items, w, ids: list, k: int) -> list[tuple]:
         for i in index.of[int(value[p])]:
             if index.words[i] == k:
                 d = int(w.doc[p])
-                found.setdefault((d, i), (ids[d], index.ids[i], 1.0, int(p - w.first[d])))
+                found.setdefault((d, i), (d, index.ids[i], 1.0, int(p - w.first[d])))
     return list(found.values())
 
 

@@ -14,7 +14,7 @@ ROWS = 3000
 SETTINGS = Settings(buckets=1 << 18, passes=12, step=1.5, common=1.0)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = ROWS, settings: Settings = SETTINGS) -> Model:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = ROWS, settings: Settings = SETTINGS) -> Model | None:
     """A model of labels (doc_id, toxic 0/1), from documents outside the held-out fold (crc32(doc_id) mod 5 = 0).
 
     Null ids and labels are skipped; a document labelled twice counts as toxic if either label says so.
@@ -24,14 +24,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = ROWS, settings:
     return fit(documents(docs), known, rows, settings, prior=True)
 
 
-def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_toxicity(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted) of every row: the model's probability of label 1, and 1 where it is 0.5 or more.
 
     Null and empty texts get the score of an empty bag. Repeated rows and null ids each give a row; other columns are
-    ignored; an empty table gives an empty result.
+    ignored; an empty table gives an empty result. Without a model, or one that knows of label 1, all score 0.
     """
     ddl = "doc_id long,score double,predicted int"
-    toxic = model.labels.index("1") if "1" in model.labels else None
+    toxic = model.labels.index("1") if model and "1" in model.labels else None
 
     def row(ids, texts, scorer):
         p = scorer.probabilities(texts)[:, toxic] if toxic is not None else [0.0] * len(texts)

@@ -109,6 +109,21 @@ def test_pipeline_on_the_smallest_tables(spark):
     assert not leaks & left
 
 
+def test_empty_and_unlabelled_tables_and_null_ids(spark, tmp_path):
+    words = " ".join(f"word{k}" for k in range(30))
+    docs = spark.createDataFrame([(None, "some more " + words, "en"), (None, "nothing of that kind " * 9, "en"), (1, None, "en"), (1, "123", None), (None, "...", None)], "doc_id long, text string, lang string")
+    spark.createDataFrame([(1, words), (None, "nothing of that kind")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r.text for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()] == [r.text for r in docs.collect()][1:]
+    assert sorted(r.text for r in corpus_pipeline.language(spark, docs, str(tmp_path)).collect()) == ["nothing of that kind " * 9, "some more " + words]
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert [r.score for r in toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels)).collect()] == [0.0] * 5
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for name in ("op1_toxicity", "op6_language_id"):
+        assert QUERIES[name](spark, str(tmp_path)).count() == 0
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_names_of_queries_and_stages():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_copies", "repeats", "decontamination", "packing"]
