@@ -44,7 +44,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("near_copies", near_copies), ("repeats", repeats), ("decontamination", decontamination), ("packing", packing)]
 
-#: No stage but the exact ones has SQL; tests hold the whole against brute force.
+#: No stage has SQL. Tests cover the stages by themselves; of the whole they check columns, the share left and leaks.
 ORACLE_SQL = None
 
 

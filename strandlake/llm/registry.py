@@ -1,7 +1,8 @@
 """Queries of the document operators, and the DuckDB SQL of those that SQL can express.
 
 None has SQL here: tokenizers, classifiers, page trees and the suffix array are out of its reach, and the exact joins on
-word shingles are too slow in it on whole tables. Their tests hold them against brute force.
+word shingles are too slow in it on whole tables. Tests hold op10 against exactly scored windows; op2 and the pipeline
+have no brute-force version.
 """
 
 from __future__ import annotations
