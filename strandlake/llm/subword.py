@@ -19,7 +19,10 @@ CACHED, STEP = 300_000, 50_000
 
 @dataclass(frozen=True)
 class Settings:
-    """n-gram lengths (characters, with word ends), buckets, dimensions, passes, step size, and texts per step."""
+    """n-gram lengths (characters, with word ends), buckets, dimensions, passes, step size, and texts per step.
+
+    ``sparse`` shortens the vector of each n-gram a step uses, in proportion to its step size; those of no use become zero.
+    """
 
     shortest: int = 3
     longest: int = 5
@@ -29,6 +32,7 @@ class Settings:
     step: float = 0.5
     batch: int = 32
     common: float = 1e-3
+    sparse: float = 0.0
     seed: int = 7
 
 
@@ -171,20 +175,22 @@ def train(texts: list[str], labels: list, s: Settings = Settings()) -> Model:
             n = grams[own]
             ends = np.concatenate(([0], np.cumsum(n)))
             idx = bucket[np.repeat(first[own] - ends[:-1], n) + np.arange(ends[-1])]
-            value, owner = np.repeat(per_word, n), np.repeat(doc, n)
-            starts = ends[np.searchsorted(doc, np.arange(len(part)))]
-            hidden = np.add.reduceat(value[:, None] * embed[idx], starts, axis=0)
+            used, place = np.unique(idx, return_inverse=True)
+            value = np.bincount(np.repeat(doc, n) * len(used) + place, np.repeat(per_word, n), len(part) * len(used)).reshape(len(part), len(used))
+            hidden = value @ embed[used]
             error = softmax(hidden @ out + bias)
             error[np.arange(len(part)), target[part]] -= 1
             error /= len(part)
-            back = error @ out.T
             grad_o = hidden.T @ error
-            used, place = np.unique(idx, return_inverse=True)
-            grad_e = np.stack([np.bincount(place, value * back[owner, k], len(used)) for k in range(s.dims)], axis=1)
+            grad_e = value.T @ (error @ out.T)
             squares_e[used] += (grad_e**2).sum(axis=1)
             squares_o += (grad_o**2).sum()
             squares_b += (error.sum(axis=0) ** 2).sum()
-            embed[used] -= s.step * grad_e / np.sqrt(squares_e[used])[:, None]
+            rate = s.step / np.sqrt(squares_e[used])[:, None]
+            new = embed[used] - rate * grad_e
+            if s.sparse:
+                new *= np.maximum(0, 1 - s.sparse * rate / np.maximum(np.linalg.norm(new, axis=1, keepdims=True), 1e-12))
+            embed[used] = new
             out -= s.step * grad_o / np.sqrt(squares_o)
             bias -= s.step * error.sum(axis=0) / np.sqrt(squares_b)
     seen = {w: float(weight[i]) for w, i in number.items() if weight[i] < 0.9}

@@ -11,7 +11,7 @@ from .subword import Model, Settings
 
 #: Labelled documents that the classifier is fitted on, at most about; half of each label if there are so many.
 ROWS = 3000
-SETTINGS = Settings(buckets=1 << 18, passes=12, step=1.5, common=1.0)
+SETTINGS = Settings(buckets=1 << 18, passes=24, step=3, common=1.0, sparse=1e-5)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = ROWS, settings: Settings = SETTINGS) -> Model | None:
