@@ -2,10 +2,14 @@
 
 Pages of one host are taken in small groups. In a group, every page's DOM tree is aligned with a reference page by
 simple tree matching (the largest order-keeping match of equal-labelled nodes, top down). Text that stays the same in
-most pages of the group is the host's template; text in slots that vary is content. What a page marks as navigation,
-footer, advert, notice, form, comment or script by its element or a whole name in its class is left out, unless a form,
-a header or what is marked by name alone holds an article or main element or most of the varying text. Where the page has
-an article or main element, the slots inside it are the content, less what nearly all pages share.
+most pages of the group is the host's template; text in slots that vary is content. The main part of all pages is the
+innermost aligned element that holds most of the varying text, with the article or main element around it; what varies
+outside it (teasers, adverts, page numbers) is left out. Inside, what nearly all pages share goes, and what a page marks
+as navigation, footer, advert, notice, form, comment or script by its element or a whole name in its class, unless a form,
+a header or what is marked by name alone holds an article or main element or most of the varying text.
+
+Where too few pages can be aligned, or a page has no part in the alignment, its article or main elements are its main
+part, or else all that isn't marked.
 """
 
 from __future__ import annotations
@@ -30,13 +34,13 @@ CONSTANT, LEAST = 0.5, 3
 #: The same inside an article or main element, where only what nearly all pages share is not the author's.
 CONSTANT_INSIDE, LEAST_INSIDE = 0.9, 8
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|iframe|svg|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+#: The least share of the varying text of a group of LEAST_INSIDE pages or more that its main part holds.
+MAIN = 0.8
+#: Elements nested deeper than this become siblings, as in browsers.
+DEPTH = 256
+
+_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_REST = re.compile(r"(?>[^>=]++|=\s*+(?>\"[^\"]*+\"|'[^']*+'|))*+>")  # attributes; a quote counts where a value begins
 _MARKED = re.compile(r"(?<![\w\-])(class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
@@ -51,6 +55,9 @@ _SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 _HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}, "tbody": {"table"}}
 _AROUND = frozenset("nav header footer aside form menu button select input head dialog".split())
 _WRAPS = frozenset("form header".split())
+_RAW = frozenset("script style noscript template textarea title iframe svg math".split())
+_RAW_ENDS = {tag: re.compile(rf"</{tag}\b[^>]*+(?:>|\Z)", re.I) for tag in _RAW}
+_PARTS = frozenset("html body main article section div center table tbody tr td form header".split())
 _WORD = (
     r"(?:ad|ads|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|"
     r"footer|header|masthead|cookie|cookies|consent|notice|notices|alert|popup|modal|newsletter|subscribe|subscription|signup|login|form|comment|comments|disqus|replies|"
@@ -80,45 +87,88 @@ def _named(attributes: str) -> bool:
     return False
 
 
+def _tags(page: str):
+    """(start, end, closing, tag, attributes) of each tag and comment of a page, in time linear in its length; tag is '' for comments and raw elements."""
+    at, quotes = 0, True
+    while (start := page.find("<", at)) >= 0:
+        opened = _OPEN.match(page, start)
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(page)
+            yield start, at, False, "", ""
+        elif opened:
+            rest = _REST.match(page, opened.end()) if quotes else None
+            quotes = rest is not None  # once a tag has no end, quotes can't be trusted any more
+            at = rest.end() if rest else page.find(">", opened.end()) + 1
+            if not at:
+                return
+            tag, attributes = opened[2].lower(), page[opened.end() : at - 1]
+            if tag in _RAW and not opened[1]:
+                if not attributes.endswith("/"):
+                    close = _RAW_ENDS[tag].search(page, at)
+                    at = close.end() if close else len(page)
+                tag = ""
+            yield start, at, bool(opened[1]), tag, attributes
+        elif page.startswith(("<!", "<?"), start):
+            at = page.find(">", start) + 1
+            if not at:
+                return
+            yield start, at, False, "", ""
+        else:
+            at = start + 1
+
+
 def parse(page: str) -> Node:
     """The DOM tree, tolerant of unclosed and stray tags. Text nodes have tag ''; out marks boilerplate elements."""
     root = Node("#")
     stack = [root]
+    opened: Counter = Counter()
+    beyond: Counter = Counter()  # open elements that are too deep to hold anything
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            stack[-1].kids.append(Node("", page[at : m.start()]))
-        at = m.end()
-        tag = m[3]
-        if tag is None:
+
+    def pop(k: int) -> None:
+        opened.subtract(n.tag for n in stack[k:])
+        del stack[k:]
+
+    def above():
+        return range(len(stack) - 1, max(0, len(stack) - DEPTH), -1)
+
+    for start, end, closing, tag, rest in _tags(page):
+        if start > at:
+            stack[-1].kids.append(Node("", page[at:start]))
+        at = end
+        if not tag:
             continue
-        tag = tag.lower()
-        if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if tag not in _BLOCK and stack[k].tag in _BLOCK:
-                    break  # a stray end of an inline element closes no block
+        if closing:
+            if beyond[tag]:
+                beyond[tag] -= 1
+                if tag in _BLOCK:
+                    stack[-1].kids.append(Node(tag))  # what follows is another block
+            elif opened[tag] > 0:
+                for k in above():
+                    if stack[k].tag == tag:
+                        pop(k)
+                        break
+                    if tag not in _BLOCK and stack[k].tag in _BLOCK:
+                        break  # a stray end of an inline element closes no block
             continue
-        if tag in _CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
+        if tag in _CLOSES_P and opened["p"] > 0:
+            for k in above():
                 if stack[k].tag == "p":
-                    del stack[k:]
+                    pop(k)
                     break
                 if stack[k].tag in _BLOCK:
                     break
         if tag in _SIBLING:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in above():
                 if stack[k].tag in _SIBLING[tag]:
-                    del stack[k:]
+                    pop(k)
                     if tag not in ("tr", "tbody"):
                         break
                 elif stack[k].tag in _HOLDS[tag]:
                     break
         node = Node(tag)
-        if m[4]:
-            rest = m[4]
+        if rest:
             if _HIDDEN.search(rest):
                 node.out = CERTAIN
             elif tag not in ("html", "body", "article", "main") and _named(rest):
@@ -129,8 +179,13 @@ def parse(page: str) -> Node:
         if tag in _AROUND:
             node.out = node.out or NAMED if tag in _WRAPS else CERTAIN
         stack[-1].kids.append(node)
-        if tag not in _VOID:
+        if tag in _VOID:
+            continue
+        if len(stack) <= DEPTH:
             stack.append(node)
+            opened[tag] += 1
+        else:
+            beyond[tag] += 1
     if at < len(page):
         stack[-1].kids.append(Node("", page[at:]))
     return root
@@ -203,27 +258,29 @@ class Shapes:
         return out + list(zip(x[len(x) - tail :], y[len(y) - tail :], strict=True))
 
 
-def induce(pages: list[Node]) -> None:
-    """Sets ``constant`` on the text nodes that belong to the group's template: 1, or 2 if nearly all pages share them."""
+def induce(pages: list[Node]) -> list[list[Node]]:
+    """Sets ``constant`` on the text nodes that belong to the group's template: 1, or 2 if nearly all pages share them.
+
+    Returns the main part of each page, in page order; an empty list where alignment doesn't tell it.
+    """
     if len(pages) < LEAST:
-        return
+        return [[] for _ in pages]
     shapes = Shapes()
     for p in pages:
         shapes.name(p)
     reference = pages[0]
     slots: dict[int, list[Node]] = {}
-
-    def walk(a: Node, b: Node) -> None:
-        todo = [(a, b)]
+    mates: dict[int, list[tuple[int, Node]]] = {}
+    for number, p in enumerate(pages):
+        todo = [(reference, p)]
         while todo:
             a, b = todo.pop()
             if a.tag == "":
-                slots.setdefault(id(a), [a]).append(b)
-            elif a.kids and b.kids:
-                todo += shapes.aligned(a.kids, b.kids)
-
-    for p in pages[1:]:
-        walk(reference, p)
+                slots.setdefault(id(a), []).append(b)
+                continue
+            mates.setdefault(id(a), []).append((number, b))
+            if a.kids and b.kids:
+                todo += zip(a.kids, b.kids, strict=True) if a is b else shapes.aligned(a.kids, b.kids)
     need = max(LEAST, CONSTANT * len(pages))
     nearly_all = max(LEAST_INSIDE, CONSTANT_INSIDE * len(pages))
     for nodes in slots.values():
@@ -235,6 +292,45 @@ def induce(pages: list[Node]) -> None:
                 for node in nodes:
                     if node.text.strip() == text:
                         node.constant = 2 if n >= nearly_all else 1
+    mass: dict[int, int] = {}
+    for p in pages:
+        _varying(p, mass)
+    of = {a: sum(mass[id(b)] for _, b in found) for a, found in mates.items() if len(found) >= max(LEAST_INSIDE, need)}
+    at, way = reference, []
+    while id(reference) in of:
+        inner = max((k for k in at.kids if k.tag in _PARTS and id(k) in of and k.out != CERTAIN), key=lambda k: of[id(k)], default=None)
+        if inner is None or of[id(inner)] < MAIN * of[id(reference)] or not any(k.tag in _BLOCK for k in inner.kids):
+            break
+        way.append((at, inner))
+        at = inner
+    semantic = [n for _, n in way if n.tag == "article"] or [n for _, n in way if n.tag == "main"]
+    chosen = semantic[-1:]
+    if not chosen and at.tag not in ("#", "html", "body"):
+        heads = [k for up, n in way for k in up.kids[: next(i for i, k in enumerate(up.kids) if k is n)] if k.tag in ("h1", "h2", "h3") and not k.out]
+        chosen = [*heads, at]
+    parts: list[list[Node]] = [[] for _ in pages]
+    if chosen:
+        held = {number for number, b in mates[id(chosen[-1])] if mass[id(b)]}
+        for node in chosen:
+            for number, b in mates.get(id(node), ()):
+                if number in held:
+                    parts[number].append(b)
+    return parts
+
+
+def _varying(page: Node, into: dict[int, int]) -> None:
+    """Characters of varying text outside links, for each element of a page."""
+    order: list[tuple[Node, int]] = [(page, -1)]
+    for at, (node, _) in enumerate(order):  # grows on the way: parents before children
+        order += [(k, at) for k in node.kids]
+    size = [0] * len(order)
+    for at in range(len(order) - 1, -1, -1):
+        node, up = order[at]
+        if node.tag == "" and not node.constant:
+            size[at] = len(node.text.strip())
+        into[id(node)] = size[at]
+        if up >= 0 and node.tag != "a" and node.out != CERTAIN:
+            size[up] += size[at]
 
 
 def release(page: Node) -> None:
@@ -265,10 +361,13 @@ def _find(node: Node, tags: tuple, into: list) -> list:
     return into
 
 
-def content(page: Node) -> str:
-    """Blocks of the page's main part that hold a varying slot, joined by newlines. A block goes only if all of it is template."""
-    parts = _find(page, ("article",), []) or _find(page, ("main",), [])
-    template = 2 if parts else 1
+def content(page: Node, main: list[Node] = ()) -> str:
+    """Blocks of a page's main part that hold a varying slot, joined by newlines. A block goes only if all of it is template.
+
+    The main part is ``main``, or else the article or main elements.
+    """
+    parts = main or _find(page, ("article",), []) or _find(page, ("main",), [])
+    template = 2 if any(p.tag in ("article", "main") for p in parts) else 1
     blocks: list[str] = []
     run: list[str] = []
     varies = False
@@ -312,10 +411,10 @@ def group_texts(pages: list[str]) -> list[str]:
     for p in pages:
         if p not in trees:
             trees[p] = parse(p)
-    induce(list(trees.values()))
+    main = induce(list(trees.values()))
     for t in trees.values():
         release(t)
-    texts = {p: content(t) for p, t in trees.items()}
+    texts = {p: content(t, m) for (p, t), m in zip(trees.items(), main, strict=True)}
     return [texts[p] for p in pages]
 
 

@@ -1,6 +1,7 @@
 """Classifiers and page extraction on made-up data, and the pipeline end to end."""
 
 import os
+import time
 
 import numpy as np
 import pytest
@@ -99,6 +100,28 @@ def test_tree_matching_is_the_largest_order_keeping_match():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_induction_alone_finds_the_main_part():
+    """No element and no name tells the parts of these pages apart; the aligned trees do."""
+    pages, want = [], []
+    for i in range(12):
+        body = [f"Paragraph {i} {k} " + " ".join(f"w{i * k * j}" for j in range(60)) for k in range(1, 2 + i % 4)]
+        pages.append(
+            f"<html><body><div><div><span>Home</span> <span>Topics</span></div><div>Teaser number {i * 7}</div>"
+            f"<div><div><b>Heading {i}</b></div>{''.join(f'<div>{p}</div>' for p in body)}</div><div>All rights kept</div></div></body></html>"
+        )
+        want.append("\n".join([f"Heading {i}", *body]))
+    assert html_extract.group_texts(pages) == want
+    assert html_extract.group_texts(pages[:1]) != want[:1]  # with one page there is nothing to align
+
+
+def test_odd_markup_takes_linear_time_and_loses_no_text():
+    pages = ["<div>" * 5000 + "deep" + "</div>" * 5000 + "after", "<a " * 20000 + "x", "<p class=a'b>hello", "<p>t</p>" + "<a ='>'" * 20000, "<b>" * 20000 + "</i>" * 20000 + "z", "1 < 2", "<!-- x", "<svg/>s<script>1"]
+    began = time.process_time()
+    texts = [html_extract.group_texts([p])[0] for p in pages]
+    assert time.process_time() - began < 10
+    assert texts[0] == "deep\nafter" and texts[2] == "hello" and texts[4:] == ["z", "1 < 2", "", "s"]
+
+
 def test_pipeline_on_the_smallest_tables(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
