@@ -15,7 +15,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bloom import Bloom
@@ -23,6 +23,8 @@ from .common import documents, record, slices, stored, table, text_buffer
 from .words import U64, mix
 
 LENGTH, ANCHOR = 400, 64
+#: Bytes that any passage of over 50 words has, spaces included, in languages written with letters: the pipeline's length.
+PASSAGE = 256
 #: Segments of one anchor that are compared in one task; those of a larger group go string by string.
 MOST = 1 << 16
 #: Starts that one numpy step works on.
@@ -129,51 +131,88 @@ def _common(rows: list[bytes]) -> np.ndarray:
     return np.minimum(differ, np.minimum(size[1:], size[:-1]))
 
 
-def maximal_repeats(left: list[bytes], right: list[bytes], length: int):
-    """Maximal repeats of at least ``length`` bytes across the anchors of strings left[i] + right[i].
+def _intervals(shared):
+    """(least, first, last) of every interval of neighbours that share more than those around it, inner ones first.
 
-    Yields (common bytes left of the anchor, common bytes right of it, members). The suffixes at the anchors are sorted;
-    a stack over their common prefixes walks the interval tree bottom up; an interval's members, in order of what
-    stands left of them, split into runs that share enough to the left. A run is maximal: its members differ in the
-    byte before, and after.
+    shared[k] is what item k + 1 shares with item k; an interval of items first..last shares least > 0.
     """
-    m = len(right)
-    order = sorted(range(m), key=right.__getitem__)
-    lcp = _common([right[i] for i in order])
-    flipped = [s[::-1] for s in left]
-    by_left = sorted(range(m), key=flipped.__getitem__)
-    lcs = _common([flipped[i] for i in by_left])
-    rank = np.empty(m, np.int64)
-    rank[by_left] = np.arange(m)
-    table = [lcs]  # minima over 2 ** k neighbours
-    while len(table[-1]) > 1 << (len(table) - 1):
-        half = 1 << (len(table) - 1)
-        table.append(np.minimum(table[-1][:-half], table[-1][half:]))
-    place = rank[order]
-
-    def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Common left bytes of the ranks a < b."""
+    stack: list[tuple[int, int]] = []  # (shared, first item) of the intervals still open
+    for i in range(len(shared) + 1):
+        now = int(shared[i]) if i < len(shared) else 0
+        low = i
+        while stack and stack[-1][0] > now:
+            least, low = stack.pop()
+            yield least, low, i
+        if now and (not stack or stack[-1][0] < now):
+            stack.append((now, low))
+
+
+class _Minima:
+    """Minima of any values[a:b], from minima over powers of two."""
+
+    def __init__(self, values: np.ndarray):
+        self.table = [values]
+        while len(self.table[-1]) > 1 << (len(self.table) - 1):
+            half = 1 << (len(self.table) - 1)
+            self.table.append(np.minimum(self.table[-1][:-half], self.table[-1][half:]))
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         k = np.log2(b - a).astype(np.int64)
         out = np.empty(len(a), np.int64)
         for level in np.unique(k):
             at = k == level
-            out[at] = np.minimum(table[level][a[at]], table[level][b[at] - (1 << level)])
+            out[at] = np.minimum(self.table[level][a[at]], self.table[level][b[at] - (1 << level)])
         return out
 
-    stack: list[tuple[int, int]] = []  # (common prefix, first suffix) of the intervals still open
-    for i in range(m):
-        now = int(lcp[i]) if i < m - 1 else 0
-        low = i
-        while stack and stack[-1][0] > now:
-            depth, low = stack.pop()
-            ranks = np.sort(place[low : i + 1])
-            near = shared(ranks[:-1], ranks[1:])
-            near_enough = near >= length - depth
-            edges = np.flatnonzero(np.diff(np.concatenate(([0], near_enough.view(np.int8), [0]))))
+
+class Suffixes:
+    """Enhanced suffix array of the strings left[i] + right[i] at their anchors: sorted suffixes, common prefixes, ranks of what stands left."""
+
+    def __init__(self, left: list[bytes], right: list[bytes]):
+        m = len(right)
+        self.order = sorted(range(m), key=right.__getitem__)
+        self.lcp = _common([right[i] for i in self.order])
+        flipped = [s[::-1] for s in left]
+        self.by_left = sorted(range(m), key=flipped.__getitem__)
+        self.lcs = _Minima(_common([flipped[i] for i in self.by_left]))
+        rank = np.empty(m, np.int64)
+        rank[self.by_left] = np.arange(m)
+        self.place = rank[self.order]
+        self.longest = max(map(len, left), default=0)
+
+    def runs(self, length: int):
+        """(depth, ranks, near) of members of a common-prefix interval that share enough to the left, too, to reach ``length``.
+
+        ranks are places in by_left, ascending; near is what neighbours among them share left of the anchor.
+        """
+        for depth, low, high in _intervals(self.lcp):
+            if length - depth > self.longest:
+                continue
+            ranks = np.sort(self.place[low : high + 1])
+            near = self.lcs(ranks[:-1], ranks[1:])
+            edges = np.flatnonzero(np.diff(np.concatenate(([0], (near >= length - depth).view(np.int8), [0]))))
             for a, b in edges.reshape(-1, 2):
-                yield int(near[a:b].min()), depth, [by_left[r] for r in ranks[a : b + 1]], near[a:b]
-        if now and (not stack or stack[-1][0] < now) and length - now <= max(map(len, left), default=0):
-            stack.append((now, low))
+                yield depth, ranks[a : b + 1], near[a:b]
+
+
+def maximal_repeats(left: list[bytes], right: list[bytes], length: int):
+    """Maximal repeats of at least ``length`` bytes across the anchors of strings left[i] + right[i].
+
+    Yields (common bytes left of the anchor, common bytes right of it, members with all occurrences). A stack over the
+    common prefixes of the sorted suffixes walks the interval tree bottom up; within an interval's members, in order of
+    what stands left of them, another one walks theirs. A group is maximal if neither the byte before nor the byte after
+    is the same for all of it: it is a whole interval to the left, and lies in no deeper one to the right.
+    """
+    found = Suffixes(left, right)
+    lcp = _Minima(found.lcp)
+    at = np.empty(len(left), np.int64)
+    at[found.place] = np.arange(len(left))
+    for depth, ranks, near in found.runs(length):
+        near = near + 1  # so that groups with nothing to the left are intervals, too
+        for shared, first, last in _intervals(near):
+            places = at[ranks[first : last + 1]]
+            if shared > length - depth and lcp(places.min(keepdims=True), places.max(keepdims=True))[0] == depth:
+                yield shared - 1, depth, [found.by_left[r] for r in ranks[first : last + 1]]
 
 
 def _covered(rows: list[tuple], length: int):
@@ -181,9 +220,11 @@ def _covered(rows: list[tuple], length: int):
     left = [r[5][: r[3] - r[1]] for r in rows]
     right = [r[5][r[3] - r[1] :] for r in rows]
     most, least = [-1] * len(rows), [length + 1] * len(rows)
-    for _, depth, members, near in maximal_repeats(left, right, length):
-        for k, i in enumerate(members):
-            reach = int(max(near[k - 1] if k else 0, near[k] if k < len(near) else 0))
+    found = Suffixes(left, right)
+    for depth, ranks, near in found.runs(length):
+        for k, r in enumerate(ranks):
+            i = found.by_left[r]
+            reach = int(max(near[k - 1] if k else 0, near[k] if k < len(near) else 0))  # of the longest group that holds it
             most[i], least[i] = max(most[i], reach), min(least[i], length - depth)
     for i, (key, _, end, anchor, copies, _) in enumerate(rows):
         if copies == 1 and most[i] >= 0:
@@ -269,14 +310,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
 
 
 def merged(spans: DataFrame) -> DataFrame:
-    """(key, spans): the maximal ranges of each key, as an array of (start, end); touching ranges are one."""
-    pairs = spans.groupBy("key").agg(F.sort_array(F.collect_set(F.struct(F.col("start").cast("int").alias("s"), F.col("end").cast("int").alias("e")))).alias("all"))
-    joined = F.aggregate(
-        "all",
-        F.array().cast("array<struct<s:int,e:int>>"),
-        lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["e"] >= x["s"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["s"].alias("s"), F.greatest(F.element_at(acc, -1)["e"], x["e"]).alias("e"))))).otherwise(F.concat(acc, F.array(x))),
-    )
-    return pairs.select("key", joined.alias("spans"))
+    """(key, spans): the maximal ranges of each key, as an array of (s, e) in order; touching ranges are one."""
+    each = spans.groupBy("key", F.col("start").cast("int").alias("s")).agg(F.max(F.col("end").cast("int")).alias("e"))
+    before = Window.partitionBy("key").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.when(F.max("e").over(before) >= F.col("s"), 0).otherwise(1)
+    run = F.sum("fresh").over(Window.partitionBy("key").orderBy("s").rowsBetween(Window.unboundedPreceding, 0))
+    runs = each.withColumn("fresh", fresh).withColumn("run", run).groupBy("key", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    return runs.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR, most: int = MOST) -> DataFrame:
@@ -313,7 +353,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return keyed.where("clean").select("doc_id", "text", none.alias("s"), none.alias("e")).unionAll(some).mapInArrow(cut, out)
 
 
-def with_text_kept(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR, most: int = MOST) -> DataFrame:
+def with_text_kept(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = PASSAGE, anchor: int = ANCHOR, most: int = MOST) -> DataFrame:
     """df with the repeated passages cut from its texts, and n_chars, if there is one, counted anew; all rows stay.
 
     Where a cut leaves some bytes of a character only, they go too. A null text stays null.
@@ -345,4 +385,5 @@ def with_text_kept(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def op8_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = remove_repeats(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    removed = (F.col("n_bytes") - F.octet_length("kept")).cast("long")
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (removed > 0).alias("repeated"))
