@@ -2,9 +2,9 @@
 
 Items and windows are bags of weighted word shingles; a shingle weighs less the more items have it. A document's windows
 of an item's size are considered wherever they hold a shingle of that item, without which the similarity is zero. Their
-64-bit SimHashes are looked up in an index of the items' by BLOCKS blocks of bits: fingerprints within RADIUS differ
-little in some block, so trying all near values of every block finds each of them. Weighted Jaccard similarity of the
-shingles then decides exactly.
+64-bit SimHashes are looked up in an index of the items' by blocks of bits: fingerprints within RADIUS differ by no more
+than RADIUS / len(BLOCKS) in some block, so trying all such values of every block finds each of them. Weighted Jaccard
+similarity of the shingles then decides exactly. Windows at the threshold differ from their item by some 10 of 64 bits.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from .common import documents, record, slices, table, text_buffer
 from .words import U64, mix, sequences, shingles, words
 
 SIZE, PERCENT = 5, 80
-#: Hamming distance within which all items are found, and the blocks of 8 bits that 64 bits are cut into.
-RADIUS, BLOCKS = 23, 8
+#: Hamming distance within which all items are found, and the bits of the blocks that 64 bits are cut into.
+RADIUS, BLOCKS = 17, (11, 11, 11, 11, 10, 10)
 #: Words of benchmark items that are held at a time; a larger benchmark goes against the documents block by block.
 HELD = 2_000_000
 _FILTER = 1 << 22
@@ -45,28 +45,31 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class HammingIndex:
-    """near(fingerprints): all (query, entry) pairs within ``radius``."""
+    """near(fingerprints): all (query, entry) pairs within ``radius``; tried counts the pairs that the blocks let through."""
 
-    def __init__(self, entries: np.ndarray, radius: int = RADIUS):
-        self.entries, self.radius = entries, radius
-        flips = [0] + [sum(1 << b for b in c) for k in range(1, min(8, radius // BLOCKS) + 1) for c in combinations(range(8), k)]
-        self.flips = np.array(flips, np.uint8)
+    def __init__(self, entries: np.ndarray, radius: int = RADIUS, blocks: tuple[int, ...] = BLOCKS):
+        self.entries, self.radius, self.tried = entries, radius, 0
         self.tables = []
-        for block in range(BLOCKS):
-            value = (entries >> U64(8 * block)).astype(np.uint8)
+        low = 0
+        for bits in blocks:
+            flips = [0] + [sum(1 << b for b in c) for k in range(1, min(bits, radius // len(blocks)) + 1) for c in combinations(range(bits), k)]
+            mask = U64((1 << bits) - 1)
+            value = ((entries >> U64(low)) & mask).astype(np.int64)
             order = np.argsort(value, kind="stable")
-            self.tables.append((order, np.searchsorted(value[order], np.arange(257))))
+            self.tables.append((U64(low), mask, np.array(flips, np.int64), order, np.searchsorted(value[order], np.arange((1 << bits) + 1))))
+            low += bits
 
     def near(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         pairs = []
-        for block, (order, first) in enumerate(self.tables):
-            value = (queries >> U64(8 * block)).astype(np.uint8)
-            tried = (value[:, None] ^ self.flips[None, :]).astype(np.int64)
+        for low, mask, flips, order, first in self.tables:
+            value = ((queries >> low) & mask).astype(np.int64)
+            tried = value[:, None] ^ flips[None, :]
             count = first[tried + 1] - first[tried]
             q = np.repeat(np.arange(len(queries)), count.sum(axis=1))
-            low, n = first[tried].ravel(), count.ravel()
-            at = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+            start, n = first[tried].ravel(), count.ravel()
+            at = np.repeat(start - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
             pairs.append(q * len(self.entries) + order[at])
+            self.tried += len(at)
         pairs = np.unique(np.concatenate(pairs))
         q, e = pairs // len(self.entries), pairs % len(self.entries)
         ok = distance(queries[q], self.entries[e]) <= self.radius
