@@ -20,7 +20,7 @@ from .tokens import AT_ONCE, encoder
 
 VOCAB, END_ID, WINDOW = "word_bpe_49k.json", 2, 4096
 #: Windows open at a time in a partition, the smallest gap that a piece is cut for, and partitions merged at a time.
-OPEN, WORTH, FAN_IN = 64, 16, 64
+OPEN, WORTH, FAN_IN = 64, 16, 16
 
 DDL = "doc_id long,start long,length long,ids binary,doc_tokens long,sequence_id long,offset long"
 
@@ -87,7 +87,7 @@ def _rows(windows: list[list], first: int) -> pa.RecordBatch:
         offset = 0
         for doc, start, ids, total in pieces:
             n = len(ids) // 4
-            for col, v in zip(cols, (doc, start, n, ids, total, first + k, offset), strict=True):
+            for col, v in zip(cols, (doc, start, n, bytes(ids), total, first + k, offset), strict=True):  # Arrow never frees a memoryview
                 col.append(v)
             offset += n
     return record(DDL, *cols)
