@@ -11,17 +11,21 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 
-#: Distinct parts that a worker remembers; the half used longest ago goes when there are more.
-CACHED = 400_000
+#: Distinct parts that a worker remembers, and their characters; the half used longest ago goes when there are more.
+CACHED, CHARACTERS = 400_000, 16_000_000
 #: Text bytes encoded at a time; the library's results for new parts take many times their size.
 AT_ONCE = 1 << 19
 
-# The vocabulary's published splitting pattern over the letters of _PLAIN, and Unicode's white space.
+# The vocabulary's mark of a pre-token's end, its published splitting pattern over the letters of _PLAIN, and Unicode's white space.
+_END = "</w>"
 _LETTERS = "a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017f"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\t-\\r 0-9{_LETTERS}]+")
+#: Pieces that are one pre-token as they stand, whatever stands around them.
+_ONE = re.compile(f"[{_LETTERS}]+|[0-9]|[!-/:-@\\[-`{{-~]+")
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: Characters whose lower case and composition are beyond doubt.
 _PLAIN = re.compile("[\t-\r -~\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf-\u012f\u0131-\u017f\u2010-\u2027\u20ac]*")
@@ -43,7 +47,10 @@ class Encoder:
 
         self.library = Tokenizer.from_file(vocabulary(vocab))
         self.end_id = end_id
+        self.last = np.zeros(self.library.get_vocab_size(), bool)  # ids that end a pre-token
+        self.last[[i for w, i in self.library.get_vocab().items() if w.endswith(_END)]] = True
         self.known: dict[str, int] = {}
+        self.held = 0
         self.ids = np.zeros(0, np.uint32)
         self.first = np.zeros(1, np.int64)
         self.used = np.zeros(0, np.int64)
@@ -57,13 +64,25 @@ class Encoder:
         self.first = np.concatenate(([0], np.cumsum(sizes[keep])))
         self.used = self.used[keep]
         self.known = {w: i for i, w in enumerate(w for w, k in zip(self.known, keep.tolist(), strict=True) if k)}
+        self.held = sum(map(len, self.known))
 
     def _learn(self, parts: list[str]) -> None:
-        coded = self.library.encode(parts, is_pretokenized=True, add_special_tokens=False)
-        sizes = np.bincount(np.array(coded.word_ids, np.int64), minlength=len(parts))
-        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
-        self.ids = np.concatenate((self.ids, np.array(coded.ids, np.uint32)))
-        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes)))
+        """Single pre-tokens go through the library as one text, which is faster; other parts one by one."""
+        single = [bool(_ONE.fullmatch(p)) for p in parts]
+        alone = [p for p, s in zip(parts, single, strict=True) if s]
+        others = [p for p, s in zip(parts, single, strict=True) if not s]
+        ids, sizes = [self.ids], []
+        if alone:
+            ids.append(np.array(self.library.encode_batch_fast([" ".join(alone)], add_special_tokens=False)[0].ids, np.uint32))
+            sizes.append(np.diff(np.flatnonzero(self.last[ids[-1]]), prepend=-1))
+        if others:
+            coded = self.library.encode(others, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(coded.ids, np.uint32))
+            sizes.append(np.bincount(np.array(coded.word_ids, np.int64), minlength=len(others)))
+        self.known.update(zip(alone + others, range(len(self.known), len(self.known) + len(parts)), strict=True))
+        self.held += sum(map(len, parts))
+        self.ids = np.concatenate(ids)
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(np.concatenate(sizes))))
         self.used = np.concatenate((self.used, np.full(len(parts), self.turn)))
 
     @staticmethod
@@ -74,15 +93,16 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         self.turn += 1
-        if len(self.known) > CACHED:
+        if len(self.known) > CACHED or self.held > CHARACTERS:
             self._forget()
         cut = [self._parts(t) for t in texts]
         parts = [p for c in cut for p in c]
-        known = self.known
-        new = [p for p in set(parts) if p not in known]
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+        at = np.fromiter(map(self.known.get, parts, repeat(-1)), np.int64, len(parts))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            missing = [parts[i] for i in new]
+            self._learn(list(dict.fromkeys(missing)))
+            at[new] = list(map(self.known.__getitem__, missing))
         self.used[at] = self.turn
         size = self.first[at + 1] - self.first[at]
         ends = np.concatenate(([0], np.cumsum(size)))
