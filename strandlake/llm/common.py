@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +16,16 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2 << 20
 
 
+#: Paths written inside the open scratch() blocks, on the driver.
+_SCRATCH: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A folder that driver and executors all see: spark.checkpoint.dir, else one set here (single-machine use)."""
+    """A folder that driver and executors all see: spark.checkpoint.dir. In local mode alone one is made where it is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="strandlake-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -28,21 +35,29 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/strandlake/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back: a lineage cut that survives lost executors."""
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Writes df as Parquet in the shared folder and reads it back: a lineage cut that survives lost executors.
+
+    Inside scratch() the files go when that ends, unless they are to be kept.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    if _SCRATCH and not keep:
+        _SCRATCH[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def released(df: DataFrame) -> None:
-    """Deletes the files behind a stored table, once nothing reads it any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/strandlake/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes on leaving what was stored inside."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _SCRATCH.pop():
+            path = jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(conf).delete(path, True)
 
 

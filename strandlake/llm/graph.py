@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import released, stored
+from .common import scratch, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -25,16 +25,15 @@ def components(edges: DataFrame) -> DataFrame:
     Loops and repeated edges are allowed; an empty edge table gives an empty result. Every round is written to the
     shared folder; rounds grow with the logarithm of the largest component.
     """
-    now = stored(edges.where("a <> b").select("a", "b").distinct(), "edges")
-    seen = None
-    while True:
-        large = _star(now, True)
-        following = stored(_star(large, False), "edges")
-        mark = following.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        released(now)
-        now = following
-        if mark == seen or not mark[0]:
-            break
-        seen = mark
+    with scratch(edges.sparkSession):
+        now = stored(edges.where("a <> b").select("a", "b").distinct(), "edges")
+        seen = None
+        while True:
+            now = stored(_star(_star(now, True), False), "edges")
+            mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            if mark == seen or not mark[0]:
+                break
+            seen = mark
+        now = stored(now, "edges", keep=True)
     roots = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots.select("node", F.col("node").alias("component")))

@@ -7,8 +7,9 @@ emits more postings, but asks of each candidate that many more shared tokens. A
 prefix tokens reach the smaller m and the bound on the overlap that the rest of both sets can still add.
 
 Documents with equal sets form one class, and only classes are joined. Tokens shared by over ``dense`` classes are
-not expanded into all their pairs: their classes are first linked to a few hubs, and afterwards only pairs across
-the components found are compared, which loses no component.
+not expanded into all their pairs: their classes are first linked to a hub, those left outside its component to a few
+more, and afterwards only pairs across the components found are compared, which loses no component. Tokens that the
+sketch holds for frequent are spread over many tasks from the start.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bloom import Bloom
-from .common import documents, record, slices, stored, table, text_buffer
+from .common import documents, record, scratch, slices, stored, table, text_buffer
 from .graph import components
 from .words import U64, mix, shingle_sets, words
 
@@ -30,6 +31,8 @@ from .words import U64, mix, shingle_sets, words
 SKETCH, BLOCK = 1 << 22, 1 << 16
 #: Classes that a worker remembers as already emitted; beyond it only more duplicates reach the shuffle.
 REMEMBERED = 1 << 18
+#: Sets that the sketch must estimate for a token before it is spread, and the tasks it is spread over.
+FREQUENT, SPREAD = 1024, 64
 
 
 def class_key(tokens: np.ndarray) -> int:
@@ -118,70 +121,84 @@ def classes(docs: DataFrame, size: int = 5) -> DataFrame:
 
 
 def postings(docs: DataFrame, counts, load: float, size: int, percent: int, most: int) -> DataFrame:
-    """(token, cls, n, m, rank): prefix tokens of each class; rank is higher for sets of commoner prefix tokens."""
-    ddl = "token long,cls long,n int,m int,rank int"
+    """(token, cls, n, m, rank, salt): prefix tokens of each class; rank is higher for sets of commoner prefix tokens.
+
+    salt is 0, or for frequent tokens a number above it by the class.
+    """
+    ddl = "token long,cls long,n int,m int,rank int,salt int"
 
     def run(batches):
         once = Once()
         for _, sets in sets_of(batches, size):
-            token, cls, n, m, rank = [], [], [], [], []
+            token, cls, n, m, rank, salt = [], [], [], [], [], []
             for s in sets:
                 if not len(s) or not once(key := class_key(s)):
                     continue
                 first, best = prefix(s, counts.value, load, percent, most)
                 token.append(first)
                 k = len(first)
-                common = int(np.log2(1 + counts.value[(first & U64(SKETCH - 1)).astype(np.int64)]).mean() * 1000)
+                seen = counts.value[(first & U64(SKETCH - 1)).astype(np.int64)]
+                common = int(np.log2(1 + seen).mean() * 1000)
                 cls.append(np.full(k, key, np.int64))
                 n.append(np.full(k, len(s), np.int32))
                 m.append(np.full(k, best, np.int32))
                 rank.append(np.full(k, common, np.int32))
+                salt.append(np.where(seen > load + FREQUENT, 1 + key % SPREAD, 0).astype(np.int32))
             if token:
-                yield record(ddl, np.concatenate(token).view(np.int64), *map(np.concatenate, (cls, n, m, rank)))
+                yield record(ddl, np.concatenate(token).view(np.int64), *map(np.concatenate, (cls, n, m, rank, salt)))
 
     return docs.mapInArrow(run, ddl)
 
 
-def _groups(batches):
-    """Rows of each token, from batches sorted by token, as arrays (token, cls, n, m, rank); cls is distinct.
+def _groups(batches, dense: int):
+    """Rows (token, cls, n, m, rank) of each token, from batches sorted by token, as arrays, and whether it is dense.
 
-    The rows of one token are gathered as five numbers each; a token spread over more rows than a worker should
-    hold is handed out in runs of a million, all joined to the same first class by the caller.
+    A token of over ``dense`` classes comes in parts, none gathered beyond the batch it is in. A class may come twice.
     """
-    rest = None
+    rest, crowded = None, False
     for batch in batches:
         now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        free = now[5] > 0
+        if free.any():
+            yield [c[free] for c in now[:5]], True
+            now = [c[~free] for c in now]
+        if not len(now[0]):
+            continue
+        now = now[:5]
         if rest is not None:
+            crowded = crowded and now[0][0] == rest[0][0]
             now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
-        edges = np.flatnonzero(np.diff(now[0])) + 1
-        cuts = np.concatenate(([0], edges))
-        sizes = np.diff(np.concatenate((cuts, [len(now[0])])))
-        for at, k in zip(cuts[:-1][sizes[:-1] > 1], sizes[:-1][sizes[:-1] > 1], strict=True):
-            yield [c[at : at + k] for c in now]
-        rest = [c[cuts[-1] :] for c in now] if len(now[0]) else None
-    if rest is not None and len(rest[0]) > 1:
-        yield rest
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(now[0])) + 1, [len(now[0])]))
+        for at, to in zip(cuts[:-2], cuts[1:-1], strict=True):
+            if crowded or to - at > 1:
+                rows = [c[at:to] for c in now]
+                yield rows, crowded or len(np.unique(rows[1])) > dense
+            crowded = False
+        rest = [c[cuts[-2] :] for c in now]
+        if crowded or len(np.unique(rest[1])) > dense:
+            yield rest, True
+            rest, crowded = [c[-1:] for c in rest], True  # one row tells the token on
+    if rest is not None and not crowded and len(rest[0]) > 1:
+        yield rest, False
 
 
 def meet(shared: DataFrame, percent: int, dense: int) -> DataFrame:
     """Pairs of classes under each token, or the token's classes themselves where there are over ``dense`` of them.
 
-    kind 0: (a, b) share the token; kind 1: a is a class of the dense token b, with the columns of a.
+    kind 0: (a, b) share the token; kind 1: a is a class of the dense token b, with the columns of a; it may come twice.
     """
     ddl = "kind int,a long,b long,na int,nb int,ma int,mb int,rank int"
     low, high = np.tril_indices(dense, -1)
 
     def run(batches):
         out, held = [], 0
-        for token, cls, n, m, rank in _groups(batches):
-            cls, at = np.unique(cls, return_index=True)
-            k = len(cls)
-            if k < 2:
-                continue
-            n, m, rank = n[at], m[at], rank[at]
-            if k > dense:
-                out.append((np.ones(k, np.int32), cls, np.full(k, token[0]), n, n, m, m, rank))
+        for (token, cls, n, m, rank), crowded in _groups(batches, dense):
+            if crowded:
+                out.append((np.ones(len(cls), np.int32), cls, token, n, n, m, m, rank))
             else:
+                cls, at = np.unique(cls, return_index=True)
+                k = len(cls)
+                n, m, rank = n[at], m[at], rank[at]
                 i, j = high[: k * (k - 1) // 2], low[: k * (k - 1) // 2]
                 ok = 100 * np.minimum(n[i], n[j]).astype(np.int64) >= percent * np.maximum(n[i], n[j]).astype(np.int64)
                 i, j = i[ok], j[ok]
@@ -239,15 +256,16 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(run, ddl)
 
 
-def links(docs: DataFrame, size: int = 5, percent: int = 80, most: int = 4, dense: int = 32, hubs: int = 6) -> DataFrame:
+def links(docs: DataFrame, size: int = 5, percent: int = 80, most: int = 4, dense: int = 32, hubs: int = 4) -> DataFrame:
     """Links (a, b) between classes that give the same components as all pairs at the threshold."""
     spark = docs.sparkSession
     counts = frequency_sketch(docs, size)
     load = float(counts.mean())
     sent = spark.sparkContext.broadcast(counts)
-    sorted_postings = postings(docs, sent, load, size, percent, most).repartition("token").sortWithinPartitions("token")
+    sorted_postings = postings(docs, sent, load, size, percent, most).repartition("token", "salt").sortWithinPartitions("token")
     met = stored(meet(sorted_postings, percent, dense), "met")
     crowd = met.where("kind = 1").select(F.col("b").alias("token"), F.col("a").alias("cls"), F.col("na").alias("n"), F.col("ma").alias("m"), "rank")
+    crowd = stored(crowd.dropDuplicates(["token", "cls"]), "crowd")
     counted = met.where("kind = 0").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), *[F.first(c).alias(c) for c in ("na", "nb", "ma", "mb")])
     counted = stored(counted, "counted")
     crowded = crowd.groupBy("cls").agg(F.count(F.lit(1)).alias("crowded"))
@@ -256,35 +274,38 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80, most: int = 4, dens
         pairs = pairs.join(crowded.select(F.col("cls").alias(side), F.col("crowded").alias(f"c{side}")), side, "left")
     near = F.col("k") + F.least(F.coalesce("ca", F.lit(0)), F.coalesce("cb", F.lit(0))) >= _needed(percent)
     done = stored(pairs.where(near).select("a", "b"), "pairs")
-    # Dense tokens: their classes meet the few of the highest ranks, then only across the components found.
-    ends = _hubs(crowd, hubs)
-    stars = crowd.join(ends, "token").select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b"), "n", "hub_n").where(f"a <> b AND 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)").select("a", "b").distinct()
-    stars = stored(stars.join(done, ["a", "b"], "left_anti"), "stars")
-    wanted = done.unionAll(stars).select(F.explode(F.array("a", "b")).alias("cls")).unionAll(crowd.select("cls")).distinct()
+    wanted = done.select(F.explode(F.array("a", "b")).alias("cls")).unionAll(crowd.select("cls")).distinct()
     sets = stored(token_sets(docs, wanted, size), "sets")
-    found = stored(verified(done.unionAll(stars), sets, percent).select("a", "b"), "links")
+    found = stored(verified(done, sets, percent).select("a", "b"), "links")
     if crowd.isEmpty():
         return found
+    # Dense tokens: their classes meet one of them, those outside its component a few more, then only pairs across components.
+    for turn in range(2):
+        rows, ends = _outside(crowd, stored(components(found), "labels"), hubs) if turn else (crowd, _hub(crowd.join(crowded, "cls"), "crowded"))
+        stars = rows.join(ends, "token").where(f"cls <> hub AND 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
+        stars = stars.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
+        stars = stored(stars, "stars")
+        found = found.unionAll(stored(verified(stars, sets, percent).select("a", "b"), "links"))
+        done = done.unionAll(stars)
     label = stored(components(found), "labels")
-    cross = _across(crowd, counted, label, percent).join(done.unionAll(stars), ["a", "b"], "left_anti")
+    cross = _across(crowd, label, percent).join(done, ["a", "b"], "left_anti")
     return found.unionAll(stored(verified(cross, sets, percent).select("a", "b"), "links"))
 
 
-def _across(crowd: DataFrame, counted: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes in different components that dense tokens can still bring to the threshold.
+def _across(crowd: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes in different components that dense tokens alone can bring to the threshold.
 
+    Pairs that share other tokens, too, were compared before if they could reach it with all dense tokens of either.
     The dense tokens of each class are ordered, those of fewer classes first. Of a pair that needs q of them, the first
     that both have is among all but the last q - 1 of either, so classes meet on those alone, and not at all where one
     of them has under q. The pair's tokens are then counted from both lists, which are parts of prefixes.
     """
     sizes = crowd.groupBy("token").agg(F.count(F.lit(1)).alias("classes"))
     lists = crowd.join(sizes, "token").groupBy("cls", "n", "m").agg(F.sort_array(F.collect_list(F.struct("classes", "token"))).alias("own"))
-    both = counted.select(F.col("a").alias("cls"), "k").unionAll(counted.select(F.col("b").alias("cls"), "k"))
-    lists = lists.join(both.join(crowd.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.max("k").alias("other")), "cls", "left")
     lists = lists.join(label.withColumnRenamed("node", "cls"), "cls", "left")
-    lists = lists.select("cls", "n", "m", F.coalesce("other", F.lit(0)).alias("other"), F.coalesce("component", "cls").alias("comp"), F.col("own.token").alias("own"))
+    lists = lists.select("cls", "n", "m", F.coalesce("component", "cls").alias("comp"), F.col("own.token").alias("own"))
     lists = stored(lists, "dense")
-    each = lists.select("cls", "n", "m", "other", "comp", F.size("own").alias("size"), F.posexplode("own").alias("pos", "token"))
+    each = lists.select("cls", "n", "m", "comp", F.size("own").alias("size"), F.posexplode("own").alias("pos", "token"))
     held = each.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("classes"))
     held = held.groupBy("token").agg(F.max(F.struct("classes", "comp"))["comp"].alias("most"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
     each = each.join(held.select("token", "most"), "token").withColumn("outside", F.col("comp") != F.col("most"))
@@ -294,29 +315,34 @@ def _across(crowd: DataFrame, counted: DataFrame, label: DataFrame, percent: int
     each = each.join(bands, "token").where(f"100 * n >= {percent} * least_n AND 100 * most_n >= {percent} * n")
     overlap = F.ceil(F.lit(percent) * (F.col("n") + F.col("least_n")) / F.lit(100.0 + percent) - F.lit(1e-9))
     rest = F.greatest(F.ceil(F.col("n") * percent / F.lit(100.0) - F.lit(1e-9)) - F.col("m"), F.ceil(F.col("most_n") * percent / F.lit(100.0) - F.lit(1e-9)) - F.col("least_m"))
-    least = F.greatest(F.greatest(F.least("m", "least_m"), overlap - rest) - F.col("other"), F.lit(1))
+    least = F.greatest(F.least("m", "least_m"), overlap - rest, F.lit(1))
     each = each.where(F.col("pos") <= F.col("size") - least).withColumn("low", F.least("band", "with")).withColumn("high", F.greatest("band", "with"))
     x = each.where("outside").select("token", "low", "high", F.col("cls").alias("a"), F.col("comp").alias("compa"))
     y = each.select("token", "low", "high", F.col("cls").alias("b"), F.col("comp").alias("compb"), "outside")
     pairs = x.join(y, ["token", "low", "high"]).where("compa <> compb AND (NOT outside OR a < b)")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     for side in "ab":
-        pairs = pairs.join(lists.select(*[F.col(c).alias(f"{t}{side}") for c, t in (("cls", ""), ("n", "n"), ("m", "m"), ("other", "o"), ("own", "own"))]), side)
-    needed = F.greatest(_needed(percent) - F.least("oa", "ob"), F.lit(1))
+        pairs = pairs.join(lists.select(*[F.col(c).alias(f"{t}{side}") for c, t in (("cls", ""), ("n", "n"), ("m", "m"), ("own", "own"))]), side)
     sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    return pairs.where(sizes & (F.size(F.array_intersect("owna", "ownb")) >= needed)).select("a", "b")
+    return pairs.where(sizes & (F.size(F.array_intersect("owna", "ownb")) >= _needed(percent))).select("a", "b")
+
+
+def _hub(rows: DataFrame, *first: str) -> DataFrame:
+    """(token, hub, hub_n): the class of each token that is greatest by the columns ``first``, then by rank."""
+    best = rows.groupBy("token").agg(F.max(F.struct(*first, "rank", "n", "cls")).alias("h"))
+    return best.select("token", F.col("h.cls").alias("hub"), F.col("h.n").alias("hub_n"))
 
 
-def _hubs(crowd: DataFrame, hubs: int) -> DataFrame:
-    """(token, hub, hub_n): up to ``hubs`` classes of each token; the best by rank, and the least by two hashes."""
-    picks = [F.max(F.struct("rank", "n", "cls")).alias("h0")]
-    picks += [F.min(F.struct(F.xxhash64("cls", F.lit(i)).alias("rank"), "n", "cls")).alias(f"h{i}") for i in range(1, hubs)]
-    one = crowd.groupBy("token").agg(*picks)
-    each = [one.select("token", F.col(f"h{i}.cls").alias("hub"), F.col(f"h{i}.n").alias("hub_n")) for i in range(hubs)]
-    out = each[0]
-    for more in each[1:]:
-        out = out.unionAll(more)
-    return out.distinct()
+def _outside(crowd: DataFrame, label: DataFrame, hubs: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of each token outside its largest component, and its hubs: ``hubs`` of that component, and one outside it."""
+    rows = crowd.join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
+    held = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("classes"))
+    held = held.groupBy("token").agg(F.max(F.struct("classes", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    rows = rows.join(held, "token")
+    outside = rows.where("comp <> main")
+    drawn = rows.where("comp = main").groupBy("token").agg(F.array(*[F.min(F.struct(F.xxhash64("cls", F.lit(i)), "n", "cls")) for i in range(hubs)]).alias("h"))
+    drawn = drawn.select("token", F.explode("h").alias("h")).select("token", F.col("h.cls").alias("hub"), F.col("h.n").alias("hub_n"))
+    return outside.select("token", "cls", "n"), drawn.unionAll(_hub(outside)).distinct()
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, most: int = 4, dense: int = 32) -> DataFrame:
@@ -330,7 +356,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs = documents(df, id_col, text_col)
     own = stored(classes(docs, size), "classes")
     least = own.where("cls <> 0").groupBy("cls").agg(F.min("doc_id").alias("low"))
-    label = components(links(docs, size, percent, most, dense)).withColumnRenamed("node", "cls")
+    with scratch(docs.sparkSession):
+        label = stored(components(links(docs, size, percent, most, dense)).withColumnRenamed("node", "cls"), "labels", keep=True)
     named = least.join(label, "cls", "left").select("cls", "low", F.coalesce("component", "cls").alias("component"))
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
     named = named.join(lowest, "component").select("cls", "component_id")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bloom import Bloom
-from .common import documents, record, slices, stored, table, text_buffer
+from .common import documents, record, scratch, slices, stored, table, text_buffer
 from .words import U64, mix
 
 LENGTH, ANCHOR = 400, 64
@@ -327,7 +327,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ignored; an empty table gives an empty result.
     """
     docs = documents(df, id_col, text_col)
-    spans = stored(merged(repeated_spans(docs, length, anchor, most)), "spans")
+    with scratch(df.sparkSession):
+        spans = stored(merged(repeated_spans(docs, length, anchor, most)), "spans", keep=True)
     hit = Bloom(spans.select("key"))
     ddl = "doc_id long,key long,text string,clean boolean"
 
@@ -358,7 +359,8 @@ def with_text_kept(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Where a cut leaves some bytes of a character only, they go too. A null text stays null.
     """
-    spans = stored(merged(repeated_spans(documents(df, id_col, text_col), length, anchor, most)), "spans")
+    with scratch(df.sparkSession):
+        spans = stored(merged(repeated_spans(documents(df, id_col, text_col), length, anchor, most)), "spans", keep=True)
     hit = Bloom(spans.select("key"))
 
     @F.pandas_udf("long")
