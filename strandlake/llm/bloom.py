@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import trimmed
 from .words import U64, mix
 
 #: Bits of a filter; 8 MB whatever it holds.
@@ -33,7 +34,7 @@ class Bloom:
                 yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(bits.tobytes(), 1)], pa.binary())], names=["bits"])
 
         bits = np.zeros(BITS // 8, np.uint8)
-        for row in keys.coalesce(tasks).mapInArrow(mark, "bits binary").collect():  # ``tasks`` rows of at most 8 MB
+        for row in keys.coalesce(tasks).mapInArrow(trimmed(mark), "bits binary").collect():  # ``tasks`` rows of at most 8 MB
             bits |= np.frombuffer(zlib.decompress(row.bits), np.uint8)
         self._sent = keys.sparkSession.sparkContext.broadcast(bits)
 

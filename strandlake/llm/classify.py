@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, trimmed
 from .subword import Model, Scorer, Settings, calibrate, train
 
 
@@ -53,7 +53,7 @@ def fit(docs: DataFrame, labelled: DataFrame, rows: int, settings: Settings, pri
             model.floor = min(0.5, right[len(right) // 200]) if right else 0.0
         yield pa.RecordBatch.from_arrays([pa.array([model.dumps()], pa.binary())], names=["model"])
 
-    got = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    got = sample.repartition(1).mapInArrow(trimmed(run), "model binary").collect()
     return pickle.loads(got[0].model) if got else None
 
 
@@ -69,4 +69,4 @@ def scored(docs: DataFrame, model: Model | None, ddl: str, row) -> DataFrame:
         for part in slices(batches):
             yield row(part.column(0), part.column(1).to_pylist(), scorer)
 
-    return docs.mapInArrow(run, ddl)
+    return docs.mapInArrow(trimmed(run), ddl)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -9,6 +11,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +73,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What a worker keeps between the tasks of one stage, and that stage.
+_KEPT: dict = {}
+
+
+def _of_this_stage() -> dict:
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    if _KEPT.get("stage") != stage:
+        _KEPT.clear()
+        _KEPT["stage"] = stage
+    return _KEPT
+
+
+def kept(key: tuple, make):
+    """make(), once for all tasks of a stage that a worker runs; it goes when the worker turns to another stage."""
+    held = _of_this_stage()
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+def trimmed(run):
+    """run, a function of record batches for mapInArrow, that gives freed memory back to the system when a task ends.
+
+    Spark keeps Python workers for later tasks, and the allocators of idle ones keep what they once had.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _of_this_stage()
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+            if trim:
+                trim(0)
+
+    return work
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row ranges of the batches whose text column holds about ``size`` bytes; a longer text is a slice of its own."""
     for batch in batches:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, record, slices, table, text_buffer
+from .common import documents, record, slices, table, text_buffer, trimmed
 from .words import U64, mix, sequences, shingles, words
 
 SIZE, PERCENT = 5, 80
@@ -180,7 +180,7 @@ def _whole(items: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
             used = int((np.diff(w.first) > 0).sum())
             yield pa.RecordBatch.from_arrays([pa.array([None, *found.tolist()], pa.int64()), pa.array([used, *k.tolist()], pa.int64())], names=["t", "k"])
 
-    got = items.where("item_id IS NOT NULL").mapInArrow(count, "t long, k long").groupBy("t").agg(F.sum("k").alias("k")).where("t IS NULL OR k > 1").toArrow()
+    got = items.where("item_id IS NOT NULL").mapInArrow(trimmed(count), "t long, k long").groupBy("t").agg(F.sum("k").alias("k")).where("t IS NULL OR k > 1").toArrow()
     total = sum(k for t, k in zip(got["t"].to_pylist(), got["k"].to_pylist(), strict=True) if t is None) if got["t"].null_count else 0
     got = got.filter(got["t"].is_valid())
     known, k = got["t"].to_numpy().view(U64), got["k"].to_numpy()
@@ -213,7 +213,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     rows, *rest = map(list, zip(*found, strict=True))
                     yield record(ddl, part.column(0).take(pa.array(rows, pa.int64())), *rest)
 
-        more = docs.mapInArrow(run, ddl)
+        more = docs.mapInArrow(trimmed(run), ddl)
         out = more if out is None else out.unionAll(more)
     return out
 
@@ -230,7 +230,7 @@ def uncontaminated(df: DataFrame, benchmark: DataFrame, text_col: str = "text",
                     keep[[f[0] for f in _found(index, part.column(text_col), percent)]] = False
                 yield part.filter(pa.array(keep))
 
-        df = df.mapInArrow(run, df.schema)
+        df = df.mapInArrow(trimmed(run), df.schema)
     return df
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import record, table
+from .common import record, table, trimmed
 
 #: Pages aligned with one reference, and the largest share of all pages that one (host, salt) may hold, as 1 / SHARES.
 GROUP, SHARES = 32, 100_000
@@ -493,8 +493,8 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
         yield from flush(True)
 
     mixed = pages.withColumn("mixed", F.xxhash64("html"))  # copies are side by side, others in no order of their own
-    dealt = mixed.mapInArrow(salt, "page_id long,url string,html string,host string,mixed long,salt long").repartition("host", "salt")
-    return dealt.sortWithinPartitions("host", "salt", "mixed", "html", "page_id").mapInArrow(run, ddl)
+    dealt = mixed.mapInArrow(trimmed(salt), "page_id long,url string,html string,host string,mixed long,salt long").repartition("host", "salt")
+    return dealt.sortWithinPartitions("host", "salt", "mixed", "html", "page_id").mapInArrow(trimmed(run), ddl)
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bloom import Bloom
-from .common import documents, record, scratch, slices, stored, table, text_buffer
+from .common import documents, record, scratch, slices, stored, table, text_buffer, trimmed
 from .graph import components
 from .words import U64, mix, shingle_sets, words
 
@@ -86,7 +86,7 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
         yield record("block long,counts binary", list(total), pa.array([zlib.compress(np.minimum(v, 2**31 - 1).astype(np.int32).tobytes(), 1) for v in total.values()], pa.binary()))
 
     ddl = "block long,counts binary"
-    summed = docs.mapInArrow(count, ddl).repartition(SKETCH // BLOCK, "block").mapInArrow(add, ddl)
+    summed = docs.mapInArrow(trimmed(count), ddl).repartition(SKETCH // BLOCK, "block").mapInArrow(trimmed(add), ddl)
     out = np.zeros(SKETCH, np.int32)
     for row in summed.collect():
         out[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(row.counts), np.int32)
@@ -117,7 +117,7 @@ def classes(docs: DataFrame, size: int = 5) -> DataFrame:
         for ids, sets in sets_of(batches, size):
             yield record("doc_id long,cls long,n_shingles long", ids, [class_key(s) for s in sets], [len(s) for s in sets])
 
-    return docs.mapInArrow(run, "doc_id long,cls long,n_shingles long")
+    return docs.mapInArrow(trimmed(run), "doc_id long,cls long,n_shingles long")
 
 
 def postings(docs: DataFrame, counts, load: float, size: int, percent: int, most: int) -> DataFrame:
@@ -147,7 +147,7 @@ def postings(docs: DataFrame, counts, load: float, size: int, percent: int, most
             if token:
                 yield record(ddl, np.concatenate(token).view(np.int64), *map(np.concatenate, (cls, n, m, rank, salt)))
 
-    return docs.mapInArrow(run, ddl)
+    return docs.mapInArrow(trimmed(run), ddl)
 
 
 def _groups(batches, dense: int):
@@ -210,7 +210,7 @@ def meet(shared: DataFrame, percent: int, dense: int) -> DataFrame:
         if out:
             yield record(ddl, *map(np.concatenate, zip(*out, strict=True)))
 
-    return shared.mapInArrow(run, ddl)
+    return shared.mapInArrow(trimmed(run), ddl)
 
 
 def _needed(percent: int):
@@ -235,7 +235,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             if kept:
                 yield record("cls long,tokens binary", keys[kept], pa.array([sets[i].tobytes() for i in kept], pa.binary()))
 
-    return docs.mapInArrow(run, "cls long,tokens binary").dropDuplicates(["cls"])
+    return docs.mapInArrow(trimmed(run), "cls long,tokens binary").dropDuplicates(["cls"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -253,7 +253,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield record(ddl, *(batch.column(c).take(pa.array(ok)) for c in (0, 1)), np.array(both, np.int64)[ok], np.array(either, np.int64)[ok])
 
     x, y = (sets.select(F.col("cls").alias(s), F.col("tokens").alias(f"t{s}")) for s in "ab")
-    return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(run, ddl)
+    return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(trimmed(run), ddl)
 
 
 def links(docs: DataFrame, size: int = 5, percent: int = 80, most: int = 4, dense: int = 32, hubs: int = 4) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .classify import fit, fold, scored
-from .common import documents, record, slices, table
+from .common import documents, record, slices, table, trimmed
 from .subword import Model, Scorer, Settings
 
 #: Documents that the classifier is fitted on, at most about; evenly over the languages if there are so many.
@@ -66,7 +66,7 @@ def recognized(df: DataFrame, model: Model | None, text_col: str = "text") -> Da
             texts = [t or "" for t in part.column(text_col).to_pylist()]
             yield part.filter(pa.array([not r for r in _judged(texts, scorer)[2]], pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(trimmed(run), df.schema)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

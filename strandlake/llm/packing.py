@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, record, slices, stored, table
+from .common import documents, record, slices, stored, table, trimmed
 from .tokens import AT_ONCE, encoder
 
 VOCAB, END_ID, WINDOW = "word_bpe_49k.json", 2, 4096
@@ -125,7 +125,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: in
         if last:  # negative until they are merged
             yield _rows(last, -((part + 1) << 32))
 
-    packed = stored(docs.mapInArrow(run, DDL), "pieces")
+    packed = stored(docs.mapInArrow(trimmed(run), DDL), "pieces")
     open_ = packed.where("sequence_id < 0")
 
     def merge(batches):
@@ -151,7 +151,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: in
             yield flush(group, windows)
 
     group = F.floor((-F.shiftright("sequence_id", 32) - 1) / FAN_IN)
-    last = open_.withColumn("group", group).repartition("group").sortWithinPartitions("group", "sequence_id", "offset").mapInArrow(merge, DDL)
+    last = open_.withColumn("group", group).repartition("group").sortWithinPartitions("group", "sequence_id", "offset").mapInArrow(trimmed(merge), DDL)
     return packed.where("sequence_id >= 0").unionAll(last)
 
 

@@ -13,13 +13,13 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .bloom import Bloom
-from .common import documents, record, scratch, slices, stored, table, text_buffer
+from .common import documents, record, scratch, slices, stored, table, text_buffer, trimmed
 from .words import U64, mix
 
 LENGTH, ANCHOR = 400, 64
@@ -242,7 +242,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             if len(doc):
                 yield record(ddl, _keys(part, data, ends)[doc], s.astype(np.int32), e.astype(np.int32), a.astype(np.int32), fp, seg)
 
-    all_ = stored(docs.mapInArrow(cut, ddl), "segments")
+    all_ = stored(docs.mapInArrow(trimmed(cut), ddl), "segments")
     equal = all_.groupBy("fp", "seg").agg(F.count(F.lit(1)).alias("c"))
     by_anchor = equal.groupBy("fp").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("fewest"))
     several = stored(equal.join(by_anchor.where("k > 1 OR fewest > 1"), "fp"), "several")
@@ -270,7 +270,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
                 own = [raw[ends[doc[i]] + s[i] : ends[doc[i]] + e[i]] for i in hit]
                 yield record(ddl + ",bytes binary", _keys(part, data, ends)[doc[hit]], s[hit].astype(np.int32), e[hit].astype(np.int32), a[hit].astype(np.int32), fp[hit], seg[hit], pa.array(own, pa.binary()))
 
-    texts = docs.mapInArrow(fetch, ddl + ",bytes binary").dropDuplicates(["fp", "seg"]).join(mixed, ["fp", "seg"])
+    texts = docs.mapInArrow(trimmed(fetch), ddl + ",bytes binary").dropDuplicates(["fp", "seg"]).join(mixed, ["fp", "seg"])
     fields = "fp", "key", "s", "e", "a", "c", "bytes"
     texts = stored(texts.select(*fields, "k"), "mixed")
     spans = "key long,start int,end int"
@@ -293,7 +293,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
         if rows:
             yield flush()
 
-    small = texts.where(F.col("k") <= most).select(*fields).repartition("fp").sortWithinPartitions("fp").mapInArrow(compare, spans)
+    small = texts.where(F.col("k") <= most).select(*fields).repartition("fp").sortWithinPartitions("fp").mapInArrow(trimmed(compare), spans)
     large = texts.where(F.col("k") > most)
 
     def strings(batches):
@@ -303,7 +303,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
                 n = len(starts)
                 yield record("fp long,off int,h long,key long,start int", np.full(n, fp), (starts + s - a).astype(np.int32), Hashes(np.frombuffer(raw, np.uint8))(starts, starts + length).view(np.int64), np.full(n, key), (starts + s).astype(np.int32))
 
-    each = large.select(*fields).mapInArrow(strings, "fp long,off int,h long,key long,start int")
+    each = large.select(*fields).mapInArrow(trimmed(strings), "fp long,off int,h long,key long,start int")
     twice = each.groupBy("fp", "off", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     rest = each.join(twice, ["fp", "off", "h"]).select("key", "start", (F.col("start") + length).cast("int").alias("end"))
     return whole.unionAll(small).unionAll(rest)
@@ -338,7 +338,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             keys = _keys(piece, data, ends)
             yield record(ddl, piece.column(0), keys, piece.column(1), ~hit.has(keys))
 
-    keyed = docs.mapInArrow(part, ddl)
+    keyed = docs.mapInArrow(trimmed(part), ddl)
     out = "doc_id long,n_bytes long,starts array<int>,ends array<int>,kept binary"
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("kept", pa.binary())])
 
@@ -351,7 +351,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     none = F.lit(None).cast("array<int>")
     some = keyed.where("NOT clean").join(spans, "key", "left").select("doc_id", "text", F.col("spans.s").alias("s"), F.col("spans.e").alias("e"))
-    return keyed.where("clean").select("doc_id", "text", none.alias("s"), none.alias("e")).unionAll(some).mapInArrow(cut, out)
+    return keyed.where("clean").select("doc_id", "text", none.alias("s"), none.alias("e")).unionAll(some).mapInArrow(trimmed(cut), out)
 
 
 def with_text_kept(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = PASSAGE, anchor: int = ANCHOR, most: int = MOST) -> DataFrame:
@@ -363,26 +363,27 @@ def with_text_kept(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         spans = stored(merged(repeated_spans(documents(df, id_col, text_col), length, anchor, most)), "spans", keep=True)
     hit = Bloom(spans.select("key"))
 
-    @F.pandas_udf("long")
-    def key(ids: pd.Series, texts: pd.Series) -> pd.Series:
-        keys = np.array([text_key(None if pd.isna(i) else int(i), t.encode()) for i, t in zip(ids, texts, strict=True)], np.int64)
-        return pd.Series(pd.array(keys, "Int64")).mask(~hit.has(keys)) if len(keys) else pd.Series([], dtype="Int64")
+    names = df.columns
 
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-        out = []
-        for t, s, e in zip(texts, starts, ends, strict=True):
-            raw = t.encode()
-            out.append("".join(raw[a:b].decode(errors="ignore") for a, b in zip([0, *e], [*s, len(raw)], strict=True)))
-        return pd.Series(out)
+    def key(batches):
+        for part in slices(batches, text_col):
+            data, ends = text_buffer(part.column(text_col))
+            keys = _keys(pa.RecordBatch.from_arrays([part.column(id_col).cast(pa.int64())], names=["id"]), data, ends)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, mask=~hit.has(keys))], names=[*names, "__key"])
 
-    keyed = df.withColumn("__key", key(F.col(id_col).cast("long"), F.coalesce(text_col, F.lit(""))))
+    def cut(batches):
+        for part in slices(batches, text_col):
+            texts = []
+            for t, ranges in zip(part.column(text_col).to_pylist(), part.column(len(names)).to_pylist(), strict=True):
+                raw = t.encode()
+                texts.append("".join(raw[a:b].decode(errors="ignore") for a, b in zip([0, *(r["e"] for r in ranges)], [*(r["s"] for r in ranges), len(raw)], strict=True)))
+            new = {text_col: texts} | ({"n_chars": [len(t) for t in texts]} if "n_chars" in names else {})
+            yield pa.RecordBatch.from_arrays([pa.array(new[n], part.column(n).type) if n in new else part.column(n) for n in names], names=names)
+
+    keyed = df.mapInArrow(trimmed(key), StructType([*df.schema.fields, StructField("__key", LongType())]))
     some = keyed.where("__key IS NOT NULL").join(spans.withColumnRenamed("key", "__key").withColumnRenamed("spans", "__spans"), "__key", "left")
-    new = some.where("__spans IS NOT NULL").withColumn(text_col, cut(text_col, F.col("__spans.s"), F.col("__spans.e")))
-    if "n_chars" in df.columns:
-        new = new.withColumn("n_chars", F.length(text_col).cast(dict(df.dtypes)["n_chars"]))
-    same = keyed.where("__key IS NULL").select(*df.columns).unionAll(some.where("__spans IS NULL").select(*df.columns))
-    return same.unionAll(new.select(*df.columns))
+    new = some.where("__spans IS NOT NULL").select(*names, "__spans").mapInArrow(trimmed(cut), df.schema)
+    return keyed.where("__key IS NULL").select(*names).unionAll(some.where("__spans IS NULL").select(*names)).unionAll(new)
 
 
 def op8_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -16,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, record, slices, table, text_buffer
+from .common import documents, kept, record, slices, table, text_buffer, trimmed
 from .tokens import vocabulary
 
 VOCAB, LIMIT = "byte_bpe_50k.json", 1024
@@ -118,10 +117,9 @@ class Counter:
         return self._piece(text)
 
 
-@lru_cache(2)
 def counter(vocab: str) -> Counter:
-    """One counter for all tasks that a worker runs."""
-    return Counter(vocab)
+    """One counter for all tasks of a stage that a worker runs."""
+    return kept((vocab,), lambda: Counter(vocab))
 
 
 def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab: str = VOCAB, limit: int = LIMIT) -> DataFrame:
@@ -138,7 +136,7 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             _, ends = text_buffer(batch.column(1))
             yield record(ddl, batch.column(0), np.diff(ends), [count(t) for t in batch.column(1).to_pylist()])
 
-    return documents(df, id_col, text_col).mapInArrow(run, ddl).withColumn("over_limit", F.col("n_tokens") > limit)
+    return documents(df, id_col, text_col).mapInArrow(trimmed(run), ddl).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

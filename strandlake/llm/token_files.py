@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import dac
-from .common import documents, new_path, record, slices, table
+from .common import documents, new_path, record, slices, table, trimmed
 from .tokens import AT_ONCE, encoder
 
 VOCAB, END_ID = "word_bpe_49k.json", 1
@@ -60,7 +60,7 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         if ids:
             yield closed()
 
-    ordered.mapInArrow(run, _SEGMENTS).write.parquet(path)
+    ordered.mapInArrow(trimmed(run), _SEGMENTS).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -84,7 +84,7 @@ def document_tokens(segments: DataFrame) -> DataFrame:
                 raw = dac.Reader(codes.as_buffer()).all().astype("<u4").tobytes()
                 yield record("doc_id long,start long,ids binary", pa.array(docs.as_py(), pa.int64()), base.as_py() + ends[:-1], pa.array([raw[4 * a : 4 * b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()))
 
-    return segments.select("doc_ids", "lengths", "codes", "base").mapInArrow(run, "doc_id long,start long,ids binary")
+    return segments.select("doc_ids", "lengths", "codes", "base").mapInArrow(trimmed(run), "doc_id long,start long,ids binary")
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

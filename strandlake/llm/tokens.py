@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 
+from .common import kept
+
 #: Distinct parts that a worker remembers, and their characters; the half used longest ago goes when there are more.
 CACHED, CHARACTERS = 400_000, 16_000_000
 #: Text bytes encoded at a time; the library's results for new parts take many times their size.
@@ -115,7 +116,6 @@ class Encoder:
         return out, counts
 
 
-@lru_cache(2)
 def encoder(vocab: str, end_id: int) -> Encoder:
-    """One encoder for all tasks that a worker runs."""
-    return Encoder(vocab, end_id)
+    """One encoder for all tasks of a stage that a worker runs."""
+    return kept((vocab, end_id), lambda: Encoder(vocab, end_id))
