@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one numpy step works on; bounds a worker's memory whatever the Arrow batch holds.
 SLICE_BYTES = 2 << 20
+#: Bytes of an Arrow batch on its way to and from a worker.
+BATCH_BYTES = 4 << 20
 
 
 #: Paths written inside the open scratch() blocks, on the driver.
@@ -64,12 +66,20 @@ def scratch(spark: SparkSession):
             path.getFileSystem(conf).delete(path, True)
 
 
+def bounded(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes where its user has not: by rows alone, those of whole texts take much memory."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id (long) and text (null becomes empty) alone, whatever else and under whatever names df carries."""
+    bounded(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
