@@ -14,7 +14,7 @@ import numpy as np
 
 U64 = np.uint64
 #: Distinct words whose contributions a worker remembers; dropped together when full. Words cut into n-grams at a time.
-CACHED, STEP = 300_000, 50_000
+CACHED, STEP = 150_000, 50_000
 
 
 @dataclass(frozen=True)
