@@ -17,9 +17,13 @@ def tiled(contigs: DataFrame, tile: int = TILE, pad: int = PAD) -> DataFrame:
     ``first`` is the position of the piece's first base. Bases other than A, C, G, T become N.
     """
     clean = contigs.select("seqnames", F.regexp_replace(F.upper("seq"), "[^ACGTN]", "N").alias("all"))
-    each = clean.withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.length("all") - 1) / tile))))
-    first = F.greatest(F.col("tile") * tile - pad + 1, F.lit(1))
-    return each.select("seqnames", "tile", first.alias("first"), F.substr("all", first.cast("int"), ((F.col("tile") + 1) * tile + pad - first + 1).cast("int")).alias("seq"))
+    cut = clean.select("seqnames", F.regexp_extract_all("all", F.lit(f".{{1,{tile}}}"), F.lit(0)).alias("cut"))  # one pass, however long
+    before = lambda i: F.coalesce(F.right(F.get("cut", i - 1), F.lit(pad)), F.lit(""))
+    after = lambda i: F.coalesce(F.left(F.get("cut", i + 1), F.lit(pad)), F.lit(""))
+    padded = cut.select("seqnames", F.transform("cut", lambda piece, i: F.concat(before(i), piece, after(i))).alias("padded"))
+    each = padded.select("seqnames", F.posexplode("padded").alias("tile", "seq"))
+    first = F.greatest(F.col("tile") * tile - pad + 1, F.lit(1)).cast("long")
+    return each.select("seqnames", F.col("tile").cast("long").alias("tile"), first.alias("first"), "seq")
 
 
 def context(points: DataFrame, tiles: DataFrame, left: int, right: int, pos: str = "start_pos", name: str = "context", tile: int = TILE) -> DataFrame:
@@ -57,13 +61,10 @@ def trinucleotides(points: DataFrame, tiles: DataFrame, pos: str = "start_pos")
 
 
 def trinucleotide_counts(contigs: DataFrame, tile: int = TILE) -> DataFrame:
-    """(tnc, n): plus-strand trinucleotides of known bases over all contigs."""
-    pieces = tiled(contigs, tile, 1)
-    at = F.greatest(F.col("tile") * tile + 1, F.lit(2)) - F.col("first") + 1  # centres that are the tile's own
-    last = F.least((F.col("tile") + 1) * tile - F.col("first") + 1, F.length("seq") - 1)
-    centres = pieces.where(at <= last).withColumn("p", F.explode(F.sequence(at, last)))
-    each = centres.select(F.substr("seq", (F.col("p") - 1).cast("int"), F.lit(3)).alias("tnc"))
-    return each.where("tnc RLIKE '^[ACGT]{3}$'").groupBy("tnc").agg(F.count(F.lit(1)).alias("n"))
+    """(tnc, n): plus-strand trinucleotides of known bases over all contigs. A tile with one more base on each side has just its own."""
+    frames = [F.regexp_extract_all(F.substr("seq", F.lit(k)), F.lit("..."), F.lit(0)) for k in (1, 2, 3)]
+    each = tiled(contigs, tile, 1).select(F.explode(F.concat(*frames)).alias("tnc"))
+    return each.groupBy("tnc").agg(F.count(F.lit(1)).alias("n")).where("tnc RLIKE '^[ACGT]{3}$'")
 
 
 def to_pyrimidines(counts: DataFrame) -> DataFrame:

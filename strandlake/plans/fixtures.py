@@ -95,6 +95,11 @@ from events e join (select count(*) as n from fx_contig) k on 1=1 join fx_contig
 
 
 def with_views(sql: str) -> str:
-    """sql, whose first word is SELECT or a further 'name AS (...)' list, after the views it may use."""
-    heads = ", ".join(f"{name} AS MATERIALIZED ({body})" for name, body in _PARTS.items())
-    return f"WITH {heads} {sql}" if sql.lstrip()[:6].upper() == "SELECT" else f"WITH {heads}, {sql}"
+    """sql, whose first word is SELECT or a further 'name AS (...)' list, after those of the views that it uses."""
+    used = {name for name in _PARTS if name in sql}
+    for name in reversed(_PARTS):  # a view stands after those that it uses
+        used |= {other for other in _PARTS if name in used and other in _PARTS[name]}
+    heads = ", ".join(f"{name} AS MATERIALIZED ({body})" for name, body in _PARTS.items() if name in used)
+    if sql.lstrip()[:6].upper() == "SELECT":
+        return f"WITH {heads} {sql}" if heads else sql
+    return f"WITH {heads}, {sql}" if heads else f"WITH {sql}"

@@ -15,16 +15,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def parse_sam(lines: DataFrame) -> DataFrame:
     """Alignments: qname, flag, strand, ccs_strand, seqnames, start_pos, end_pos, mapq, cigar, seq, and tags as a map.
 
-    ``ccs_strand`` is the name's suffix, fwd or rev; end_pos follows from the CIGAR.
+    ``ccs_strand`` is the name's suffix, fwd or rev; end_pos follows from the CIGAR and is null for unmapped records.
     """
     f = F.split("value", "\t")
     rows = lines.where(~F.col("value").startswith("@")).select(
-        f[0].alias("qname"), f[1].cast("int").alias("flag"), f[2].alias("seqnames"), f[3].cast("long").alias("start_pos"), f[4].cast("int").alias("mapq"), f[5].alias("cigar"), f[9].alias("seq"),
+        F.get(f, F.lit(0)).alias("qname"), F.get(f, F.lit(1)).cast("int").alias("flag"), F.get(f, F.lit(2)).alias("seqnames"), F.get(f, F.lit(3)).cast("long").alias("start_pos"), F.get(f, F.lit(4)).cast("int").alias("mapq"), F.get(f, F.lit(5)).alias("cigar"), F.get(f, F.lit(9)).alias("seq"),
         F.map_from_entries(F.transform(F.slice(f, 12, F.greatest(F.size(f) - 11, F.lit(0))), lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.substr(t, F.lit(6)).alias("v")))).alias("tags"),
     )
     rows = rows.withColumn("strand", F.when(F.col("flag").bitwiseAND(16) > 0, "-").otherwise("+")).withColumn("ccs_strand", F.regexp_extract("qname", "(fwd|rev)$", 1))
     ranges = cigar_ranges("cigar", "start_pos")
-    return rows.withColumn("end_pos", F.element_at(F.transform(ranges, lambda o: o["r_end"]), -1))
+    return rows.withColumn("end_pos", F.try_element_at(F.transform(ranges, lambda o: o["r_end"]), F.lit(-1)))
 
 
 def parse_read_groups(lines: DataFrame) -> DataFrame:
@@ -38,15 +38,17 @@ def parse_vcf(lines: DataFrame) -> DataFrame:
     """Variants of one sample, a row for each alternate its genotype has: place, alleles without their shared first base,
     qual, filter, gt, gq, ad1, ad2, depth, vaf, call_class and call_type. Unknown alternates (*, <*>) drop out.
 
-    Insertions get start_pos = end_pos + 1, deletions the span of the bases deleted.
+    Insertions get start_pos = end_pos + 1, deletions the span of the bases deleted. Missing values ('.') are null, and
+    sites without a genotype give no row.
     """
     f = F.split("value", "\t")
-    rows = lines.where(~F.col("value").startswith("#")).select(f[0].alias("seqnames"), f[1].cast("long").alias("pos"), f[3].alias("ref"), F.split(f[4], ",").alias("alts"), f[5].cast("double").alias("qual"), f[6].alias("filter"), F.map_from_arrays(F.split(f[8], ":"), F.split(f[9], ":")).alias("s"))
+    rows = lines.where(~F.col("value").startswith("#")).select(F.get(f, F.lit(0)).alias("seqnames"), F.get(f, F.lit(1)).cast("long").alias("pos"), F.get(f, F.lit(3)).alias("ref"), F.split(F.get(f, F.lit(4)), ",").alias("alts"), F.get(f, F.lit(5)).try_cast("double").alias("qual"), F.get(f, F.lit(6)).alias("filter"), F.get(f, F.lit(8)).alias("keys"), F.split(F.get(f, F.lit(9)), ":").alias("values"))
+    rows = rows.where("values IS NOT NULL").withColumn("s", F.map_from_entries(F.transform(F.split("keys", ":"), lambda k, i: F.struct(k.alias("k"), F.get("values", i).alias("v")))))
     each = rows.select("*", F.posexplode("alts").alias("i", "alt")).where(~F.col("alt").isin("*", "<*>"))
     gt = F.col("s")["GT"]
     each = each.where(F.array_contains(F.split(gt, "[/|]"), (F.col("i") + 1).cast("string")))
     ad = F.split(F.col("s")["AD"], ",")
-    each = each.withColumns({"ad1": ad[0].cast("int"), "ad2": F.get(ad, F.col("i") + 1).cast("int"), "depth": F.col("s")["DP"].cast("int"), "gq": F.col("s")["GQ"].cast("double"), "gt": gt})
+    each = each.withColumns({"ad1": F.get(ad, F.lit(0)).try_cast("int"), "ad2": F.get(ad, F.col("i") + 1).try_cast("int"), "depth": F.col("s")["DP"].try_cast("int"), "gq": F.col("s")["GQ"].try_cast("double"), "gt": gt})
     lr, la = F.length("ref"), F.length("alt")
     kind = F.when((lr == 1) & (la == 1), "SBS").when((lr == 1) & (la > 1), "insertion").when((lr > 1) & (la == 1), "deletion").otherwise("other")
     each = each.withColumn("call_type", kind).withColumn("call_class", F.when(kind == "SBS", "SBS").otherwise("indel"))
