@@ -64,11 +64,25 @@ def restrict(x: DataFrame, regions: DataFrame, keys: Sequence[str] = CONTIG, bin
 def merge(x: DataFrame, keys: Sequence[str] = CONTIG, tile: int = TILE) -> DataFrame:
     """Maximal unions of overlapping or touching intervals with equal keys: (keys, start_pos, end_pos).
 
-    Zero-width rows vanish. Intervals are first merged within tiles of their starts, so that the second pass, over
-    whole contigs, sees few rows.
+    Zero-width rows vanish; null keys are equal to each other. Intervals are merged within tiles of their starts. Of each
+    tile one row, with its furthest end and last start, then tells the tiles after it how far what came before reaches and
+    where that began, so no task sees a whole contig but for its tiles' rows.
     """
     flat = x.where(F.col(S) <= F.col(E)).select(*keys, S, E).withColumn("tile", _bin(F.col(S), tile))
-    return _islands(_islands(flat, [*keys, "tile"]).drop("tile"), list(keys))
+    parts = _islands(flat, [*keys, "tile"])
+    earlier = Window.partitionBy(*keys).orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)
+    tiles = parts.groupBy(*keys, "tile").agg(F.max(E).alias("end"), F.max(S).alias("last")).withColumn("reach", F.max("end").over(earlier))
+    began = F.max(F.when(F.col("reach").isNull() | (F.col("last") > F.col("reach") + 1), F.col("last"))).over(earlier)
+    carried = tiles.select(*keys, "tile", "reach", began.alias("began"))
+    joined = _join_same(parts, carried, [*keys, "tile"])
+    island = F.when(F.col("reach").isNull() | (F.col(S) > F.col("reach") + 1), F.col(S)).otherwise(F.col("began"))
+    return joined.groupBy(*keys, island.alias("island")).agg(F.min(S).alias(S), F.max(E).alias(E)).select(*keys, S, E)
+
+
+def _join_same(x: DataFrame, y: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join that takes nulls for equal; so no filter for nulls goes to one side alone and parts of x in y are not computed twice."""
+    named = y.withColumnsRenamed({k: f"_{k}" for k in keys})
+    return x.join(named, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(*(f"_{k}" for k in keys))
 
 
 def _islands(x: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,20 +92,24 @@ def _islands(x: DataFrame, keys: list[str]) -> DataFrame:
     return marked.groupBy(*keys, "island").agg(F.min(S).alias(S), F.max(E).alias(E)).drop("island")
 
 
-def subtract(x: DataFrame, y: DataFrame, keys: Sequence[str] = CONTIG, bin_size: int = BIN) -> DataFrame:
+def subtract(x: DataFrame, y: DataFrame, keys: Sequence[str] = CONTIG, bin_size: int = BIN, tile: int = TILE) -> DataFrame:
     """Pieces of each row of x outside all of y, with x's other columns; pieces of different rows stay apart.
 
-    Zero-width rows of x stay unless strictly inside a merged interval of y.
+    Zero-width rows of x stay unless strictly inside a merged interval of y. Each row has a first cut that ends before it,
+    and a piece follows each cut. The next cut is told within tiles of the cuts' starts; the first and last cut of each
+    tile alone meet those of the row's other tiles.
     """
     own = [*keys, S, E]
-    pairs = overlap_pairs(x.select(*own).distinct(), merge(y, keys), keys, bin_size)
-    cuts = pairs.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("ys", "ye"))).alias("cuts"))
-    starts = F.concat(F.array(F.col(S)), F.transform("cuts", lambda c: c["ye"] + 1))
-    ends = F.concat(F.transform("cuts", lambda c: c["ys"] - 1), F.array(F.col(E)))
-    gaps = F.filter(F.arrays_zip(starts.alias("s"), ends.alias("e")), lambda g: g["s"] <= g["e"])
-    pieces = cuts.select(*own, gaps.alias("pieces"))
-    joined = x.join(pieces, own, "left").withColumn("piece", F.explode(F.coalesce("pieces", F.array(F.struct(F.col(S).alias("s"), F.col(E).alias("e"))))))
-    return joined.withColumn(S, F.col("piece.s")).withColumn(E, F.col("piece.e")).select(*x.columns)
+    rows = x.select(*own).distinct()
+    cuts = overlap_pairs(rows, merge(y, keys, tile), keys, bin_size).select(*own, F.greatest("ys", S).alias("ys"), F.least("ye", E).alias("ye"))
+    cuts = cuts.unionAll(rows.select(*own, (F.col(S) - 1).alias("ys"), (F.col(S) - 1).alias("ye"))).withColumn("tile", _bin(F.col("ys"), tile))
+    inside, whole = Window.partitionBy(*own, "tile").orderBy("ys"), Window.partitionBy(*own).orderBy("ys")
+    cuts = cuts.withColumns({"before": F.lag("ys").over(inside), "after": F.lead("ys").over(inside)})
+    edges = cuts.where("before IS NULL OR after IS NULL").withColumn("after", F.coalesce("after", F.lead("ys").over(whole)))
+    cuts = cuts.where("before IS NOT NULL AND after IS NOT NULL").unionAll(edges)
+    pieces = cuts.select(*own, (F.col("ye") + 1).alias("s"), F.coalesce(F.col("after") - 1, E).alias("e"), (F.col("after").isNull() & (F.col("ys") < F.col(S))).alias("uncut"))
+    pieces = pieces.where("s <= e OR uncut OR uncut IS NULL")
+    return _join_same(x, pieces, own).withColumns({S: F.col("s"), E: F.col("e")}).select(*x.columns)
 
 
 def intersect(x: DataFrame, y: DataFrame, keys: Sequence[str] = CONTIG, bin_size: int = BIN) -> DataFrame:
@@ -195,9 +213,9 @@ def threshold_track(track: DataFrame, lengths: DataFrame, size: int, op: str, li
 
 
 def low_depth(depth: DataFrame, lengths: DataFrame, least: int) -> DataFrame:
-    """Merged positions of all contigs with depth under ``least``; positions outside all runs have 0."""
-    whole = lengths.select("seqnames", F.lit(1).cast("long").alias(S), F.col("len").cast("long").alias(E))
-    return merge(subtract(whole, depth.where(F.col("depth") >= least)))
+    """Maximal stretches of depth under ``least``; positions outside all runs have 0. lengths has a row for each contig."""
+    whole = lengths.select("seqnames", F.lit(1).cast("long").alias(S), F.col("len").cast("long").alias(E)).where(F.col(S) <= F.col(E))
+    return subtract(whole, depth.where(F.col("depth") >= least))
 
 
 def waterfall(whole: DataFrame, masks: list[tuple[str, DataFrame]]) -> DataFrame:

@@ -366,6 +366,18 @@ def g19_high_confidence(s, d):
     return sp.high_confidence(v, 2, 0.1)
 
 
+@query("g19_high_confidence_shared", """k as (select distinct seqnames, start_pos, end_pos, alt_code from fx_call where call_type = 'SBS'),
+ v as (select k.*, 'vcf' || i.i::varchar as source, 10 + (start_pos * (7 + 2 * i.i)) % 50 as depth, 20 + (start_pos * (13 + 4 * i.i)) % 60 as qual from k, (select 0 as i union all select 1 union all select 2) i where start_pos % 4 <> i.i),
+ q as (select source, quantile_cont(depth::double, 0.1) as dl, quantile_cont(depth::double, 0.9) as dh, quantile_cont(qual::double, 0.1) as ql, quantile_cont(qual::double, 0.9) as qh from v group by 1)
+ select seqnames, start_pos, end_pos, alt_code from v join q using (source) where depth between dl and dh and qual between ql and qh group by all having count(distinct source) = 3""")
+def g19_high_confidence_shared(s, d):
+    """Three sources that share most sites: those sites within the quantiles of all three."""
+    p, i = F.col("start_pos"), F.col("i")
+    sites = fx.calls(s, d).where("call_type = 'SBS'").select("seqnames", "start_pos", "end_pos", "alt_code").distinct()
+    v = sites.withColumn("i", F.explode(F.array(*(F.lit(k) for k in range(3))))).where(p % 4 != i)
+    return sp.high_confidence(v.select("seqnames", "start_pos", "end_pos", "alt_code", F.concat(F.lit("vcf"), i).alias("source"), (10 + p * (7 + 2 * i) % 50).alias("depth"), (20 + p * (13 + 4 * i) % 60).alias("qual")), 3, 0.1)
+
+
 _CHANNELS = f"""{_SBS}, {_TNC}, cn as (select t || '>' || a as channel, count(*)::double / 100000 as burden from ch group by 1), sh as (select tnc, n::double / (select sum(n) from t64) as share from t64)"""
 
 

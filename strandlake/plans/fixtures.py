@@ -6,7 +6,7 @@ regions: scored intervals from events.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _BASES = ("abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
@@ -16,13 +16,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _numbered(ids: DataFrame, size: int = 1 << 16) -> DataFrame:
+    """(doc_id, contig_idx): ids numbered from 0 in their order, by ranges of ``size``; of each range one row goes to a common task."""
+    of_range = Window.partitionBy("range")
+    ranked = ids.withColumn("range", F.floor(F.col("doc_id") / size)).withColumns({"rank": F.row_number().over(of_range.orderBy("doc_id")), "n": F.count(F.lit(1)).over(of_range)})
+    ranges = ranked.where("rank = 1").select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
+    return ranked.join(ranges, "range").select("doc_id", (F.col("before") + F.col("rank") - 1).alias("contig_idx"))
+
+
 def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(contig_idx, seqnames, seq, len); contigs of 600 bases and more, numbered from 0 by document."""
     text = F.translate(F.lower(F.regexp_replace("text", "[^A-Za-z]", "")), *_BASES)
     long_ = _table(spark, sf_dir, "documents").select("doc_id", text.alias("seq")).where("length(seq) >= 600")
-    ids = long_.select("doc_id")
-    ids.createOrReplaceTempView("_contig_ids")
-    numbers = spark.sql("SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS contig_idx FROM _contig_ids")
+    numbers = _numbered(long_.select("doc_id"))
     return long_.join(numbers, "doc_id").select(F.col("contig_idx").cast("long"), F.concat(F.lit("ctg"), "doc_id").alias("seqnames"), "seq", F.length("seq").cast("long").alias("len"))
 
 

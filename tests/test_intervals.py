@@ -41,6 +41,26 @@ def test_subtract_and_intersect_make_up_x(two):
     assert sum(e - s + 1 for _, s, e in left + both) == sum(e - s + 1 for _, s, e in a)
 
 
+@pytest.mark.parametrize("tile", [4, 64, 1000])
+def test_tiles_change_nothing(spark, tile):
+    a = [("x", 1, 900), *rows(3, 60, 12), ("y", 290, 289)]
+    b = rows(4, 90, 5)
+    x, y = spark.createDataFrame(a, COLUMNS), spark.createDataFrame(b, COLUMNS)
+    merged = [tuple(r) for r in iv.merge(y, tile=tile).collect()]
+    assert bases(merged) == bases(b)
+    assert all(("x", e + 1) not in bases(b) for c, _, e in merged if c == "x") and len(set(merged)) == len(merged)
+    left = [tuple(r) for r in iv.subtract(x, y, bin_size=16, tile=tile).collect()]
+    want = [(c, p) for c, s, e in a for p in range(s, e + 1) if (c, p) not in bases(b)]
+    assert sorted((c, p) for c, s, e in left for p in range(s, e + 1)) == sorted(want)
+    assert (("y", 290, 289) in left) == (not any(c == "y" and s <= 289 and e >= 290 for c, s, e in merged))
+
+
+def test_null_contigs_stay_together(spark):
+    x = spark.createDataFrame([(None, 1, 5), (None, 6, 9), ("x", 1, 2)], COLUMNS)
+    assert sorted(map(str, iv.merge(x, tile=4).collect())) == sorted(map(str, spark.createDataFrame([(None, 1, 9), ("x", 1, 2)], COLUMNS).collect()))
+    assert iv.subtract(x, x).count() == 2  # null keys meet nothing
+
+
 def test_coverage_sums_to_total_width_across_tiles(two):
     a, _, x, _ = two
     runs = iv.coverage(x, tile=32).collect()
