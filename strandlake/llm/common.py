@@ -60,10 +60,14 @@ def scratch(spark: SparkSession):
     try:
         yield
     finally:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for name in _SCRATCH.pop():
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+            removed(spark, name)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table that stored() or a writer made in the shared folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def bounded(spark: SparkSession) -> None:

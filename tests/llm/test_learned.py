@@ -148,5 +148,5 @@ def test_empty_and_unlabelled_tables_and_null_ids(spark, tmp_path):
 
 
 def test_names_of_queries_and_stages():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_copies", "repeats", "decontamination", "packing"]
