@@ -111,13 +111,15 @@ def prefix(tokens: np.ndarray, counts: np.ndarray, load: float, percent: int, mo
 
 
 def classes(docs: DataFrame, size: int = 5) -> DataFrame:
-    """(doc_id, cls, n_shingles) of every row; an empty set has cls 0."""
+    """(doc_id, cls, n_shingles) of every row, and row_hash of its text; an empty set has cls 0."""
+    ddl = "doc_id long,cls long,n_shingles long,row_hash long"
 
     def run(batches):
-        for ids, sets in sets_of(batches, size):
-            yield record("doc_id long,cls long,n_shingles long", ids, [class_key(s) for s in sets], [len(s) for s in sets])
+        for part in slices(batches):
+            (_, sets), = sets_of([part], size)
+            yield record(ddl, part.column(0), [class_key(s) for s in sets], [len(s) for s in sets], part.column(2))
 
-    return docs.mapInArrow(trimmed(run), "doc_id long,cls long,n_shingles long")
+    return docs.withColumn("row_hash", F.xxhash64("text")).mapInArrow(trimmed(run), ddl)
 
 
 def postings(docs: DataFrame, counts, load: float, size: int, percent: int, most: int) -> DataFrame:
@@ -345,6 +347,14 @@ def _outside(crowd: DataFrame, label: DataFrame, hubs: int) -> tuple[DataFrame,
     return outside.select("token", "cls", "n"), drawn.unionAll(_hub(outside)).distinct()
 
 
+def _labelled(docs: DataFrame, size: int, percent: int, most: int, dense: int) -> tuple[DataFrame, DataFrame]:
+    """classes of docs as stored, and (cls, label): equal for the classes of a component, null for one without links."""
+    own = stored(classes(docs, size), "classes")
+    with scratch(docs.sparkSession):
+        label = stored(components(links(docs, size, percent, most, dense)).select(F.col("node").alias("cls"), F.col("component").alias("label")), "labels", keep=True)
+    return own, label
+
+
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, most: int = 4, dense: int = 32) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: components of documents linked at Jaccard >= percent / 100.
 
@@ -353,12 +363,9 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sets are linked. Repeated rows each get a row; a null doc_id stays null and counts as the largest id when a
     component is named. Other columns of df are ignored. An empty table gives an empty result.
     """
-    docs = documents(df, id_col, text_col)
-    own = stored(classes(docs, size), "classes")
+    own, label = _labelled(documents(df, id_col, text_col), size, percent, most, dense)
     least = own.where("cls <> 0").groupBy("cls").agg(F.min("doc_id").alias("low"))
-    with scratch(docs.sparkSession):
-        label = stored(components(links(docs, size, percent, most, dense)).withColumnRenamed("node", "cls"), "labels", keep=True)
-    named = least.join(label, "cls", "left").select("cls", "low", F.coalesce("component", "cls").alias("component"))
+    named = least.join(label, "cls", "left").select("cls", "low", F.coalesce("label", "cls").alias("component"))
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
     named = named.join(lowest, "component").select("cls", "component_id")
     full = own.where("cls <> 0").join(named, "cls", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -366,12 +373,27 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df without near copies: of each component the row with the smallest id stays, with all its columns.
+    """df without near copies: of each component one row stays, with all its columns; rows without words all stay.
 
-    Rows with an equal id and the component's smallest id all stay, as do rows without words or id.
+    It is the row with the smallest id (null is the largest), of equal ids the one with the smallest hash of its text.
+    Rows are judged by id and text together, so that rows that share an id, or have none, each stay or go by their own
+    text. Of repeated rows, equal in id and text, one stays.
     """
-    drop = jaccard_components(df, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return df.join(drop, id_col, "left_anti").select(*df.columns)
+    docs = documents(df, id_col, text_col)
+    own, label = _labelled(docs, 5, 80, 4, 32)
+    keys = own.where("cls <> 0").groupBy("cls", "doc_id", "row_hash").agg(F.count(F.lit(1)).alias("copies"))
+    keys = keys.join(label, "cls", "left").withColumn("component", F.coalesce("label", "cls"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash")
+    best = keys.groupBy("component").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("held"), F.max("copies").alias("copies")).where("held > 1 OR copies > 1")
+    judged = keys.drop("copies").join(best, "component").withColumn("stays", rank == F.col("best"))
+    gone = judged.where("NOT stays").select(F.col("doc_id").alias("_gone"), F.col("row_hash").alias("_hash"))
+    again = keys.where("copies > 1").select(F.col("doc_id").alias("_gone"), F.col("row_hash").alias("_hash"))
+    rows = df.withColumn("_row_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    match = F.col(id_col).cast("long").eqNullSafe(F.col("_gone")) & (F.col("_row_hash") == F.col("_hash"))
+    left = rows.join(gone, match, "left_anti")
+    if again.limit(1).count():
+        left = left.join(again, match, "left_anti").unionByName(left.join(again, match, "left_semi").dropDuplicates([id_col, "_row_hash"]))
+    return left.select(*df.columns)
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

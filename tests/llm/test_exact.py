@@ -57,7 +57,23 @@ def test_components_of_near_copies(docs, rows, nothing, dense):
         assert jaccard_join.jaccard_components(nothing).count() == 0
         kept = jaccard_join.keep_one(docs)
         assert kept.columns == docs.columns
-        assert {r.doc_id for r in kept.collect()} == {c for _, _, c in want}
+        kept = kept.collect()
+        assert {r.doc_id for r in kept} == {c for _, _, c in want}
+        by = Counter(root(i) for i, s in enumerate(sets) if s)
+        assert len(kept) == len(by) + sum(not s for s in sets)
+        texts = {t: root(i) for i, (_, t) in enumerate(rows)}
+        assert Counter(texts[r.text] for r in kept if shingle_set(r.text)) == Counter(by.keys())
+
+
+def test_rows_that_share_an_id_or_have_none_are_judged_by_their_text(spark):
+    a, other = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    near, far = a + " end", " ".join(f"c{k}" for k in range(60))
+    rows = [(3, a), (5, near), (5, far), (None, a), (None, near + " x"), (None, other), (None, other), (None, other + " y"), (7, ""), (7, ""), (7, None), (8, far.upper()), (9, "q r s"), (9, "q r s"), (9, "q r t")]
+    kept = jaccard_join.keep_one(spark.createDataFrame([(i, t, k % 2) for k, (i, t) in enumerate(rows)], "doc_id long, text string, n long").repartition(3))
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    ends = {(i, t): n for (i, t), n in got.items() if t and t.startswith("b0")}
+    assert list(ends.values()) == [1] and set(ends) <= {(None, other), (None, other + " y")}
+    assert got - Counter(ends) == Counter({(3, a): 1, (5, far): 1, (7, ""): 2, (7, None): 1, (9, "q r s"): 1, (9, "q r t"): 1})
 
 
 def test_multi_match_prefix_keeps_similar_sets_together():
