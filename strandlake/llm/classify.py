@@ -5,7 +5,7 @@ from __future__ import annotations
 import pickle
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, trimmed
@@ -17,16 +17,20 @@ def fold(id_col: str, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
 
 
-def sampled(labelled: DataFrame, rows: int) -> tuple[DataFrame, dict]:
-    """About ``rows`` of (doc_id, label), evenly over the labels as far as each has enough, and all labels' counts.
+def sampled(labelled: DataFrame, rows: int, counts: dict | None = None) -> tuple[DataFrame, dict]:
+    """At most ``rows`` of (doc_id, label), evenly over the labels as far as each has enough, and all labels' counts.
 
-    Chosen by a hash of the id, so the choice is the same in every run. Only ids and labels are read here.
+    Of each label those of least hash of the id, so the choice is the same in every run and at every size. A threshold
+    on the hash leaves about twice as many to rank. Only ids and labels are read here, each id once.
     """
-    counts = {r.label: r.n for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rate = F.lit(0)
+    counts = counts or {r.label: r.n for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    want = rows // max(1, len(counts))
+    share, h = F.lit(0.0), F.xxhash64("doc_id")
     for label, n in counts.items():
-        rate = F.when(F.col("label") == label, F.lit(int(min(1.0, rows / len(counts) / n) * 1_000_000))).otherwise(rate)
-    return labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < rate), counts
+        share = F.when(F.col("label") == label, F.lit(min(1.0, (2 * want + 20) / n))).otherwise(share)
+    near = labelled.where((h.cast("double") / 2.0**64 + 0.5) <= share)  # doubles are fine enough for any count
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(h, "doc_id"))
+    return near.withColumn("rank", rank).where(F.col("rank") <= want).drop("rank"), counts
 
 
 def fit(docs: DataFrame, labelled: DataFrame, rows: int, settings: Settings, prior: bool) -> Model | None:
@@ -36,7 +40,8 @@ def fit(docs: DataFrame, labelled: DataFrame, rows: int, settings: Settings, pri
     there is no labelled document to learn from.
     """
     chosen, counts = sampled(labelled, rows)
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("label").cast("string"))  # at most about ``rows`` rows
+    sample = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", F.col("label").cast("string").alias("label")).agg(F.min("text").alias("text"))  # at most ``rows`` rows
+    sample = sample.select("doc_id", "text", "label")
 
     def run(batches):
         data = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))

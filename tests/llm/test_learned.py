@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strandlake.llm import html_extract, language_id, toxicity
+from strandlake.llm import classify, html_extract, language_id, toxicity
 from strandlake.llm.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -147,6 +147,22 @@ def test_empty_and_unlabelled_tables_and_null_ids(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_samples_hold_what_is_asked_for_however_many_rows_there_are(spark):
+    many = 20_000_000
+    rows = spark.range(many).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 7, "few").otherwise("many").alias("label"))
+    chosen, counts = classify.sampled(rows, 24, {"few": 7, "many": many - 7})
+    got = [r.label for r in chosen.collect()]
+    assert got.count("few") == 7 and got.count("many") == 12 and counts == {"few": 7, "many": many - 7}
+    assert sorted(map(tuple, classify.sampled(rows.repartition(3), 24, counts)[0].collect())) == sorted(map(tuple, chosen.collect()))
+
+
+def test_an_id_repeated_many_times_is_learned_once(spark):
+    docs = spark.createDataFrame([(1, f"alpha beta {k}", "en") for k in range(500)] + [(k, "gamma delta", "fr") for k in range(2, 9)], "doc_id long, text string, lang string")
+    known = docs.select("doc_id", F.col("lang").alias("label")).distinct()
+    model = classify.fit(docs.select("doc_id", "text"), known, 100, language_id.SETTINGS, prior=False)
+    assert sorted(model.labels) == ["en", "fr"]
+
+
 def test_names_of_queries_and_stages():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_copies", "repeats", "decontamination", "packing"]
