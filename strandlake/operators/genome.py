@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +25,7 @@ def tiled(contigs: DataFrame, tile: int = TILE, pad: int = PAD) -> DataFrame:
     before = lambda i: F.coalesce(F.right(F.get("cut", i - 1), F.lit(pad)), F.lit(""))
     after = lambda i: F.coalesce(F.left(F.get("cut", i + 1), F.lit(pad)), F.lit(""))
     padded = cut.select("seqnames", F.transform("cut", lambda piece, i: F.concat(before(i), piece, after(i))).alias("padded"))
-    each = padded.select("seqnames", F.posexplode("padded").alias("tile", "seq"))
+    each = padded.select("seqnames", F.posexplode_outer("padded").alias("tile", "seq")).where("tile IS NOT NULL")  # of an inner one the optimizer derives a filter that cuts the contig again for each tile
     first = F.greatest(F.col("tile") * tile - pad + 1, F.lit(1)).cast("long")
     return each.select("seqnames", F.col("tile").cast("long").alias("tile"), first.alias("first"), "seq")
 
@@ -60,11 +64,50 @@ def trinucleotides(points: DataFrame, tiles: DataFrame, pos: str = "start_pos")
     return out.withColumn("reftnc_pyr", pyrimidine("reftnc"))
 
 
+#: Trinucleotides by code: 16, 4 and 1 times the places of their bases in ACGT.
+TRINUCLEOTIDES = [a + b + c for a in "ACGT" for b in "ACGT" for c in "ACGT"]
+_CODE = np.full(256, 64, np.int16)
+_CODE[list(b"ACGT")] = range(4)
+
+
+def _codes(raw: np.ndarray) -> np.ndarray:
+    """The trinucleotide code at each base of ``raw`` (bytes); 64 and more at both ends and beside unknown bases."""
+    base = _CODE[raw]
+    out = np.full(len(raw), 64, np.int16)
+    if len(raw) > 2:
+        out[1:-1] = np.minimum(16 * base[:-2] + 4 * base[1:-1] + base[2:], 64) | (np.maximum(np.maximum(base[:-2], base[1:-1]), base[2:]) & 64)
+    return out
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a string column, and the n + 1 offsets of its rows."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def _folded(counts: np.ndarray) -> pa.RecordBatch:
+    """(tnc, n) of the trinucleotides that occur."""
+    some = np.flatnonzero(counts[:64])
+    return pa.RecordBatch.from_arrays([pa.array([TRINUCLEOTIDES[k] for k in some], pa.string()), pa.array(counts[some], pa.int64())], names=["tnc", "n"])
+
+
 def trinucleotide_counts(contigs: DataFrame, tile: int = TILE) -> DataFrame:
-    """(tnc, n): plus-strand trinucleotides of known bases over all contigs. A tile with one more base on each side has just its own."""
-    frames = [F.regexp_extract_all(F.substr("seq", F.lit(k)), F.lit("..."), F.lit(0)) for k in (1, 2, 3)]
-    each = tiled(contigs, tile, 1).select(F.explode(F.concat(*frames)).alias("tnc"))
-    return each.groupBy("tnc").agg(F.count(F.lit(1)).alias("n")).where("tnc RLIKE '^[ACGT]{3}$'")
+    """(tnc, n): plus-strand trinucleotides of known bases over all contigs. Each task folds its tiles to 64 counters.
+
+    A tile with one more base on each side has just its own.
+    """
+
+    def run(batches):
+        counts = np.zeros(65, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                raw, ends = _flat(batch.column(0))
+                code = _codes(raw)
+                code[ends[:-1]] = code[ends[1:] - 1] = 64
+                counts += np.bincount(np.minimum(code, 64), minlength=65)
+        yield _folded(counts)
+
+    return tiled(contigs, tile, 1).select("seq").mapInArrow(run, "tnc string,n long").groupBy("tnc").agg(F.sum("n").alias("n"))
 
 
 def to_pyrimidines(counts: DataFrame) -> DataFrame:
@@ -84,11 +127,53 @@ def unknown_regions(contigs: DataFrame, tile: int = TILE) -> DataFrame:
     return merge(runs.select("seqnames", (F.col("first") + F.col("i")).alias("start_pos"), (F.col("first") + F.col("i")).alias("end_pos")))
 
 
-def weighted_trinucleotides(runs: DataFrame, tiles: DataFrame, tile: int = TILE) -> DataFrame:
-    """(tnc, n): trinucleotides at the positions of coverage runs, weighted by their depth."""
-    cut = runs.withColumn("tile", F.explode(F.sequence(F.floor((F.col("start_pos") - 1) / tile), F.floor((F.col("end_pos") - 1) / tile))))
-    low, high = F.greatest(F.col("start_pos"), F.col("tile") * tile + 1), F.least(F.col("end_pos"), (F.col("tile") + 1) * tile)
-    each = cut.withColumn("p", F.explode(F.sequence(low, high))).join(tiles, ["seqnames", "tile"])
-    at = (F.col("p") - F.col("first")).cast("int")
-    tnc = F.when(at >= 1, F.substr("seq", at, F.lit(3)))
-    return each.select(tnc.alias("tnc"), "depth").where("tnc RLIKE '^[ACGT]{3}$'").groupBy("tnc").agg(F.sum("depth").alias("n"))
+def weighted_trinucleotides(runs: DataFrame, tiles: DataFrame, keys: Sequence[str] = (), tile: int = TILE) -> DataFrame:
+    """(keys, tnc, n): plus-strand trinucleotides at the positions of coverage runs, weighted by their depth.
+
+    Runs are cut at tile edges and meet their tiles; of a tile only the codes of a run's stretch are read, and each task
+    folds what it meets to 64 counters for each combination of keys.
+    """
+    keys = list(keys)
+    cut = runs.select(*keys, "seqnames", "start_pos", "end_pos", "depth").withColumn("tile", F.explode(F.sequence(F.floor((F.col("start_pos") - 1) / tile), F.floor((F.col("end_pos") - 1) / tile))))
+    cut = cut.withColumns({"start_pos": F.greatest(F.col("start_pos"), F.col("tile") * tile + 1), "end_pos": F.least(F.col("end_pos"), (F.col("tile") + 1) * tile)})
+    met = cut.join(tiles, ["seqnames", "tile"])
+    at = F.col("start_pos") - F.col("first")  # the place of the base before the run; 0 where the contig begins with the run
+    part = F.substr("seq", F.greatest(at, F.lit(1)).cast("int"), (F.col("end_pos") - F.col("start_pos") + 3 - F.when(at < 1, 1).otherwise(0)).cast("int"))
+    short = (at < 1) | (F.length(part) < F.col("end_pos") - F.col("start_pos") + 3)
+    part = F.when(short, F.concat(F.when(at < 1, "N").otherwise(""), part, F.lit("N"))).otherwise(part)  # a contig's end has no trinucleotide
+    key = F.struct(*[F.col(k).cast("string").alias(k) for k in keys]) if keys else F.struct(F.lit("").alias("none"))
+    rows = met.select(F.to_json(key).alias("key"), part.alias("part"), F.col("depth").cast("long").alias("depth"))
+
+    def run(batches):
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            raw, ends = _flat(batch.column(1))
+            code = _codes(raw)
+            code[ends[:-1]] = code[ends[1:] - 1] = 64
+            code = np.minimum(code, 64)
+            names = batch.column(0).dictionary_encode()
+            which = np.repeat(names.indices.to_numpy(), np.diff(ends))
+            weight = np.repeat(batch.column(2).to_numpy(), np.diff(ends))
+            for k, name in enumerate(names.dictionary.to_pylist()):
+                own = which == k
+                total = held.setdefault(name, np.zeros(65, np.int64))
+                np.add.at(total, code[own], weight[own])
+        for name, counts in held.items():
+            out = _folded(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * out.num_rows, pa.string()), *out.columns], names=["key", "tnc", "n"])
+
+    folded = rows.mapInArrow(run, "key string,tnc string,n long").groupBy("key", "tnc").agg(F.sum("n").alias("n"))
+    named = F.from_json("key", ",".join(f"{k} string" for k in keys) or "none string")
+    return folded.select(*[named[k].alias(k) for k in keys], "tnc", "n")
+
+
+def oriented_trinucleotides(runs: DataFrame, tiles: DataFrame, tile: int = TILE) -> DataFrame:
+    """(bc_orientation, tnc, n) on the template strand, of coverage runs by strand and bc_orientation.
+
+    The template is the complement of the read, so what + reads cover counts as its reverse complement.
+    """
+    plus = weighted_trinucleotides(runs, tiles, ["strand", "bc_orientation"], tile)
+    turned = F.when(F.col("strand") == "+", reverse_complement("tnc")).otherwise(F.col("tnc"))
+    return plus.groupBy("bc_orientation", turned.alias("tnc")).agg(F.sum("n").alias("n"))

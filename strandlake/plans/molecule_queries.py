@@ -173,6 +173,26 @@ def e17_weighted_trinucleotides(s, d):
     return gn.weighted_trinucleotides(iv.duplex_coverage(fx.reads(s, d)), gn.tiled(fx.contigs(s, d)))
 
 
+_BY = "v as (select seqnames, strand, case when (strand = '+') = (zm % 2 = 0) then 'a-b' else 'b-a' end as bc_orientation, start_pos, end_pos from fx_read)"
+
+
+@query("e8_coverage_by_bc", _BY + """, ev as (select seqnames, strand, bc_orientation, start_pos as pos, 1 as d from v union all select seqnames, strand, bc_orientation, end_pos + 1, -1 from v),
+ ev2 as (select seqnames, strand, bc_orientation, pos, sum(d) as d from ev group by all having sum(d) <> 0)
+ select * from (select seqnames, strand, bc_orientation, pos as start_pos, lead(pos) over w - 1 as end_pos, (sum(d) over (w rows unbounded preceding))::bigint as depth from ev2 window w as (partition by seqnames, strand, bc_orientation order by pos)) t where depth > 0""")
+def e8_coverage_by_bc(s, d):
+    return iv.coverage(_by_bc(s, d), ["seqnames", "strand", "bc_orientation"])
+
+
+def _by_bc(s, d):
+    return fx.reads(s, d).withColumn("bc_orientation", F.when((F.col("strand") == "+") == (F.col("zm") % 2 == 0), "a-b").otherwise("b-a"))
+
+
+@query("e17_oriented_trinucleotides", _BY + f", b as (select v.strand, bc_orientation, substr(g.seq, (p - 1)::int, 3) as t from (select seqnames, strand, bc_orientation, unnest(generate_series(start_pos, end_pos)) as p from v) v join fx_contig g using (seqnames) where p > 1 and p < g.len) select bc_orientation, case when strand = '+' then {_RC.format('t')} else t end as tnc, count(*) as n from b group by all")
+def e17_oriented_trinucleotides(s, d):
+    """Interrogated trinucleotides on the template strand, by barcode orientation."""
+    return gn.oriented_trinucleotides(iv.coverage(_by_bc(s, d), ["seqnames", "strand", "bc_orientation"]), gn.tiled(fx.contigs(s, d)))
+
+
 _CIGAR = "(zm % 9 + 3)::varchar || 'S' || (ec + 30)::varchar || '=' || (zm % 4 + 1)::varchar || 'X' || (zm % 6 + 1)::varchar || 'I' || '50=' || (zm % 5 + 1)::varchar || 'D' || '40='"
 
 
