@@ -41,13 +41,15 @@ def positions_below(reads: DataFrame, quality: str, limit: int) -> DataFrame:
     return each.select(*K, "seqnames", (F.col(S) + F.col("i")).alias(S), (F.col(S) + F.col("i")).alias(E))
 
 
-def opposite_calls(calls: DataFrame) -> DataFrame:
+def opposite_calls(calls: DataFrame, alt: str = "alt_plus_strand") -> DataFrame:
     """calls with what the opposite strand of the molecule has there: opp_type, opp_start, opp_end, opp_alt; else null.
 
     Equal places for like kinds, containment between unlike ones, any overlap between deletions. Of several, the first
-    by kind, place and alternate is taken.
+    by kind, place and alternate is taken. Modified bases (kind MDB, if there is such a column) meet what base changes
+    meet, and are met by none. ``alt`` is the column of the alternate allele.
     """
-    other = calls.select(*K, "seqnames", F.when(F.col("strand") == "+", "-").otherwise("+").alias("strand"), F.col("call_type").alias("opp_type"), F.col(S).alias("opp_start"), F.col(E).alias("opp_end"), F.col("alt_code").alias("opp_alt"))
+    changed = calls.where("kind <> 'MDB'") if "kind" in calls.columns else calls
+    other = changed.select(*K, "seqnames", F.when(F.col("strand") == "+", "-").otherwise("+").alias("strand"), F.col("call_type").alias("opp_type"), F.col(S).alias("opp_start"), F.col(E).alias("opp_end"), F.col(alt).alias("opp_alt"))
     equal = (F.col(S) == F.col("opp_start")) & (F.col(E) == F.col("opp_end"))
     ins_q, ins_o = F.col("call_type") == "insertion", F.col("opp_type") == "insertion"
     low_q, high_q = F.least(S, E), F.greatest(S, E)
@@ -55,17 +57,29 @@ def opposite_calls(calls: DataFrame) -> DataFrame:
     del_q, del_o = F.col("call_type") == "deletion", F.col("opp_type") == "deletion"
     inside = (low_q >= low_o) & (high_q <= high_o)
     around = (low_o >= low_q) & (high_o <= high_q)
-    rule = (~del_q & ~del_o & (F.col("call_type") == F.col("opp_type")) & equal) | (~del_q & del_o & inside) | (del_q & ~del_o & around) | (del_q & del_o & (F.col(S) <= F.col("opp_end")) & (F.col(E) >= F.col("opp_start")))
-    rule = rule & ~(ins_q & ~ins_o & ~del_o) & ~(ins_o & ~ins_q & ~del_q)
-    pairs = calls.join(other, [*K, "seqnames", "strand"]).where(rule)
+    rule = (~del_q & ~del_o & (ins_q == ins_o) & equal) | (~del_q & del_o & inside) | (del_q & ~del_o & around) | (del_q & del_o & (F.col(S) <= F.col("opp_end")) & (F.col(E) >= F.col("opp_start")))
+    pairs = calls.select(*SITE).distinct().join(other, [*K, "seqnames", "strand"]).where(rule)
     best = pairs.groupBy(*SITE).agg(F.min(F.struct("opp_type", "opp_start", "opp_end", "opp_alt")).alias("o")).select(*SITE, "o.*")
     return calls.join(best, SITE, "left")
 
 
-def classify(annotated: DataFrame) -> DataFrame:
-    """opposite_calls with ``call_class``: mutation (both strands agree), mismatch-ds (they differ), mismatch-ss (one strand only)."""
-    same = (F.col("call_type") == F.col("opp_type")) & (F.col(S) == F.col("opp_start")) & (F.col(E) == F.col("opp_end")) & (F.col("alt_code") == F.col("opp_alt"))
-    return annotated.withColumn("call_class", F.when(F.col("opp_type").isNull(), "mismatch-ss").when(same, "mutation").otherwise("mismatch-ds"))
+def classify(annotated: DataFrame, alt: str = "alt_plus_strand") -> DataFrame:
+    """opposite_calls with ``call_class``: mutation (both strands agree), mismatch-ds (they differ), mismatch-ss (one strand only).
+
+    Where ref_plus_strand equals the alternate, as with modified bases: match, or mismatch-os if the opposite strand
+    has a change. ``deletion_match`` tells of deletions across from deletions whether their places are equal.
+    """
+    both = (F.col("call_type") == "deletion") & (F.col("opp_type") == "deletion")
+    placed = (F.col(S) == F.col("opp_start")) & (F.col(E) == F.col("opp_end"))
+    like = F.col("call_type") == F.col("opp_type")
+    if "kind" in annotated.columns:
+        like = like | ((F.col("kind") == "MDB") & (F.col("opp_type") == "SBS"))
+    same = like & placed & (F.col(alt) == F.col("opp_alt"))
+    alone = F.col("opp_type").isNull()
+    kind = F.when(alone, "mismatch-ss").when(same, "mutation").otherwise("mismatch-ds")
+    if "ref_plus_strand" in annotated.columns:
+        kind = F.when(F.col("ref_plus_strand") == F.col(alt), F.when(alone, "match").otherwise("mismatch-os")).otherwise(kind)
+    return annotated.withColumns({"call_class": kind, "deletion_match": F.when(both, placed)})
 
 
 def oriented(calls: DataFrame) -> DataFrame:

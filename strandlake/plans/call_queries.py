@@ -37,12 +37,12 @@ _OPP = """opp as (select c.run_id, c.zm, c.strand, c.seqnames, c.call_type, c.st
 
 
 def _classified(s, d):
-    return cl.classify(cl.opposite_calls(fx.calls(s, d)))
+    return cl.classify(cl.opposite_calls(fx.calls(s, d), "alt_code"), "alt_code")
 
 
 @query("c12_opposite_calls", _OPP + " select run_id, zm, strand, call_type, start_pos, end_pos, opp_type, opp_start, opp_end, opp_alt from cls")
 def c12_opposite_calls(s, d):
-    return cl.opposite_calls(fx.calls(s, d)).select(*_SITE, "opp_type", "opp_start", "opp_end", "opp_alt")
+    return cl.opposite_calls(fx.calls(s, d), "alt_code").select(*_SITE, "opp_type", "opp_start", "opp_end", "opp_alt")
 
 
 @query("c13_classify_counts", _OPP + " select run_id, call_type, call_class, count(*) as calls, count(distinct zm) as molecules from cls group by run_id, call_type, call_class")

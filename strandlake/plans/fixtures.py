@@ -103,6 +103,32 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("seqnames", at.alias("start_pos"), (10 + F.col("user_id") % 40 + at).alias("end_pos"), F.col("value").alias("score")).distinct()
 
 
+#: Aligned reads in terms that Spark and DuckDB share. Each has a clip, changed bases, an insertion and a deletion; the - read's places
+#: agree with the + read's, and by zm it lacks the changed bases or has them deleted, or has other bases, insertions and deletions.
+_SHAPE = """select r.run_id, r.zm, r.strand, r.seqnames, r.start_pos, g.seq as g, cast(r.start_pos as int) as s, cast(1 + r.zm % 5 as int) as c,
+cast(30 + r.zm % 40 - (r.start_pos - p.start_pos) as int) as a, cast(1 + r.zm % 3 as int) as xp, cast(case when r.strand = '-' and r.zm % 8 = 0 then 0 else 1 + r.zm % 3 end as int) as x,
+case when r.strand = '-' and r.zm % 12 = 5 then 'D' else 'X' end as xo, case when r.strand = '-' and r.zm % 9 = 0 then r.zm % 3 + 2 else r.zm % 3 + 1 end as k,
+cast(case when r.strand = '+' then 1 + r.zm % 4 when r.zm % 10 = 1 then 0 when r.zm % 6 = 0 then 1 + (r.zm + 1) % 4 else 1 + r.zm % 4 end as int) as i,
+cast(case when r.strand = '-' and r.zm % 7 = 0 then 1 + (r.zm + 1) % 5 else 1 + r.zm % 5 end as int) as b
+from fx_read r join fx_contig g on g.seqnames = r.seqnames join fx_read p on p.run_id = r.run_id and p.zm = r.zm and p.strand = '+'"""
+_ALIGNED = """select run_id, zm, strand, seqnames, start_pos, case when (strand = '+') = (zm % 2 = 0) then 'a-b' else 'b-a' end as bc_orientation, case when zm % 17 = 0 then 1024 when strand = '+' then 0 else 16 end as flag,
+concat(c, 'S', a, '=', case when x > 0 then concat(x, xo) else '' end, 10 + xp - x, '=', case when i > 0 then concat(i, 'I') else '' end, '30=', b, 'D20=') as cigar,
+concat(repeat('G', c), substr(g, s, a), case when xo = 'X' then translate(substr(g, s + a, x), 'ACGT', case k when 1 then 'CGTA' when 2 then 'GTAC' when 3 then 'TACG' else 'CATG' end) else '' end,
+ substr(g, s + a + x, 10 + xp - x), translate(substr(g, s + a + xp + 10, i), 'ACGT', 'GTAC'), substr(g, s + a + xp + 10, 30), substr(g, s + a + xp + 40 + b, 20)) as seq,
+start_pos + a + xp + 59 + b as end_pos from shape"""
+#: Per-base values by zm, strand and place q in the read.
+VALUE = {"qual": "((zm * 7 + q * 13 + case when strand = '+' then 0 else 31 end) % 94)", "sa": "(1 + (zm + q) % 9)", "sm": "((zm + 2 * q) % 7)", "sx": "((zm + q) % 3)", "score": "(cast((zm * 3 + q * 11) % 100 as double) / 100)"}
+
+
+@_once
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, zm, strand, seqnames, start_pos, end_pos, flag, cigar, seq, qual, sa, sm, sx, score, bc_orientation)."""
+    parts = {"fx_read": reads(spark, sf_dir), "fx_contig": contigs(spark, sf_dir)}
+    rows = spark.sql(_SHAPE.replace("fx_read", "{fx_read}").replace("fx_contig", "{fx_contig}"), **parts)
+    rows = spark.sql(_ALIGNED.replace("from shape", "from {shape}"), shape=rows)
+    return rows.select("*", *[F.expr(f"transform(sequence(1, length(seq)), q -> {v})").alias(n) for n, v in VALUE.items()])
+
+
 _PARTS = {
     "fx_contig": """select row_number() over (order by doc_id) - 1 as contig_idx, 'ctg' || cast(doc_id as varchar) as seqnames, seq, length(seq) as len
 from (select doc_id, translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') as seq from documents) t
@@ -119,6 +145,7 @@ from (select r.run_id, r.zm, r.strand, r.seqnames, case l.l_returnflag when 'R'
  from lineitem l join fx_read r on r.zm = l.l_orderkey join fx_read p on p.zm = r.zm and p.strand = '+'
  where l.l_linestatus='O' or (l.l_linenumber % 2 = 0 and r.strand='+') or (l.l_linenumber % 2 = 1 and r.strand='-')) t
 group by run_id, zm, strand, seqnames, call_type, start_pos, case when call_type='insertion' then start_pos-1 when call_type='deletion' then start_pos+w-1 else start_pos end""",
+    "fx_aln": f"with shape as ({_SHAPE}) {_ALIGNED}",
     "fx_region": """select distinct c.seqnames, 1 + (e.event_id*31) % (c.len-60) as start_pos, 10 + e.user_id % 40 + 1 + (e.event_id*31) % (c.len-60) as end_pos, e.value as score
 from events e join (select count(*) as n from fx_contig) k on 1=1 join fx_contig c on c.contig_idx = e.user_id % k.n""",
 }
