@@ -73,7 +73,8 @@ def extract_with_evidence(reads: DataFrame, modified: dict[str, tuple[str, float
     Gives kind (SBS, indel, MDB), call_type, start_pos, end_pos, start_query, end_query, w, alt_plus_strand, mdb_score,
     the VALUES of the call's bases (a deletion's: those of both neighbours), and <value>_opposite: what the other
     strand's read has at the same reference positions; where it has none between two bases, an indel takes both of
-    these and a single base gets null. Null too without the other read or outside its alignment.
+    these and a single base gets null. Null too without the other read or outside its alignment. max_sa and
+    max_sa_opposite are the greatest sa of both reads.
 
     ``modified`` names kinds of modified bases by score column and least score; ``opposite_bases`` asks for a base, as
     the other strand reads it, across from them.
@@ -92,10 +93,10 @@ def extract_with_evidence(reads: DataFrame, modified: dict[str, tuple[str, float
     alt = F.substr("seq", F.col("start_query").cast("int"), (F.col("end_query") - F.col("start_query") + 1).cast("int"))
     across = F.when(F.col("q0") <= F.col("q1"), F.substr("seq_opposite", F.col("q0").cast("int"), F.lit(1)))
     across = F.when(F.col("strand") == "+", reverse_complement(across)).otherwise(across)
-    out = each.withColumns(values | {"alt_plus_strand": alt, "_across": across})
+    out = each.withColumns(values | {"alt_plus_strand": alt, "_across": across, "max_sa": F.array_max("sa"), "max_sa_opposite": F.array_max("sa_there")})
     for name, base in opposite_bases.items():
         out = out.where((F.col("call_type") != name) | (F.col("_across") == base))
-    names = [*K, "strand", "seqnames", "bc_orientation", "kind", "call_type", S, E, "start_query", "end_query", "w", "alt_plus_strand", "mdb_score", *values]
+    names = [*K, "strand", "seqnames", "bc_orientation", "kind", "call_type", S, E, "start_query", "end_query", "w", "alt_plus_strand", "mdb_score", *values, "max_sa", "max_sa_opposite"]
     return out.select(*names)
 
 

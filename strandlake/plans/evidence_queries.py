@@ -61,7 +61,7 @@ def c5_alleles(s, d):
     return ev.alleles(fx.calls(s, d).where("call_type = 'SBS'"), gn.tiled(fx.contigs(s, d))).select(*_SITE, "ref_plus_strand", "alt_plus_strand")
 
 
-@query("c14_partner_values", f"SELECT {SITE}, o.w as w_opposite from fx_call c left join fx_call o on o.run_id = c.run_id and o.zm = c.zm and o.seqnames = c.seqnames and o.call_type = c.call_type and o.start_pos = c.start_pos and o.end_pos = c.end_pos and o.alt_code = c.alt_code and o.strand <> c.strand")
+@query("c14_partner_values", f"SELECT {SITE}, o.w as w_opposite from fx_call c left join fx_call o on o.run_id = c.run_id and o.zm = c.zm and o.seqnames = c.seqnames and o.call_type = c.call_type and o.start_pos = c.start_pos and o.end_pos = c.end_pos and o.alt_code = c.alt_code and o.strand = case c.strand when '+' then '-' else '+' end")
 def c14_partner_values(s, d):
     return ev.partner_values(fx.calls(s, d), ["run_id", "zm", "seqnames", "call_type", "start_pos", "end_pos", "alt_code"], ["w"]).select(*_SITE, "w_opposite")
 

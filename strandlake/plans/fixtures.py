@@ -11,22 +11,22 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.stage import staged
+
 _BASES = ("abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
 
 
 _HELD: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _once(make):
-    """Persists what ``make`` derives, once for a session and folder: a query mentions its inputs many times."""
+def once(make):
+    """Writes what ``make`` derives, once for a session and folder: a query mentions its inputs many times."""
 
     @wraps(make)
     def held(spark: SparkSession, sf_dir: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
         if key not in _HELD:
-            for old in [k for k in _HELD if k[:2] != key[:2]]:
-                _HELD.pop(old).unpersist()
-            _HELD[key] = make(spark, sf_dir).persist()
+            _HELD[key] = staged(make(spark, sf_dir), make.__name__)
         return _HELD[key]
 
     return held
@@ -44,7 +44,7 @@ def _numbered(ids: DataFrame, size: int = 1 << 16) -> DataFrame:
     return ranked.join(ranges, "range").select("doc_id", (F.col("before") + F.col("rank") - 1).alias("contig_idx"))
 
 
-@_once
+@once
 def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(contig_idx, seqnames, seq, len); contigs of 600 bases and more, numbered from 0 by document."""
     text = F.translate(F.lower(F.regexp_replace("text", "[^A-Za-z]", "")), *_BASES)
@@ -57,7 +57,7 @@ def lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contigs(spark, sf_dir).select("seqnames", "len")
 
 
-@_once
+@once
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(run_id, zm, strand, seqnames, start_pos, end_pos, rq, mapq, ec), one row for each strand of a molecule."""
     known = contigs(spark, sf_dir).drop("seq")
@@ -79,7 +79,7 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_once
+@once
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(run_id, zm, strand, seqnames, call_type, start_pos, end_pos, alt_code, w)."""
     items = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
@@ -93,7 +93,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.groupBy("run_id", "zm", "strand", "seqnames", "call_type", "start_pos", "end_pos").agg(F.max("k").alias("alt_code"), F.max("w").alias("w"))
 
 
-@_once
+@once
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(seqnames, start_pos, end_pos, score), distinct."""
     known = contigs(spark, sf_dir).drop("seq")
@@ -120,7 +120,7 @@ start_pos + a + xp + 59 + b as end_pos from shape"""
 VALUE = {"qual": "((zm * 7 + q * 13 + case when strand = '+' then 0 else 31 end) % 94)", "sa": "(1 + (zm + q) % 9)", "sm": "((zm + 2 * q) % 7)", "sx": "((zm + q) % 3)", "score": "(cast((zm * 3 + q * 11) % 100 as double) / 100)"}
 
 
-@_once
+@once
 def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(run_id, zm, strand, seqnames, start_pos, end_pos, flag, cigar, seq, qual, sa, sm, sx, score, bc_orientation)."""
     parts = {"fx_read": reads(spark, sf_dir), "fx_contig": contigs(spark, sf_dir)}

@@ -46,6 +46,12 @@ _PLACE = ["run_id", "zm", "strand", "seqnames", "kind", "call_type", "start_pos"
 _M = {"mC": ("score", 0.97)}
 
 
+@fx.once
+def evidence(s, d):
+    """Calls of the aligned reads, without modified bases."""
+    return st.extract_with_evidence(fx.aligned(s, d))
+
+
 def _joined(df, *names):
     return df.withColumns({n: F.array_join(n, ",") for n in names})
 
