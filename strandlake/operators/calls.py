@@ -100,6 +100,16 @@ def select_germline(variants: DataFrame, types: DataFrame) -> DataFrame:
     return variants.join(F.broadcast(types), "germline_type").where("depth >= min_depth AND qual >= min_qual AND vaf >= min_vaf").select(*variants.columns).distinct()
 
 
+def select_germline_by_class(variants: DataFrame, limits: DataFrame) -> DataFrame:
+    """variants that reach all limits of their type and class: limits (germline_type, call_class, filters, min_depth, min_gq, min_vaf, min_qual).
+
+    FILTER is compared as a whole with the listed ones. Rows are distinct; a missing value fails.
+    """
+    met = variants.join(F.broadcast(limits), ["germline_type", "call_class"])  # a row for each type and class
+    met = met.where(F.array_contains("filters", F.col("filter")) & (F.col("depth") >= F.col("min_depth")) & (F.col("gq") >= F.col("min_gq")) & (F.col("vaf") >= F.col("min_vaf")) & (F.col("qual") >= F.col("min_qual")))
+    return met.select(*variants.columns).distinct()
+
+
 def read_trim(calls: DataFrame, reads: DataFrame, n: int) -> DataFrame:
     """calls with trim_pass: none of the read ends of the molecule, n positions each, is hit."""
     own = [*K, "seqnames"]

@@ -255,3 +255,42 @@ def error_probability(burden: DataFrame, shares: DataFrame) -> DataFrame:
     pairs = burden.where(F.substring("channel", 2, 1).isin("C", "T")).join(mirrored, "channel").withColumn("tnc", ref)
     both = shares.alias("s").join(shares.select(reverse_complement("tnc").alias("tnc"), F.col("share").alias("share_rc")), "tnc")
     return pairs.join(F.broadcast(both), "tnc").select("channel", (F.col("burden") * F.col("other") * (F.col("share") + F.col("share_rc"))).alias("error"))
+
+
+def retained(requested: DataFrame) -> DataFrame:
+    """requested (call_type, call_class) and single-strand base changes, which error probabilities need whether asked for or not."""
+    return requested.select("call_type", "call_class").unionAll(requested.sparkSession.sql("SELECT 'SBS' AS call_type, 'mismatch-ss' AS call_class")).distinct()
+
+
+def burden_grid(calls: DataFrame, requested: DataFrame, interrogated: DataFrame, duplex: DataFrame, stranded: DataFrame, references: dict[str, tuple[DataFrame, DataFrame]], site: list[str]) -> DataFrame:
+    """Burden rows of {all, unique} calls x {uncorrected, each reference}: (call_type, call_class, unique_calls, reftnc_corrected, reference, num_calls, num_calls_noncorrected, bases).
+
+    calls have kind, call_type, call_class, reftnc_pyr, reftnc_template (null but for base changes and modified bases)
+    and ``site``. interrogated has one row (bp). duplex (tnc, n) holds the interrogated pyrimidine trinucleotides of base pairs, stranded (tnc, n) those
+    of both strands' templates. references name genome counts to correct to: (pyrimidine, template). Calls are counted
+    once, by site and then by trinucleotide; the grid is made of those few rows. Unique calls are told of mutations
+    alone, corrections of base changes and modified bases, by pyrimidine for base-change mutations and by template for the
+    rest. Uncorrected rows have all interrogated base pairs, or twice that for single-strand classes, corrected ones those
+    with a trinucleotide. Helper classes that were not requested drop out.
+    """
+    mutation = F.col("call_class") == "mutation"
+    by_pyr = (F.col("kind") == "SBS") & mutation
+    tnc = F.when(by_pyr, F.col("reftnc_pyr")).otherwise(F.col("reftnc_template"))
+    own = ["kind", "call_type", "call_class"]
+    sites = calls.groupBy(*own, tnc.alias("tnc"), *site).agg(F.count(F.lit(1)).alias("n"))
+    few = sites.groupBy(*own, "tnc").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("unique"))
+    wide = few.select(*own, "tnc", F.inline(F.array(F.struct(F.lit(False).alias("unique_calls"), F.col("all").alias("n")), F.struct(F.lit(True).alias("unique_calls"), F.col("unique").alias("n"))))).where(~F.col("unique_calls") | mutation)
+    pairs = duplex.agg(F.sum("n").alias("bp")).crossJoin(stranded.agg(F.sum("n").alias("both")))
+    has = F.col("kind").isin("SBS", "MDB")
+    plain = wide.groupBy(*own, "unique_calls").agg(F.sum("n").alias("num_calls")).crossJoin(F.broadcast(interrogated.select("bp")))
+    bases = F.when(mutation, F.col("bp")).otherwise(2 * F.col("bp"))
+    none = F.lit(None)
+    rows = plain.select(*own, "unique_calls", F.when(has, F.lit(False)).alias("reftnc_corrected"), none.cast("string").alias("reference"), F.col("num_calls").cast("double").alias("num_calls"), none.cast("long").alias("num_calls_noncorrected"), bases.alias("bases"))
+    for name, (pyr, template) in references.items():
+        ratios = tnc_ratio(duplex, pyr).withColumn("side", F.lit(True)).unionByName(tnc_ratio(stranded, template).withColumn("side", F.lit(False)))
+        met = wide.where(has & F.col("tnc").isNotNull()).withColumn("side", by_pyr).join(ratios.select("tnc", "side", "ratio"), ["tnc", "side"], "left")
+        fixed = met.groupBy(*own, "unique_calls").agg(F.sum(F.when(F.col("ratio") > 0, F.col("n") / F.col("ratio")).otherwise(0.0)).alias("num_calls"), F.sum("n").alias("num_calls_noncorrected"))
+        fixed = fixed.where(by_pyr | ~F.col("unique_calls")).crossJoin(F.broadcast(pairs))  # one row of sums
+        rows = rows.unionByName(fixed.select(*own, "unique_calls", F.lit(True).alias("reftnc_corrected"), F.lit(name).alias("reference"), "num_calls", "num_calls_noncorrected", F.when(by_pyr, F.col("bp")).otherwise(F.col("both")).alias("bases")))
+    told = F.when(mutation | F.col("reftnc_corrected"), F.col("unique_calls"))
+    return rows.withColumn("unique_calls", F.coalesce(told, F.lit(None))).join(requested.select("call_type", "call_class").distinct(), ["call_type", "call_class"], "left_semi").drop("kind")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sequences import cigar_ranges
+from ..operators.intervals import restrict
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -34,15 +37,15 @@ def parse_read_groups(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("value").startswith("@RG\t")).select(tags.alias("t")).select(F.col("t")["ID"].alias("id"), F.col("t")["PU"].alias("movie"), F.expr("str_to_map(t['DS'], ';', '=')").alias("description"))
 
 
-def parse_vcf(lines: DataFrame) -> DataFrame:
+def parse_vcf(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Variants of one sample, a row for each alternate its genotype has: place, alleles without their shared first base,
     qual, filter, gt, gq, ad1, ad2, depth, vaf, call_class and call_type. Unknown alternates (*, <*>) drop out.
 
     Insertions get start_pos = end_pos + 1, deletions the span of the bases deleted. Missing values ('.') are null, and
-    sites without a genotype give no row.
+    sites without a genotype give no row. Columns of lines in ``keep`` stay.
     """
     f = F.split("value", "\t")
-    rows = lines.where(~F.col("value").startswith("#")).select(F.get(f, F.lit(0)).alias("seqnames"), F.get(f, F.lit(1)).cast("long").alias("pos"), F.get(f, F.lit(3)).alias("ref"), F.split(F.get(f, F.lit(4)), ",").alias("alts"), F.get(f, F.lit(5)).try_cast("double").alias("qual"), F.get(f, F.lit(6)).alias("filter"), F.get(f, F.lit(8)).alias("keys"), F.split(F.get(f, F.lit(9)), ":").alias("values"))
+    rows = lines.where(~F.col("value").startswith("#")).select(*keep, F.get(f, F.lit(0)).alias("seqnames"), F.get(f, F.lit(1)).cast("long").alias("pos"), F.get(f, F.lit(3)).alias("ref"), F.split(F.get(f, F.lit(4)), ",").alias("alts"), F.get(f, F.lit(5)).try_cast("double").alias("qual"), F.get(f, F.lit(6)).alias("filter"), F.get(f, F.lit(8)).alias("keys"), F.split(F.get(f, F.lit(9)), ":").alias("values"))
     rows = rows.where("values IS NOT NULL").withColumn("s", F.map_from_entries(F.transform(F.split("keys", ":"), lambda k, i: F.struct(k.alias("k"), F.get("values", i).alias("v")))))
     each = rows.select("*", F.posexplode("alts").alias("i", "alt")).where(~F.col("alt").isin("*", "<*>"))
     gt = F.col("s")["GT"]
@@ -56,10 +59,38 @@ def parse_vcf(lines: DataFrame) -> DataFrame:
     start = F.when(indel, F.col("pos") + 1).otherwise(F.col("pos"))
     end = F.when(F.col("call_type") == "insertion", F.col("pos")).otherwise(F.col("pos") + lr - 1)
     cut = lambda c: F.when(indel, F.substr(c, F.lit(2))).otherwise(F.col(c))
-    out = each.select("seqnames", start.alias("start_pos"), end.alias("end_pos"), cut("ref").alias("ref"), cut("alt").alias("alt"), "qual", "filter", "gt", "gq", "ad1", "ad2", "depth", (F.col("ad2") / (F.col("ad1") + F.col("ad2"))).alias("vaf"), "call_class", "call_type")
+    out = each.select(*keep, "seqnames", start.alias("start_pos"), end.alias("end_pos"), cut("ref").alias("ref"), cut("alt").alias("alt"), "qual", "filter", "gt", "gq", "ad1", "ad2", "depth", (F.col("ad2") / (F.col("ad1") + F.col("ad2"))).alias("vaf"), "call_class", "call_type")
     return out.distinct()
 
 
+def restricted_lines(lines: DataFrame, regions: DataFrame) -> DataFrame:
+    """VCF lines whose reference allele overlaps a region (seqnames, start_pos, end_pos); told from their first fields, before anything else is parsed."""
+    f = F.split("value", "\t", 5)
+    placed = lines.where(~F.col("value").startswith("#")).withColumns({"seqnames": F.get(f, F.lit(0)), "start_pos": F.get(f, F.lit(1)).cast("long")})
+    placed = placed.withColumn("end_pos", F.col("start_pos") + F.length(F.get(f, F.lit(3))) - 1)
+    return restrict(placed, regions).select(*lines.columns)
+
+
+def read_germline_set(spark: SparkSession, files: Sequence[tuple[str, str]], regions: DataFrame | None = None) -> DataFrame:
+    """Variants of an individual's VCF files (path, type) with germline_file, the last part of the path, and germline_type.
+
+    All files are one scan; a line's source comes from the file it is in, or its folder. With ``regions`` only lines there
+    are parsed. No files give an empty table.
+    """
+    names = [(path.rstrip("/").rsplit("/", 1)[-1], kind) for path, kind in files]
+    if len({n for n, _ in names}) < len(names):
+        raise ValueError("germline files must differ in the last part of their paths")
+    if files:
+        lines = spark.read.text([path for path, _ in files]).select("value", F.split("_metadata.file_path", "/").alias("at"))
+        part = lambda k: F.url_decode(F.try_element_at("at", F.lit(k)))
+        lines = lines.withColumn("germline_file", F.when(part(-1).isin(*[n for n, _ in names]), part(-1)).otherwise(part(-2)))
+    else:
+        lines = spark.createDataFrame([], "value string, germline_file string")
+    lines = lines.select("value", "germline_file") if regions is None else restricted_lines(lines.select("value", "germline_file"), regions)
+    kinds = spark.createDataFrame(names, "germline_file string, germline_type string")
+    return parse_vcf(lines, ["germline_file"]).join(F.broadcast(kinds), "germline_file")  # a row for each file
+
+
 def population_variants(lines: DataFrame, least: float) -> DataFrame:
     """(seqnames, pos, ref, alt) of passing variants whose INFO has an AF, AF_hom or AF_het of at least ``least``."""
     f = F.split("value", "\t")

@@ -12,6 +12,7 @@ SF = "/root/testdata/sf0.001"
 SOME = (
     "c13_classify_counts d1_overlaps_any d1_overlaps_adjacent d3_subtract d4_subtract_keyed d5_merge d9_non_duplex e6_coverage e9_coverage_at e11_threshold_track e12_low_depth "
     "c10_trinucleotides c1_cigar_ranges c2_extract_calls g1_sbs96 g7_deletion_repeats g22_borrow_sensitivity f10_sbs_flank f17_region_read_filter b7_assign_chunk a3_parse_vcf c7_opposite_quality c9_modified_bases c13_chained_classes c14_partners_evidence "
+    "b12_allele_counts b11_depth_runs f13_germline_support a10_base_coverage a4_germline_set a3_germline_in_regions f4_configured_germline a7_configured_scope g16_burden_grid "
     "f7_tracker_remaining f21_tracker_left g15_tracked_bases f_call_filters f16_germline_sources f8_f14_evidence_filters e26_union_chunks "
     "e17_weighted_trinucleotides e17_oriented_trinucleotides e8_coverage_by_bc"
 ).split()
