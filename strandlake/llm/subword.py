@@ -14,7 +14,7 @@ import numpy as np
 
 U64 = np.uint64
 #: Distinct words whose contributions a worker remembers; dropped together when full. Words cut into n-grams at a time.
-CACHED, STEP = 150_000, 50_000
+CACHED, STEP = 150_000, 8_000
 
 
 @dataclass(frozen=True)
@@ -97,12 +97,14 @@ class Scorer:
 
     def _learn(self, words: list[str]) -> None:
         m = self.model
-        bucket, word = ngrams(words, m.settings)
-        count = np.bincount(word, minlength=len(words))
         rows = np.empty((len(words), m.score.shape[1] + 1), np.float32)
         rows[:, -1] = [m.seen.get(w, 1.0) for w in words]
-        for k in range(m.score.shape[1]):
-            rows[:, k] = np.bincount(word, m.score[bucket, k], len(words)) / count * rows[:, -1]
+        for at in range(0, len(words), STEP):
+            some = rows[at : at + STEP]
+            bucket, word = ngrams(words[at : at + STEP], m.settings)
+            count = np.bincount(word, minlength=len(some))
+            for k in range(m.score.shape[1]):
+                some[:, k] = np.bincount(word, m.score[bucket, k], len(some)) / count * some[:, -1]
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
         self.table = np.concatenate((self.table, rows))
 
@@ -140,11 +142,11 @@ def softmax(x: np.ndarray) -> np.ndarray:
 def train(texts: list[str], labels: list, s: Settings = Settings()) -> Model:
     """A model of the given texts; texts are used whole, in a fixed random order."""
     names = sorted(set(labels))
-    bags = [sorted(distinct_words(t)) for t in texts]
     number: dict[str, int] = {}
-    for b in bags:
-        for w in b:
-            number.setdefault(w, len(number))
+    docs = []
+    for t in texts:  # one at a time: each text's own copies of its words go again
+        bag = sorted(distinct_words(t))
+        docs.append(np.fromiter((number.setdefault(w, len(number)) for w in bag), np.int32, len(bag)))
     words = list(number)
     parts, grams = [], []
     for at in range(0, len(words), STEP):  # in steps, for n-grams of all words at once take much memory
@@ -154,7 +156,6 @@ def train(texts: list[str], labels: list, s: Settings = Settings()) -> Model:
     bucket = np.concatenate(parts) if parts else np.zeros(0, np.int32)
     grams = np.concatenate(grams) if grams else np.zeros(0, np.int64)
     first = np.concatenate(([0], np.cumsum(grams)))
-    docs = [np.fromiter((number[w] for w in b), np.int64, len(b)) for b in bags]
     share = np.bincount(np.concatenate(docs) if docs else [], minlength=len(words)) / max(1, len(docs))
     weight = s.common / (s.common + share)
     rng = np.random.RandomState(s.seed)
