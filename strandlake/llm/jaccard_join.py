@@ -69,12 +69,12 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
     """SKETCH counters over all documents' tokens: summed per task, then per block of counters, 16 MB in all."""
 
     def count(batches) -> Iterator[pa.RecordBatch]:
-        total, once = np.zeros(SKETCH, np.int64), Once()
+        total, once = np.zeros(SKETCH, np.int32), Once()
         for _, sets in sets_of(batches, size):
             kept = [s for s in sets if len(s) and once(class_key(s))]
             if kept:
-                total += np.bincount((np.concatenate(kept) & U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        blocks = total.astype(np.int32).reshape(-1, BLOCK)
+                np.add.at(total, (np.concatenate(kept) & U64(SKETCH - 1)).astype(np.int64), np.int32(1))
+        blocks = total.reshape(-1, BLOCK)
         used = np.flatnonzero(blocks.any(axis=1))
         yield record("block long,counts binary", used, pa.array([zlib.compress(blocks[b].tobytes(), 1) for b in used], pa.binary()))
 
