@@ -22,6 +22,11 @@ def canonical_pair(a: Column | str, b: Column | str) -> Column:
     return F.when(a == b, a).otherwise(F.concat_ws("-", F.array_sort(F.array(a, b))))
 
 
+def softclip(cigar: Column | str) -> Column:
+    """Soft-clipped bases of a CIGAR string, both ends together; null for none."""
+    return F.aggregate(F.regexp_extract_all(cigar, F.lit(r"(\d+)S"), F.lit(1)), F.lit(0).cast("long"), lambda sum_, n: sum_ + n.cast("long"))
+
+
 def rle_decode(pairs: Column | str) -> Column:
     """[length, value, length, value, ...] as one value for each base."""
     pairs = F.col(pairs) if isinstance(pairs, str) else pairs

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,12 +105,10 @@ def with_exempt_copies(calls: DataFrame, germline: list[str], others: list[str])
     return calls.where(strict).withColumn("germline_exempt", F.lit(False)).unionByName(calls.where(both).withColumn("germline_exempt", F.lit(True)))
 
 
-def prune_stats(stats: DataFrame, call_types: list[str]) -> DataFrame:
-    """stats without those named for a kind of call that isn't asked for."""
-    out = stats
-    if not any(t in ("insertion", "deletion") for t in call_types):
-        out = out.where(~F.col("stat").contains("indel"))
-    return out if "SBS" in call_types else out.where(~F.col("stat").contains("SBS"))
+def prune_stats(stats: DataFrame, call_classes: list[str]) -> DataFrame:
+    """stats (stat, ..) without those of an analysis that no requested class needs: SBS and MDB need the one of other than indels."""
+    unused = [name for name, needed in ((".indelanalysis.", {"indel"}), (".nonindelanalysis.", {"SBS", "MDB"})) if not needed & set(call_classes)]
+    return stats.where(~reduce(or_, (F.coalesce(F.col("stat").contains(name), F.lit(False)) for name in unused), F.lit(False)))
 
 
 def assemble(parts: dict[str, DataFrame], tag: str) -> DataFrame:

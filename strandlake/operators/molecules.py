@@ -65,9 +65,8 @@ def molecule_stats(reads: DataFrame, groups: DataFrame) -> DataFrame:
 
 def summed_stats(stats: DataFrame, over: str = "run_id", keys: tuple = ("chromgroup", "stat")) -> DataFrame:
     """Statistics by run and over all runs (run_id 'all_runs'), in one pass of grouping sets."""
-    stats.createOrReplaceTempView("_stats")
-    names = ", ".join(keys)
-    return stats.sparkSession.sql(f"SELECT coalesce({over}, 'all_runs') AS {over}, {names}, sum(value) AS value FROM _stats GROUP BY GROUPING SETS (({over}, {names}), ({names}))")
+    both = stats.groupingSets([[over, *keys], list(keys)], over, *keys).agg(F.grouping(over).alias("_all"), F.sum("value").alias("value"))
+    return both.select(F.when(F.col("_all") == 1, "all_runs").otherwise(F.col(over)).alias(over), *keys, "value")
 
 
 def assign_samples(reads: DataFrame, sheet: DataFrame) -> DataFrame:
@@ -89,10 +88,15 @@ def sheet_violations(sheet: DataFrame, known: DataFrame) -> DataFrame:
     return shape.unionAll(same).unionAll(unknown).unionAll(clash).unionAll(twice)
 
 
-def molecule_quality(reads: DataFrame, limits: dict[str, float]) -> DataFrame:
-    """reads with a boolean '<column>_each' and '<column>_avg' for each limited column, over both strands of a molecule."""
+def molecule_quality(reads: DataFrame, limits: dict[str, float], at_most: dict[str, float] | None = None) -> DataFrame:
+    """reads with a boolean '<column>_each' and '<column>_avg' for each limited column, over both strands of a molecule.
+
+    ``limits`` are least values, ``at_most`` largest ones (soft-clipped bases).
+    """
     w = Window.partitionBy(*K)
-    return reads.withColumns({f"{c}_{how}": (f(c).over(w) >= v) for c, v in limits.items() for how, f in (("each", F.min), ("avg", F.avg))})
+    least = {f"{c}_{how}": (f(c).over(w) >= v) for c, v in limits.items() for how, f in (("each", F.min), ("avg", F.avg))}
+    most = {f"{c}_{how}": (f(c).over(w) <= v) for c, v in (at_most or {}).items() for how, f in (("each", F.max), ("avg", F.avg))}
+    return reads.withColumns(least | most)
 
 
 def max_calls(reads: DataFrame, calls: DataFrame, most: int, difference: int) -> DataFrame:

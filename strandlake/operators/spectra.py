@@ -54,6 +54,23 @@ def sbs96(calls: DataFrame, keys: list[str], unique: bool = False) -> DataFrame:
     return count_complete(some.withColumn("c", F.concat_ws(">", "reftnc_pyr", "alttnc_pyr")), "c", sbs96_channels(calls.sparkSession), keys)
 
 
+def sbs192_channels(spark: SparkSession) -> DataFrame:
+    """(channel, label): all 192 changes of a template strand; labels start with T: for a pyrimidine, or give the other strand's change after U:."""
+    names = [(f"{a}{r}{b}", f"{a}{n}{b}") for r in BASES for n in BASES if n != r for a in BASES for b in BASES]
+    levels = spark.createDataFrame(names, "old string, new string")
+    other = F.concat(F.lit("U:"), reverse_complement("old"), F.lit(">"), reverse_complement("new"))
+    channel = F.concat_ws(">", "old", "new")
+    return levels.select(channel.alias("channel"), F.when(F.substring("old", 2, 1).isin("C", "T"), F.concat(F.lit("T:"), channel)).otherwise(other).alias("label"))
+
+
+def sbs192(calls: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, channel, label, count, fraction) on the template strand, of calls with strand, reftnc_template and alttnc, every channel for each key group."""
+    levels = sbs192_channels(calls.sparkSession)
+    alt = F.when(F.col("strand") == "-", F.col("alttnc")).otherwise(reverse_complement("alttnc"))
+    some = calls.where("reftnc_template IS NOT NULL AND alttnc IS NOT NULL").withColumn("c", F.concat_ws(">", "reftnc_template", alt))
+    return count_complete(some, "c", levels, keys).join(F.broadcast(levels), "channel").select(*keys, "channel", "label", "count", "fraction")  # 192 rows
+
+
 def run_length(text: Column, base: Column) -> Column:
     """How often ``base`` stands at the start of text without a break."""
     return F.length(text) - F.length(F.ltrim(text, base))

@@ -17,7 +17,7 @@ def _items(value) -> list[str]:
 
 
 def config_tables(spark: SparkSession, cfg: dict) -> dict[str, DataFrame]:
-    """chromgroups, call_types, germline_limits, filtergroups and barcodes of a parsed configuration.
+    """chromgroups, call_types, germline_limits, filtergroups, sheet and barcodes of a parsed configuration.
 
     Comma lists become rows, and 'all' chromgroups the names of all. Thresholds are doubles; what is left out is null.
     """
@@ -31,14 +31,16 @@ def config_tables(spark: SparkSession, cfg: dict) -> dict[str, DataFrame]:
             calls += [(t["call_type"], t["call_class"], g, sub["SBSindel_call_type"], sub["filtergroup"], t.get("MDB_bamtag"), _number(t.get("MDB_min_score")), _number(t.get("MDB_sensitivity")), t.get("MDB_base_opposite_strand")) for g in where]
     limits = [(v["germline_vcf_type"], c, _items(v[f"{c}_FILTERS"]), *(_number(v[f"{c}_min_{x}"]) for x in _LIMITS)) for v in cfg.get("germline_vcf_types", []) for c in ("SBS", "indel")]
     filters = [(f["filtergroup"], k, None if isinstance(v, str) else _number(v), v if isinstance(v, str) else None) for f in cfg.get("filtergroups", []) for k, v in f.items() if k != "filtergroup"]
-    codes = [(r["run_id"], int(b.get("round", 1)), "-".join(sorted(set(_items(b["barcodes"])))), ",".join(_items(b["barcodes"])), b["sample"]) for r in cfg.get("runs", []) for b in r.get("samples", [])]
+    sheet = [(r["run_id"], b["sample_id"], b.get("barcode_ids"), b.get("barcode_ids_round2")) for r in cfg.get("runs", []) for b in r.get("samples", [])]
+    codes = [(b["barcode_id"], b["barcode"]) for b in cfg.get("barcodes", [])]
     make = spark.createDataFrame
     return {
         "chromgroups": make(chroms, "chromgroup string, seqnames string"),
         "call_types": make(calls, "call_type string, call_class string, chromgroup string, SBSindel_call_type string, filtergroup string, MDB_bamtag string, MDB_min_score double, MDB_sensitivity double, MDB_base_opposite_strand string"),
         "germline_limits": make(limits, "germline_type string, call_class string, filters array<string>, min_depth double, min_gq double, min_vaf double, min_qual double"),
         "filtergroups": make(filters, "filtergroup string, setting string, number double, text string"),
-        "barcodes": make(codes, "run_id string, round int, pair string, ids string, sample string"),
+        "sheet": make(sheet, "run_id string, sample string, barcode_ids string, barcode_ids_round2 string"),
+        "barcodes": make(codes, "barcode string, sequence string"),
     }
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.sequences import cigar_ranges
 from ..operators.intervals import restrict
@@ -131,11 +132,20 @@ def to_vcf_lines(calls: DataFrame, info: list[str]) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str, by: list[str]) -> None:
-    """One folder of tab-separated files for each combination of the given columns."""
-    df.write.partitionBy(*by).option("sep", "\t").option("header", True).csv(path)
+    """One folder of tab-separated files for each combination of the given columns. Quotes are doubled; a null is nothing, an empty string is quoted."""
+    df.write.partitionBy(*by).option("sep", "\t").option("header", True).option("escape", '"').csv(path)
+
+
+def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What ``write_tsv`` wrote, with its columns in the order of schema. Nothing between two tabs is a null, quotes alone an empty string."""
+    return spark.read.schema(schema).option("sep", "\t").option("header", True).option("multiLine", True).option("escape", '"').option("nullValue", "\u0000").csv(path).select(*schema.names)
 
 
 def write_bundle(tables: dict[str, DataFrame], path: str) -> None:
     """A folder of Parquet tables."""
     for name, df in tables.items():
         df.write.parquet(f"{path}/{name}")
+
+
+def read_bundle(spark: SparkSession, path: str, names: Sequence[str]) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{path}/{name}") for name in names}

@@ -14,6 +14,7 @@ SOME = (
     "c10_trinucleotides c1_cigar_ranges c2_extract_calls g1_sbs96 g7_deletion_repeats g22_borrow_sensitivity f10_sbs_flank f17_region_read_filter b7_assign_chunk a3_parse_vcf c7_opposite_quality c9_modified_bases c13_chained_classes c14_partners_evidence "
     "b12_allele_counts b11_depth_runs f13_germline_support a10_base_coverage a4_germline_set a3_germline_in_regions f4_configured_germline a7_configured_scope g16_burden_grid "
     "f7_tracker_remaining f21_tracker_left g15_tracked_bases f_call_filters f16_germline_sources f8_f14_evidence_filters e26_union_chunks "
+    "b3_two_rounds b4_sheet_rules f1_softclip g2_template_grid a6_read_fasta a8_write_tsv a11_write_bundle e24_prune_stats e5_summed_stats f1_molecule_quality "
     "e17_weighted_trinucleotides e17_oriented_trinucleotides e8_coverage_by_bc"
 ).split()
 
