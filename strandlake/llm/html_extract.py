@@ -18,7 +18,9 @@ import html
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,8 @@ CONSTANT_INSIDE, LEAST_INSIDE = 0.9, 8
 
 #: The least share of the varying text of a group of LEAST_INSIDE pages or more that its main part holds.
 MAIN = 0.8
+#: Cells of a match from which rows are whole numpy rows, and above which a traceback is halved; neither changes a best match's size.
+LONG, CELLS = 256, 1 << 21
 #: Elements nested deeper than this become siblings, as in browsers.
 DEPTH = 256
 
@@ -221,17 +225,50 @@ class Shapes:
             return 0
         got = self.best.get((a, b))
         if got is None:
-            got = self.best[a, b] = 1 + self._rows(self.kids[a], self.kids[b])[-1][-1]
+            got = self.best[a, b] = 1 + int(self._last(self.kids[a], self.kids[b])[-1])
         return got
 
-    def _rows(self, x, y) -> list[list[int]]:
-        rows = [[0] * (len(y) + 1)]
+    def _sweep(self, x, y) -> Iterator:
+        """The best matches of each beginning of x with all beginnings of y, one row for each; long ones by whole rows in numpy."""
+        if len(x) * len(y) < LONG:
+            row = [0] * (len(y) + 1)
+            yield row
+            for a in x:
+                last, row = row, [0]
+                for j, b in enumerate(y):
+                    row.append(max(last[j + 1], row[j], last[j] + self.match(a, b)))
+                yield row
+            return
+        kinds, at = np.unique(np.array(y), return_inverse=True)
+        worth = {a: np.array([self.match(a, b) for b in kinds.tolist()]) for a in set(x)}
+        row = np.zeros(len(y) + 1, np.int64)
+        yield row
         for a in x:
-            last, row = rows[-1], [0]
-            for j, b in enumerate(y):
-                row.append(max(last[j + 1], row[j], last[j] + self.match(a, b)))
-            rows.append(row)
-        return rows
+            last, row = row, np.zeros(len(y) + 1, np.int64)
+            row[1:] = np.maximum.accumulate(np.maximum(last[1:], last[:-1] + worth[a][at]))
+            yield row
+
+    def _last(self, x, y) -> np.ndarray:
+        for row in self._sweep(x, y):
+            pass
+        return np.asarray(row)
+
+    def _pairs(self, x, y) -> list[tuple[int, int]]:
+        """Places in x and y of a best match. Beyond ``CELLS`` x is halved where a best match crosses y, so that memory stays bounded."""
+        if len(x) > 1 and len(x) * len(y) > CELLS:
+            half = len(x) // 2
+            cut = int(np.argmax(self._last(x[:half], y) + self._last(x[half:][::-1], y[::-1])[::-1]))
+            return self._pairs(x[:half], y[:cut]) + [(i + half, j + cut) for i, j in self._pairs(x[half:], y[cut:])]
+        rows, i, j, out = list(self._sweep(x, y)), len(x), len(y), []
+        while i and j:
+            if rows[i][j] == rows[i - 1][j]:
+                i -= 1
+            elif rows[i][j] == rows[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                out.append((i, j))
+        return out[::-1]
 
     def aligned(self, x: list[Node], y: list[Node]) -> list[tuple[Node, Node]]:
         """Pairs of children in the best match. Equal shapes at either end are matched at once, which loses nothing."""
@@ -243,18 +280,7 @@ class Shapes:
             tail += 1
         out = list(zip(x[:head], y[:head], strict=True))
         u, v = x[head : len(x) - tail], y[head : len(y) - tail]
-        if u and v:
-            rows, mid = self._rows([n.shape for n in u], [n.shape for n in v]), []
-            i, j = len(u), len(v)
-            while i and j:
-                if rows[i][j] == rows[i - 1][j]:
-                    i -= 1
-                elif rows[i][j] == rows[i][j - 1]:
-                    j -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    mid.append((u[i], v[j]))
-            out += mid[::-1]
+        out += [(u[i], v[j]) for i, j in self._pairs([n.shape for n in u], [n.shape for n in v])]
         return out + list(zip(x[len(x) - tail :], y[len(y) - tail :], strict=True))
 
 

@@ -398,3 +398,19 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+#: Rows of equal sets go as one class; links join classes, and ``reach`` follows them.
+OP4_SQL = r"""with recursive d as (select row_number() over (order by doc_id) as n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+ u as (select n, unnest(w) as x, generate_subscripts(w, 1) as i from d where len(w) >= 5),
+ g as (select n, x || ' ' || lead(x, 1) over p || ' ' || lead(x, 2) over p || ' ' || lead(x, 3) over p || ' ' || lead(x, 4) over p as s from u window p as (partition by n order by i)),
+ s as materialized (select distinct n, s from g where s is not null union all select n, array_to_string(w, ' ') from d where len(w) between 1 and 4),
+ e as materialized (select n, sha256(string_agg(s, chr(10) order by s)) as cls, count(*) as c from s group by n),
+ k as materialized (select cls, min(n) as r, any_value(c) as c from e group by cls),
+ t as materialized (select k.r, k.c, s.s from k join s on s.n = k.r),
+ l as materialized (select a.r as x, b.r as y from t a join t b on a.s = b.s and a.r < b.r group by a.r, b.r, a.c, b.c having 100 * count(*) >= 80 * (a.c + b.c - count(*))),
+ v as materialized (select x, y from l union all select y, x from l),
+ reach as (select r as x, r as y from k union select reach.x, v.y from reach join v on v.x = reach.y),
+ m as materialized (select k.r, min(d.doc_id) as low from k join e on e.cls = k.cls join d on d.n = e.n group by k.r),
+ f as (select reach.x as r, min(m.low) as component_id from reach join m on m.r = reach.y group by reach.x)
+ select d.doc_id, coalesce(e.c, 0)::bigint as n_shingles, coalesce(f.component_id, d.doc_id)::bigint as component_id from d left join e on e.n = d.n left join k on k.cls = e.cls left join f on f.r = k.r"""

@@ -1,11 +1,13 @@
 """Operators with exact results against brute force on the small corpus."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +34,20 @@ def library():
     return lambda name: Tokenizer.from_file(vocabulary(name))
 
 
+def test_components_equal_their_sql(spark, docs, rows, tmp_path):
+    """On the given tables, and on the small corpus, whose repeated rows each get a row."""
+    for folder in ("/root/testdata/sf0.001", str(tmp_path)):
+        if folder == str(tmp_path):
+            spark.createDataFrame([r for r in rows if r[0] is not None], "doc_id long, text string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+        elif not os.path.isdir(folder):
+            continue
+        con = duckdb.connect()
+        where = f"{folder}/documents.parquet"
+        con.execute(f"create view documents as select * from '{where + '/*.parquet' if os.path.isdir(where) else where}'")
+        got = jaccard_join.op4_jaccard_join(spark, folder)
+        assert Counter(map(tuple, got.collect())) == Counter(con.execute(f"select {', '.join(got.columns)} from ({jaccard_join.OP4_SQL})").fetchall())
+
+
 @pytest.mark.parametrize("dense", [2, 32])
 def test_components_of_near_copies(docs, rows, nothing, dense):
     sets = [shingle_set(t) for _, t in rows]
