@@ -174,6 +174,17 @@ def pivot_strands(calls: DataFrame, by: list[str], values: list[str]) -> DataFra
     return calls.groupBy(*by).agg(*aggs)
 
 
+def germline_calls(calls: DataFrame, germline: list[str], by: list[str], values: list[str]) -> DataFrame:
+    """Calls that a germline variant matches (not germline_pass) and that pass all filters but ``germline``, both strands in one row.
+
+    ``by`` are columns that both strands of a mutation share, ``values`` come out as <name>_plus and <name>_minus. A null
+    fails a filter; germline_pass has to be false.
+    """
+    aside = {"germline_pass", *germline}
+    others = reduce(lambda a, b: a & b, [F.col(c) for c in calls.columns if c.endswith("_pass") and c not in aside], ~F.col("germline_pass"))
+    return pivot_strands(calls.where(others), by, values)
+
+
 def scope(calls: DataFrame, chromgroups: DataFrame, filtergroups: DataFrame) -> DataFrame:
     """calls once for each chromgroup (chromgroup, seqnames) and filter group (filtergroup, call_types: list, or 'all')."""
     wide = calls.join(chromgroups, "seqnames").join(F.broadcast(filtergroups), F.array_contains("call_types", F.col("call_type")) | F.array_contains("call_types", F.lit("all")))

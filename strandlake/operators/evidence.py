@@ -61,6 +61,16 @@ def vcf_anchor(calls: DataFrame, tiles: DataFrame) -> DataFrame:
     return context(moved, tiles, 0, 0, "anchor_pos", "anchor_base").withColumn("anchor_base", F.when(indel, F.col("anchor_base")))
 
 
+def vcf_alleles(calls: DataFrame, tiles: DataFrame) -> DataFrame:
+    """calls (ref_plus_strand, alt_plus_strand) with pos, ref and alt as VCF has them: alleles of indels begin with the base before them.
+
+    An indel at a contig's first base has none before it: its base is N, at pos 0.
+    """
+    anchored = vcf_anchor(calls, tiles)
+    base = F.when(F.col("call_type").isin("insertion", "deletion"), F.coalesce("anchor_base", F.lit("N"))).otherwise("")
+    return anchored.withColumns({"pos": F.col("anchor_pos"), "ref": F.concat(base, "ref_plus_strand"), "alt": F.concat(base, "alt_plus_strand")}).drop("anchor_pos", "anchor_base")
+
+
 def attach_orientation(calls: DataFrame, reads: DataFrame) -> DataFrame:
     """calls with the bc_orientation of their molecule's strand."""
     return calls.join(reads.select(*K, "strand", "bc_orientation").distinct(), [*K, "strand"], "left")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.sequences import reverse_complement
+from ..functions.sequences import pyrimidine, reverse_complement
 from .molecules import K
 
 BASES = "ACGT"
@@ -206,7 +207,8 @@ def poisson_ci(df: DataFrame, count: str, level: float = 0.95) -> DataFrame:
     @F.pandas_udf("lci double, uci double")
     def both(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for k in parts:
-            yield pd.DataFrame({"lci": [gamma_quantile(tail, v) if v == v else None for v in k], "uci": [gamma_quantile(1 - tail, v + 1) if v == v else None for v in k]})
+            found = {v: (gamma_quantile(tail, v), gamma_quantile(1 - tail, v + 1)) for v in k.dropna().unique()}  # each count once
+            yield pd.DataFrame([found.get(v, (None, None)) for v in k], columns=["lci", "uci"], dtype=float)
 
     return df.withColumn("_ci", both(F.col(count).cast("double"))).withColumn(f"{count}_lci", F.col("_ci.lci")).withColumn(f"{count}_uci", F.col("_ci.uci")).drop("_ci")
 
@@ -231,6 +233,29 @@ def high_confidence(variants: DataFrame, sources: int, q: float) -> DataFrame:
     return out.groupBy("seqnames", "start_pos", "end_pos", "alt_code").agg(F.countDistinct("source").alias("n")).where(F.col("n") == sources).drop("n")
 
 
+def sensitivity_variants(variants: DataFrame, limits: dict[str, dict[str, float]], genotype: str, files: int, contigs: DataFrame, population: DataFrame) -> DataFrame:
+    """Germline variants sure enough to measure sensitivity by: (seqnames, start_pos, end_pos, ref, alt, call_class, call_type).
+
+    variants are those of parse_vcf with germline_file. limits hold for each call_class depth, gq and qual, the quantiles
+    of their file that a variant reaches, and min_vaf and max_vaf; a file's quantiles are over its variants of all
+    classes. genotype is heterozygous (one allele of two is 1) or homozygous (both are). A variant has to be found in
+    all ``files``, on one of ``contigs`` (seqnames) and in ``population``, which has the columns returned. A missing
+    value fails.
+    """
+    classes = list(limits)
+    values = ("depth", "gq", "qual")
+    of_file = variants.groupBy("germline_file").agg(*[F.percentile(v, [limits[c][v] for c in classes]).alias(f"{v}_least") for v in values])
+    at = F.array_position(F.array(*map(F.lit, classes)), F.col("call_class"))
+    reached = [F.col(v) >= F.try_element_at(F.col(f"{v}_least"), at.cast("int")) for v in values]
+    within = [F.when(F.col("call_class") == c, F.col("vaf").between(limits[c]["min_vaf"], limits[c]["max_vaf"])) for c in classes]
+    first = [F.get(F.split("gt", "[^0-9.]"), F.lit(k)) == "1" for k in (0, 1)]
+    wanted = {"heterozygous": first[0] != first[1], "homozygous": first[0] & first[1]}[genotype]
+    site = ["seqnames", "start_pos", "end_pos", "ref", "alt", "call_class", "call_type"]
+    known = variants.where(at > 0).join(of_file, "germline_file").where(reduce(lambda a, b: a & b, reached, F.coalesce(*within) & wanted))
+    shared = known.select("germline_file", *site).distinct().groupBy(*site).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == files).drop("n")
+    return shared.join(contigs.select("seqnames").distinct(), "seqnames", "left_semi").join(population.select(*site).distinct(), site, "left_semi").select(*site)
+
+
 def detections(variants: DataFrame, calls: DataFrame, on: list[str]) -> DataFrame:
     """variants with the number of molecules whose calls show them; 0 if none does."""
     found = calls.groupBy(*on).agg(F.countDistinct(*K).alias("detections"))
@@ -274,6 +299,31 @@ def error_probability(burden: DataFrame, shares: DataFrame) -> DataFrame:
     return pairs.join(F.broadcast(both), "tnc").select("channel", (F.col("burden") * F.col("other") * (F.col("share") + F.col("share_rc"))).alias("error"))
 
 
+def error_probabilities(counts: DataFrame, interrogated: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """(target, channel, error): the chance that both strands err alike at a base, for all 96 pyrimidine channels and in total.
+
+    counts (channel, n) are the single-strand changes of template strands, interrogated (tnc, n) the bases of both
+    strands that could show them. Their burdens are weighted by the shares of trinucleotides of each of ``targets``
+    (tnc, n), again of both strands. A channel without calls, bases or share has 0; total sums the 96. The two channels of a
+    pair are folded to one row, so that nothing is joined with itself.
+    """
+    old, new = F.substring("channel", 1, 3), F.substring("channel", 5, 3)
+    here = F.substring("channel", 2, 1).isin("C", "T")
+    seen = counts.select(old.alias("tnc"), F.when(here, F.col("channel")).otherwise(F.concat_ws(">", reverse_complement(old), reverse_complement(new))).alias("channel"), here.alias("here"), F.col("n").alias("calls"))
+    burden = seen.join(interrogated.where("n > 0"), "tnc").withColumn("burden", F.col("calls") / F.col("n"))
+    both = burden.groupBy("channel").agg(*[F.sum(F.when(F.col("here") == side, F.col("burden"))).alias(name) for side, name in ((True, "own"), (False, "other"))])
+    shares = None
+    for name, tnc in targets.items():
+        part = tnc.groupBy(pyrimidine("tnc").alias("tnc")).agg(F.sum("n").alias("n")).crossJoin(F.broadcast(tnc.agg(F.sum("n").alias("total"))))  # one row
+        part = part.select(F.lit(name).alias("target"), "tnc", (F.col("n") / F.col("total")).alias("share"))
+        shares = part if shares is None else shares.unionAll(part)
+    levels = sbs96_channels(counts.sparkSession).select("channel", old.alias("tnc"), F.explode(F.array(*map(F.lit, targets))).alias("target"))
+    each = levels.join(both, "channel", "left").join(shares, ["target", "tnc"], "left")
+    error = F.coalesce(F.col("own") * F.col("other") * F.col("share"), F.lit(0.0))
+    sums = each.withColumn("error", error).groupingSets([["target", "channel"], ["target"]], "target", "channel").agg(F.sum("error").alias("error"))
+    return sums.select("target", F.coalesce("channel", F.lit("total")).alias("channel"), "error")
+
+
 def retained(requested: DataFrame) -> DataFrame:
     """requested (call_type, call_class) and single-strand base changes, which error probabilities need whether asked for or not."""
     return requested.select("call_type", "call_class").unionAll(requested.sparkSession.sql("SELECT 'SBS' AS call_type, 'mismatch-ss' AS call_class")).distinct()

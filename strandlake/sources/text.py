@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,16 @@ def parse_read_groups(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("value").startswith("@RG\t")).select(tags.alias("t")).select(F.col("t")["ID"].alias("id"), F.col("t")["PU"].alias("movie"), F.expr("str_to_map(t['DS'], ';', '=')").alias("description"))
 
 
+def run_metadata(read_groups: DataFrame, runs: DataFrame) -> DataFrame:
+    """read_groups (.., movie) with the run_id of the run (run_id, reads_file) whose file is named after the movie, else null.
+
+    The movie has to be a whole part of the path between other characters than letters, digits and '_', so that m1 is not
+    found in m10. A movie in the files of several runs gives a row for each.
+    """
+    parts = runs.select("run_id", F.explode(F.array_distinct(F.split("reads_file", "[^A-Za-z0-9_]+"))).alias("movie")).where("movie <> ''")
+    return read_groups.join(parts.distinct(), "movie", "left")
+
+
 def parse_vcf(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Variants of one sample, a row for each alternate its genotype has: place, alleles without their shared first base,
     qual, filter, gt, gq, ad1, ad2, depth, vaf, call_class and call_type. Unknown alternates (*, <*>) drop out.
@@ -131,6 +143,36 @@ def to_vcf_lines(calls: DataFrame, info: list[str]) -> DataFrame:
     return calls.select(F.concat_ws("\t", "seqnames", F.col("start_pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("PASS"), F.when(F.size(fields) > 0, F.array_join(fields, ";")).otherwise(".")).alias("value"))
 
 
+def vcf_header(calls: DataFrame, info: Sequence[str], reference: str) -> list[str]:
+    """VCF header lines but those of contigs and columns; types of INFO fields follow from the columns' types."""
+    types = {"boolean": "Flag", "tinyint": "Integer", "smallint": "Integer", "int": "Integer", "bigint": "Integer", "float": "Float", "double": "Float"}
+    known = dict(calls.dtypes)
+    rows = [f'##INFO=<ID={c},Number={0 if t == "Flag" else 1},Type={t},Description="{c}">' for c in info for t in [types.get(re.sub(r"^decimal.*", "double", known[c]), "String")]]
+    return ["##fileformat=VCFv4.3", "##source=strandlake", f"##reference={reference}", *rows]
+
+
+def vcf_document(calls: DataFrame, lengths: DataFrame, info: Sequence[str], reference: str) -> DataFrame:
+    """(value): the lines of a VCF file of calls (seqnames, pos, ref, alt), in order: header, then calls by contig, place and alleles.
+
+    lengths (contig_idx, seqnames, len) has a row for each contig, and contig_idx their order; calls elsewhere drop out. INFO holds the columns
+    ``info``: true ones of booleans by name alone, no nulls; '%', ';', '=', ',' and white space in strings are
+    percent-encoded. Lines are sorted by ranges, so the parts that write.text makes, one after the other, are one file.
+    """
+    kinds = dict(calls.dtypes)
+    escaped = lambda c: reduce(lambda v, ch: F.replace(v, F.lit(ch), F.lit(f"%{ord(ch):02X}")), "%;=,\t\n\r ", c.cast("string"))
+    field = lambda c: F.when(F.col(c), F.lit(c)) if kinds[c] == "boolean" else F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}="), escaped(F.col(c))))
+    fields = F.array_compact(F.array(*map(field, info))) if info else F.array().cast("array<string>")
+    body = calls.join(lengths.select("contig_idx", "seqnames"), "seqnames")
+    line = F.concat_ws("\t", "seqnames", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("PASS"), F.when(F.size(fields) > 0, F.array_join(fields, ";")).otherwise("."))
+    kind, order = lambda k: F.lit(k).alias("kind"), ["kind", "a", "b", "ref", "alt", "value"]
+    rows = body.select(kind(3), F.col("contig_idx").cast("long").alias("a"), F.col("pos").cast("long").alias("b"), "ref", "alt", line.alias("value"))
+    none = F.lit("")
+    named = lengths.select(kind(1), F.col("contig_idx").cast("long").alias("a"), F.lit(0).cast("long").alias("b"), none.alias("ref"), none.alias("alt"), F.concat(F.lit("##contig=<ID="), "seqnames", F.lit(",length="), F.col("len").cast("string"), F.lit(">")).alias("value"))
+    first = [(0, k, 0, "", "", v) for k, v in enumerate(vcf_header(calls, info, reference))] + [(2, 0, 0, "", "", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO")]
+    head = calls.sparkSession.createDataFrame(first, "kind int, a long, b long, ref string, alt string, value string")
+    return head.unionAll(named).unionAll(rows).orderBy(*order).select("value")
+
+
 def write_tsv(df: DataFrame, path: str, by: list[str]) -> None:
     """One folder of tab-separated files for each combination of the given columns. Quotes are doubled; a null is nothing, an empty string is quoted."""
     df.write.partitionBy(*by).option("sep", "\t").option("header", True).option("escape", '"').csv(path)

@@ -15,6 +15,7 @@ SOME = (
     "b12_allele_counts b11_depth_runs f13_germline_support a10_base_coverage a4_germline_set a3_germline_in_regions f4_configured_germline a7_configured_scope g16_burden_grid "
     "f7_tracker_remaining f21_tracker_left g15_tracked_bases f_call_filters f16_germline_sources f8_f14_evidence_filters e26_union_chunks "
     "b3_two_rounds b4_sheet_rules f1_softclip g2_template_grid a6_read_fasta a8_write_tsv a11_write_bundle e24_prune_stats e5_summed_stats f1_molecule_quality "
+    "g26_germline_pairs g24_error_by_target f12_f18_genome_filters f12_f18_genome_left g19_sensitivity_variants a2_run_metadata g4_vcf_alleles a9_vcf_document "
     "e17_weighted_trinucleotides e17_oriented_trinucleotides e8_coverage_by_bc"
 ).split()
 
