@@ -74,3 +74,11 @@ def test_maps_of_positions_keep_each_point_once_and_send_no_table_to_every_task(
     back = strands.map_to_reference(found.drop("pos"), r)
     for df in (found, back):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_aligned_reads_meet_each_other_before_their_contig(spark):
+    from strandlake.plans import fixtures
+
+    plan = fixtures._alignments.__wrapped__(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert len(joins) == 1 and "seqnames" in joins[0] and "zm" not in joins[0]
