@@ -82,3 +82,21 @@ def test_aligned_reads_meet_each_other_before_their_contig(spark):
     plan = fixtures._alignments.__wrapped__(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join " in line]
     assert len(joins) == 1 and "seqnames" in joins[0] and "zm" not in joins[0]
+
+
+def test_calls_of_a_read_are_found_once_and_stay_with_their_molecule(spark):
+    tiles = genome.tiled(spark.createDataFrame([("c", GENOME)], "seqnames string, seq string"))
+    rows = (1, "+", 3, "2=1X3=", "GTAGCA"), (1, "-", 2, "3=1X4=", "CGTAGCAA"), (2, "+", 3, "2=3D2=", "GTAA")
+    out = strands.all_calls(reads(spark, *rows), tiles)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("insertion") and sum("Generate" in line and "flatten" in line for line in plan.splitlines()) == 1
+    got = {(r.zm, r.strand, r.call_type, r.start_pos): r for r in out.collect()}
+    assert {k: v.asDict() for k, v in chain(spark, *rows).items()} == {k: v.asDict() for k, v in got.items()} and len(got) == 3
+
+
+def test_ranges_of_odd_strings(spark):
+    from strandlake.functions.sequences import cigar_ranges
+
+    rows = spark.createDataFrame([(1, "3S10=2X", 5), (2, "", 6), (3, None, 7), (4, "M5Q7D", 8)], "k long, cigar string, s long")
+    got = {r.k: r.o and [tuple(x) for x in r.o] for r in rows.select("k", cigar_ranges("cigar", "s").alias("o")).collect()}
+    assert got == {1: [("S", 3, 1, 3, 5, 4), ("=", 10, 4, 13, 5, 14), ("X", 2, 14, 15, 15, 16)], 2: [], 3: None, 4: [("D", 7, 1, 0, 8, 14)]}
