@@ -100,3 +100,16 @@ def test_ranges_of_odd_strings(spark):
     rows = spark.createDataFrame([(1, "3S10=2X", 5), (2, "", 6), (3, None, 7), (4, "M5Q7D", 8)], "k long, cigar string, s long")
     got = {r.k: r.o and [tuple(x) for x in r.o] for r in rows.select("k", cigar_ranges("cigar", "s").alias("o")).collect()}
     assert got == {1: [("S", 3, 1, 3, 5, 4), ("=", 10, 4, 13, 5, 14), ("X", 2, 14, 15, 15, 16)], 2: [], 3: None, 4: [("D", 7, 1, 0, 8, 14)]}
+
+
+def test_reads_of_a_pileup_move_once_by_place_and_count_as_before(spark):
+    from pyspark.sql import functions as F
+
+    from strandlake.operators import pileup
+
+    rows = reads(spark, *[(k, "+", 3, "2=1X3=", "GTAGCA") for k in range(50)], (90, "-", 2, "3=2D2=", "CGTCA")).withColumn("flag", F.lit(0))
+    counts = pileup.allele_counts(rows, 2)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert any("RepartitionByExpression" in line and "seqnames" in line and "start_pos" in line for line in plan.splitlines())
+    got = {r.pos: (r.n_a, r.n_c, r.n_g, r.n_t) for r in counts.collect()}
+    assert got == {2: (0, 1, 0, 0), 3: (0, 0, 1, 0), 4: (0, 0, 0, 51), 5: (50, 0, 0, 0), 6: (0, 0, 50, 0), 7: (0, 51, 0, 0), 8: (51, 0, 0, 0)}
