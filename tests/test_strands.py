@@ -113,3 +113,9 @@ def test_reads_of_a_pileup_move_once_by_place_and_count_as_before(spark):
     assert any("RepartitionByExpression" in line and "seqnames" in line and "start_pos" in line for line in plan.splitlines())
     got = {r.pos: (r.n_a, r.n_c, r.n_g, r.n_t) for r in counts.collect()}
     assert got == {2: (0, 1, 0, 0), 3: (0, 0, 1, 0), 4: (0, 0, 0, 51), 5: (50, 0, 0, 0), 6: (0, 0, 50, 0), 7: (0, 51, 0, 0), 8: (51, 0, 0, 0)}
+
+
+def test_call_places_need_no_values(spark):
+    some = reads(spark, (1, "+", 3, "2S2=2X1I2=3D1=", "AAGTAACGAC"), (1, "-", 2, "3=1X4=", "CGTAGCAA"), (2, "+", 5, "4=", "TGCA"))
+    names = ["zm", "strand", "kind", "call_type", "start_pos", "end_pos", "w"]
+    assert sorted(strands.call_sites(some).select(*names).collect()) == sorted(strands.extract_with_evidence(some).select(*names).collect())
