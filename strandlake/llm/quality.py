@@ -3,21 +3,17 @@
 from __future__ import annotations
 
 import math
-import pickle
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .classify import sampled
 from .common import documents, record, slices, stored, table, text_buffer, trimmed
 from .words import U64, mix, shingles, words
 
-#: Labelled documents that the forest and its threshold are fitted on, at most about; half of each label if so many.
-ROWS = 8000
-#: Trees, good documents per tree, depth, and the share of good labelled documents that may lie beyond the threshold.
-TREES, SAMPLE, DEPTH, LOST = 100, 256, 12, 0.004
+#: Trees, good documents that a tree's path lengths are those of, depth, and the share of good labelled documents that may lie beyond the threshold.
+TREES, SIZE, DEPTH, LOST = 100, 256, 12, 0.004
 _SPACES = " \t\n\x0b\x0c\r"
 
 STATS = "doc_id long,n_words long,word_chars long,n_symbols long,n_dup_lines long,n_repeat_words long"
@@ -75,43 +71,73 @@ def features(stats: list[np.ndarray]) -> np.ndarray:
     return np.stack([chars / per, np.sqrt(symbols / per), np.sqrt(lines / per), np.sqrt(repeats / per)], axis=1)
 
 
-def _path(n) -> float:
-    """The mean path length of an unsuccessful search among n values."""
-    return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+def _path(n: np.ndarray) -> np.ndarray:
+    """The mean path length of an unsuccessful search among n values, of any n that is not whole too."""
+    n = np.maximum(np.asarray(n, float), 1)
+    return np.where(n > 1, np.maximum(2 * (np.log(n - 0.5) + 0.5772156649 + 1 / (24 * (n - 0.5) ** 2)) - 2 * (n - 1) / n, 0), 0.0)
+
+
+class Splits:
+    """Whole binary trees whose splits are drawn from the box [low, high] that rows may lie in, whatever the rows.
+
+    Node k of a tree has the children 2k + 1 (up to the split) and 2k + 2.
+    """
+
+    def __init__(self, low: np.ndarray, high: np.ndarray, trees: int = TREES, depth: int = DEPTH, seed: int = 11):
+        rng = np.random.RandomState(seed)
+        self.trees, self.depth, self.feature, self.split = trees, depth, np.zeros((trees, (1 << depth) - 1), np.int8), np.zeros((trees, (1 << depth) - 1))
+        low, high = (np.broadcast_to(x, (trees, 1, len(x))).copy() for x in (low, high))
+        for level in range(depth):
+            f = rng.randint(low.shape[2], size=(trees, 1 << level))[..., None]
+            a, b = np.take_along_axis(low, f, 2), np.take_along_axis(high, f, 2)
+            split = a + (b - a) * rng.random_sample(f.shape)
+            own = slice((1 << level) - 1, (2 << level) - 1)
+            self.feature[:, own], self.split[:, own] = f[..., 0], split[..., 0]
+            below, above = high.copy(), low.copy()
+            np.put_along_axis(below, f, split, 2)
+            np.put_along_axis(above, f, split, 2)
+            low, high = (np.stack(x, 2).reshape(trees, 2 << level, -1) for x in ((low, above), (below, high)))
+
+    def counts(self, rows: np.ndarray) -> np.ndarray:
+        """Rows in each tree's parts at the full depth."""
+        every, out = np.arange(len(rows)), np.zeros((self.trees, 1 << self.depth), np.int64)
+        for k in range(self.trees):
+            at = np.zeros(len(rows), np.int64)
+            for _ in range(self.depth):
+                at = 2 * at + 1 + (rows[every, self.feature[k, at]] > self.split[k, at])
+            out[k] = np.bincount(at - (1 << self.depth) + 1, minlength=1 << self.depth)
+        return out
 
 
 class IsolationForest:
     """score(rows): 2 ** -(mean path length / that of a random search); near 1 for rows that few splits isolate.
 
-    Trees are grown on ordinary rows, with splits drawn from the whole box [low, high] that rows may lie in: what is
-    unlike all ordinary rows falls early into a part that holds none of them.
+    ``counts`` are how many of all ordinary rows lie in each tree's parts. A path ends where of ``size`` ordinary rows
+    at most one is to be expected: what is unlike all ordinary rows falls early into such a part.
     """
 
-    def __init__(self, rows: np.ndarray, low: np.ndarray, high: np.ndarray, trees: int = TREES, sample: int = SAMPLE, depth: int = DEPTH, seed: int = 11):
-        rng = np.random.RandomState(seed)
-        self.size, self.depth = min(sample, len(rows)), depth
-        self.trees = [self._grow(rows[rng.choice(len(rows), self.size, replace=False)], low, high, rng) for _ in range(trees)]
-
-    def _grow(self, rows: np.ndarray, low: np.ndarray, high: np.ndarray, rng) -> tuple[np.ndarray, ...]:
-        """(feature or -1, split, left, right, path length at the leaf) of the nodes."""
-        nodes: list[list] = []
-
-        def node(part: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int) -> int:
-            at = len(nodes)
-            nodes.append([-1, 0.0, at, at, depth + _path(len(part))])
-            if depth < self.depth and len(part) > 1:
-                f = rng.randint(len(low))
-                split = rng.uniform(low[f], high[f])
-                go = part[:, f] <= split
-                below, above = high.copy(), low.copy()
-                below[f] = above[f] = split
-                nodes[at][:2] = f, split
-                nodes[at][2] = node(part[go], low, below, depth + 1)
-                nodes[at][3] = node(part[~go], above, high, depth + 1)
-            return at
-
-        node(rows, low, high, 0)
-        return tuple(np.array(x) for x in zip(*nodes, strict=True))
+    def __init__(self, splits: Splits, counts: np.ndarray, size: int = SIZE):
+        self.size, self.depth, self.trees = int(min(size, counts[0].sum())), splits.depth, []
+        for k in range(splits.trees):
+            levels = [counts[k]]
+            while len(levels[0]) > 1:
+                levels.insert(0, levels[0].reshape(-1, 2).sum(axis=1))
+            expected = np.concatenate(levels) * (self.size / max(counts[k].sum(), 1))
+            inner = len(splits.feature[k])
+            ends = expected <= 1
+            ends[inner:] = True
+            reached = np.zeros(len(ends), bool)
+            reached[0] = True
+            for level in range(self.depth):
+                own = np.arange((1 << level) - 1, (2 << level) - 1)
+                reached[2 * own + 1] = reached[2 * own + 2] = reached[own] & ~ends[own]
+            kept = np.flatnonzero(reached)
+            place = np.cumsum(reached) - 1
+            goes = ~ends[kept]
+            child = np.where(goes, 2 * kept + 1, 0)
+            depth = np.floor(np.log2(kept + 1))
+            parent = np.minimum(kept, inner - 1)
+            self.trees.append((np.where(goes, splits.feature[k][parent], -1), splits.split[k][parent], place[child], place[np.where(goes, child + 1, 0)], depth + _path(expected[kept])))
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         total = np.zeros(len(rows))
@@ -123,34 +149,71 @@ class IsolationForest:
                 go = rows[every, np.maximum(f, 0)] <= split[at]
                 at = np.where(f < 0, at, np.where(go, left[at], right[at]))
             total += length[at]
-        return 2.0 ** (-total / len(self.trees) / max(_path(self.size), 1e-9))
+        return 2.0 ** (-total / len(self.trees) / max(float(_path(self.size)), 1e-9))
+
 
+def _batch_features(batch: pa.RecordBatch) -> np.ndarray:
+    return features([batch.column(i).to_numpy() for i in range(1, 6)])
 
-def fit_forest(stats: DataFrame, labels: DataFrame, rows: int = ROWS, lost: float = LOST) -> tuple[IsolationForest | None, float]:
-    """(forest, threshold) from about ``rows`` of the labelled documents (doc_id, quality 0/1) that the base rules keep.
 
-    The forest is grown on the good ones, in the box that all span. Its threshold is the score that a share of ``lost`` of the good ones exceed. Without
-    good labelled documents there is no forest, and the base rules decide alone.
+def _placed(scores: DataFrame, place: int) -> float:
+    """The value at a place of the sorted ``score`` column, 0 to 1: told from counts of ever smaller bins, so that nothing is sorted as a whole."""
+    low: Column = F.lit(True)
+    for bits in (12, 24, 0):
+        key = F.floor(F.col("score") * (1 << bits)) if bits else F.col("score")
+        for row in sorted(scores.where(low).groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()):  # 4097 bins at most, and the values of one of 2^-24
+            if place < row.n:
+                break
+            place -= row.n
+        low = low & (key == F.lit(row.k))
+    return float(row.k)
+
+
+def fit_forest(stats: DataFrame, labels: DataFrame, lost: float = LOST) -> tuple[IsolationForest | None, float]:
+    """(forest, threshold) from all labelled documents (doc_id, quality 0/1) that the base rules keep.
+
+    The trees' splits lie in the box that all of them span, and their parts count the good ones, each task for its own
+    rows. The threshold is the score that a share of ``lost`` of the good ones exceed. Without good labelled documents
+    there is no forest, and the base rules decide alone.
     """
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("label")).dropna().groupBy("doc_id").agg(F.min("label").alias("label"))
-    chosen, _ = sampled(known, rows)
     names = [c.split()[0] for c in STATS.split(",")[1:]]
-    sample = stats.where("NOT base_failed").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(*names)).alias("s"))  # at most ``rows`` rows
-    sample = sample.select("doc_id", "label", "s.*")
+    each = stats.where("NOT base_failed").join(known, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(*names)).alias("s"))
+    each = stored(each.select("doc_id", "s.*", "label"), "labelled")
+    good = each.where("label = 1")
 
-    def run(batches):
-        data = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
-        good = np.array([r[1] == 1 for r in data], bool)
-        if not good.any():
-            return
-        rows_ = features(list(np.array([r[2:] for r in data], float).T))
-        forest = IsolationForest(rows_[good], rows_.min(axis=0), rows_.max(axis=0))
-        scores = np.sort(forest.score(rows_[good]))
-        limit = float(scores[min(len(scores) - 1, math.ceil((1 - lost) * len(scores)))])
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((forest, limit))], pa.binary())], names=["model"])
-
-    got = sample.repartition(1).mapInArrow(trimmed(run), "model binary").collect()
-    return pickle.loads(got[0].model) if got else (None, math.inf)
+    def box(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = _batch_features(batch)
+                yield record("f int,low double,high double", list(range(x.shape[1])), x.min(axis=0), x.max(axis=0))
+
+    edges = sorted(each.mapInArrow(trimmed(box), "f int,low double,high double").groupBy("f").agg(F.min("low"), F.max("high")).collect())
+    n = good.count()
+    if not n:
+        return None, math.inf
+    splits = Splits(np.array([r[1] for r in edges]), np.array([r[2] for r in edges]))
+    sent = stats.sparkSession.sparkContext.broadcast(splits)
+
+    def count(batches):
+        total = np.zeros((TREES, 1 << DEPTH), np.int64)
+        for batch in batches:
+            total += sent.value.counts(_batch_features(batch))
+        tree, part = np.nonzero(total)
+        yield record("tree int,part int,n long", tree, part, total[tree, part])
+
+    counts = np.zeros((TREES, 1 << DEPTH), np.int64)
+    for r in good.mapInArrow(trimmed(count), "tree int,part int,n long").groupBy("tree", "part").agg(F.sum("n").alias("n")).toLocalIterator():  # a row for each part of each tree
+        counts[r.tree, r.part] = r.n
+    forest = IsolationForest(splits, counts)
+    judge_ = stats.sparkSession.sparkContext.broadcast(forest)
+
+    def score(batches):
+        for batch in batches:
+            yield record("score double", judge_.value.score(_batch_features(batch)))
+
+    scores = stored(good.mapInArrow(trimmed(score), "score double"), "scores")
+    return forest, _placed(scores, min(n - 1, math.ceil((1 - lost) * n)))
 
 
 def judge(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators with exact results against brute force on the small corpus."""
 
+import math
 import hashlib
 import os
 import random
@@ -239,6 +240,21 @@ def test_quality_rejects_what_no_good_document_looks_like(spark, docs, rows):
     assert all(r.kept != r.base_failed for r in none.values())
 
 
+def test_the_forest_and_its_threshold_are_of_all_labelled_documents(spark):
+    rows = [(k, 20 + k % 50, 100 + 7 * (k % 90), k % 3, k % 4, 0, False) for k in range(12000)]
+    stats = spark.createDataFrame(rows, quality.STATS + ",base_failed boolean")
+    labels = stats.select("doc_id", (F.col("doc_id") % 10 != 0).cast("int").alias("quality"))
+    forest, limit = quality.fit_forest(stats, labels)
+    x = quality.features(list(np.array([r[1:6] for r in rows if r[0] % 10], float).T))
+    scores = np.sort(forest.score(x))
+    assert limit == scores[min(len(scores) - 1, math.ceil((1 - quality.LOST) * len(scores)))]
+    every = quality.features(list(np.array([r[1:6] for r in rows], float).T))
+    splits = quality.Splits(every.min(axis=0), every.max(axis=0))
+    assert splits.counts(x).sum() == quality.TREES * 10800
+    assert np.array_equal(np.sort(quality.IsolationForest(splits, splits.counts(x)).score(x)), scores)
+    assert float(quality._path(2)) == pytest.approx(1, abs=0.01) and float(quality._path(1)) == 0
+
+
 def test_held_items_are_found(spark, docs, item, nothing):
     bench = spark.createDataFrame([(1, item), (2, "one"), (3, None), (4, "never said anywhere in here"), (5, "x " + item)], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(docs, bench).collect()}
