@@ -4,7 +4,7 @@ import random
 import time
 from collections import Counter
 
-from strandlake.operators import genome
+from strandlake.operators import genome, pileup
 
 
 def contig(n, seed=1):
@@ -43,3 +43,21 @@ def test_weighted_trinucleotides_at_edges_and_unknown_bases(spark):
     got = genome.trinucleotide_counts(spark.createDataFrame([("c", seq), ("d", "ac")], "seqnames string, seq string"))
     assert Counter({r.tnc: r.n for r in got.collect()}) == whole
     assert genome.weighted_trinucleotides(runs.limit(0), tiles).count() == 0
+
+
+def test_base_coverage_is_derived_once_and_right_at_a_contigs_ends(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    schema = "seqnames string, start_pos long, end_pos long, depth long"
+    runs = spark.createDataFrame([("c", 1, 3, 2), ("c", 6, 9, 1)], schema).mapInArrow(count, schema)
+    tiles = genome.tiled(spark.createDataFrame([("c", "ACGTNACGT")], "seqnames string, seq string"), 4, 2)
+    pileup.base_coverage(runs, tiles, 4).createOrReplaceTempView("each")
+    assert [tuple(r) for r in spark.sql("select pos, depth, reftnc from each order by pos").collect()] == [(1, 2, None), (2, 2, "ACG"), (3, 2, "CGT"), (6, 1, None), (7, 1, "ACG"), (8, 1, "CGT"), (9, 1, None)]
+    seen.value = 0
+    pileup.write_base_coverage(runs, genome.tiled(spark.createDataFrame([("c", "ACGTNACGT")], "seqnames string, seq string")), str(tmp_path / "out"))
+    assert seen.value == 2 and pileup.read_base_coverage(spark, str(tmp_path / "out")).count() == 7
