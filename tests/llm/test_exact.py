@@ -1,7 +1,7 @@
 """Operators with exact results against brute force on the small corpus."""
 
-import math
 import hashlib
+import math
 import os
 import random
 import re
