@@ -55,3 +55,14 @@ def test_modified_bases_alone_are_those_of_all_calls(spark):
     moved = plan(alone.select("zm", "strand", "start_pos"))
     assert "score" not in "".join(x for x in moved.splitlines() if "Exchange" in x or "Sort " in x)
     assert moved.count("Exchange ") == 1
+
+
+def test_alleles_come_to_the_reads(spark):
+    r, tiles = reads(spark), gn.tiled(spark.createDataFrame([("c", "ACGTACGTACGTACGTACGT")], "seqnames string, seq string"))
+    here = ev.vcf_alleles(st.calls_with_alleles(r, tiles))
+    joined = ev.vcf_alleles(st.with_reference(st.extract_with_evidence(r), tiles), tiles)
+    names = ["zm", "strand", "call_type", "start_pos", "end_pos", "pos", "ref", "alt"]
+    assert rows(here, *names) == rows(joined, *names)
+    assert (1, "+", "insertion", 1, 0, 0, "N", "NGG") in rows(here, *names) and (2, "+", "insertion", 6, 5, 5, "A", "AGG") in rows(here, *names)
+    moved = plan(here)
+    assert "Exchange" not in moved[: moved.index("Generate explode(") if "Generate explode(" in moved else moved.index("Generate ")]
