@@ -293,8 +293,10 @@ def error_probability(burden: DataFrame, shares: DataFrame) -> DataFrame:
     burden (channel, burden) holds all 192 channels; shares (tnc, share) those of trinucleotides on either strand.
     """
     ref, alt = F.substring("channel", 1, 3), F.substring("channel", 5, 3)
-    mirrored = burden.select(F.concat_ws(">", reverse_complement(ref), reverse_complement(alt)).alias("channel"), F.col("burden").alias("other"))
-    pairs = burden.where(F.substring("channel", 2, 1).isin("C", "T")).join(mirrored, "channel").withColumn("tnc", ref)
+    here = F.substring("channel", 2, 1).isin("C", "T")
+    folded = F.when(here, F.col("channel")).otherwise(F.concat_ws(">", reverse_complement(ref), reverse_complement(alt)))
+    pairs = burden.groupBy(folded.alias("channel")).agg(F.max(F.when(here, F.col("burden"))).alias("burden"), F.max(F.when(~here, F.col("burden"))).alias("other"))
+    pairs = pairs.where("burden IS NOT NULL AND other IS NOT NULL").withColumn("tnc", ref)
     both = shares.alias("s").join(shares.select(reverse_complement("tnc").alias("tnc"), F.col("share").alias("share_rc")), "tnc")
     return pairs.join(F.broadcast(both), "tnc").select("channel", (F.col("burden") * F.col("other") * (F.col("share") + F.col("share_rc"))).alias("error"))
 

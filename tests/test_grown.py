@@ -66,3 +66,18 @@ def test_alleles_come_to_the_reads(spark):
     assert (1, "+", "insertion", 1, 0, 0, "N", "NGG") in rows(here, *names) and (2, "+", "insertion", 6, 5, 5, "A", "AGG") in rows(here, *names)
     moved = plan(here)
     assert "Exchange" not in moved[: moved.index("Generate explode(") if "Generate explode(" in moved else moved.index("Generate ")]
+
+
+def test_contexts_are_cut_in_one_join_without_a_sort(spark):
+    tiles = gn.tiled(spark.createDataFrame([("c", "ACGTNCGTAC")], "seqnames string, seq string"), 4, 2)
+    points = spark.createDataFrame([("c", 1, "x"), ("c", 10, "y"), ("c", 5, "z"), ("c", 5, "z"), ("d", 5, "w"), (None, 5, "v")], "seqnames string, start_pos long, tile string")
+    df = gn.context(points, tiles, 1, 1, tile=4)
+    assert sorted((r.tile, r.context) for r in df.collect()) == [("v", None), ("w", None), ("x", "NAC"), ("y", "ACN"), ("z", "TNC"), ("z", "TNC")]
+    shown = plan(df)
+    assert shown.count("Exchange ") == 2 and "Sort " not in shown
+
+
+def test_error_probability_reads_burdens_once(spark):
+    burden = spark.createDataFrame([("ACA>ATA", 2.0), ("TGT>TAT", 3.0), ("ACC>ATC", 5.0)], "channel string, burden double")
+    shares = spark.createDataFrame([("ACA", 0.5), ("TGT", 0.25), ("ACC", 0.1), ("GGT", 0.15)], "tnc string, share double")
+    assert rows(sp.error_probability(burden, shares), "channel", "error") == [("ACA>ATA", 4.5)]
