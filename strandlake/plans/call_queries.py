@@ -84,9 +84,9 @@ def c11_oriented(s, d):
 _VAR = "vars as (select distinct seqnames, start_pos, end_pos, call_type, alt_code, case when zm % 2 = 0 then 'deep' else 'shallow' end as germline_type, 10 + zm % 30 as depth, 20 + zm % 50 as qual, (zm % 100)::double / 100 as vaf from fx_call where zm % 6 = 0)"
 
 
-def _variants(s, d):
+def _variants(s, d, calls=None):
     z = F.col("zm")
-    return fx.calls(s, d).where("zm % 6 = 0").select("seqnames", "start_pos", "end_pos", "call_type", "alt_code", F.when(z % 2 == 0, "deep").otherwise("shallow").alias("germline_type"), (10 + z % 30).alias("depth"), (20 + z % 50).alias("qual"), ((z % 100).cast("double") / 100).alias("vaf")).distinct()
+    return (calls or fx.calls(s, d)).where("zm % 6 = 0").select("seqnames", "start_pos", "end_pos", "call_type", "alt_code", F.when(z % 2 == 0, "deep").otherwise("shallow").alias("germline_type"), (10 + z % 30).alias("depth"), (20 + z % 50).alias("qual"), ((z % 100).cast("double") / 100).alias("vaf")).distinct()
 
 
 @query("f4_select_germline", _VAR + " select * from vars where (germline_type = 'deep' and depth >= 20 and qual >= 30 and vaf >= 0.1) or (germline_type = 'shallow' and depth >= 15 and qual >= 25 and vaf >= 0.2)")
@@ -114,7 +114,7 @@ def f9_read_trim(s, d):
 @query("f10_sbs_flank", f"""SELECT {SITE}, not exists (select 1 from fx_call o, lateral (select greatest(o.start_pos - 2, 1) as s, o.start_pos - 1 as e union all select o.end_pos + 1, o.end_pos + 2) f where o.call_type = 'SBS' and o.run_id = c.run_id and o.zm = c.zm and o.seqnames = c.seqnames
  and ((c.start_pos <= f.e and c.end_pos >= f.s) or (c.start_pos = c.end_pos + 1 and f.s <= f.e and c.start_pos <= f.e + 1 and c.end_pos >= f.s - 1))) as flank_pass from fx_call c""")
 def f10_sbs_flank(s, d):
-    return cl.sbs_flank(fx.calls(s, d), 2).select(*_SITE, "flank_pass")
+    return cl.sbs_flank(fx.calls_by(s, d, "run_id", "zm", "seqnames"), 2).select(*_SITE, "flank_pass")
 
 
 @query("f11_indel_pad", f"SELECT {SITE}, c.call_type <> 'SBS' or not exists (select 1 from fx_call o where o.call_type <> 'SBS' and o.run_id = c.run_id and o.zm = c.zm and c.start_pos <= o.end_pos + greatest(2 * o.w, 15) and c.end_pos >= greatest(o.start_pos - greatest(2 * o.w, 15), 1)) as indel_pass from fx_call c")

@@ -26,6 +26,14 @@ def rows(df, *columns):
 CALL = "run_id string, zm long, strand string, seqnames string, call_type string, start_pos long, end_pos long"
 
 
+def test_sbs_flank_meets_a_molecule_once(spark):
+    calls = [("r", 1, "+", "c", "SBS", 10, 10), ("r", 1, "-", "c", "SBS", 12, 12), ("r", 1, "+", "c", "insertion", 15, 14), ("r", 1, "+", "c", "insertion", 16, 15), ("r", 1, "+", "c", "deletion", 20, 22), ("r", 2, "+", "c", "SBS", 11, 11), (None, 3, "+", "c", "SBS", 5, 5), (None, 3, "+", "c", "SBS", 6, 6)]
+    df = cl.sbs_flank(spark.createDataFrame(calls, CALL), 2)
+    passed = {(r.zm, r.start_pos): r.flank_pass for r in df.collect()}
+    assert passed == {(1, 10): False, (1, 12): False, (1, 15): False, (1, 16): True, (1, 20): True, (2, 11): True, (3, 5): True, (3, 6): True}
+    assert plan(df).count("Exchange ") == 1
+
+
 READ = "run_id string, zm long, seqnames string, strand string, start_pos long, end_pos long"
 
 
