@@ -114,7 +114,9 @@ def f21_exempt_copies(s, d):
 
 @query("g26_germline_calls", _MATCH + f" select {SITE} from m c where not germline_pass and other_pass")
 def g26_germline_calls(s, d):
-    m = cl.match_variants(fx.calls(s, d), _variants(s, d), ["seqnames", "start_pos", "end_pos", "call_type", "alt_code"])
+    on = ["seqnames", "start_pos", "end_pos", "call_type", "alt_code"]
+    c = fx.calls_by(s, d, *on)
+    m = cl.match_variants(c, _variants(s, d, c), on)
     return m.where("NOT germline_pass AND zm % 5 <> 0").select(*_SITE)
 
 

@@ -34,6 +34,12 @@ def test_sbs_flank_meets_a_molecule_once(spark):
     assert plan(df).count("Exchange ") == 1
 
 
+@pytest.mark.parametrize("name", ["f10_sbs_flank", "g26_germline_calls"])
+def test_calls_are_dealt_to_tasks_of_one_size(spark, name):
+    shown = plan(catalog.QUERIES[name](spark, SF))
+    assert "REPARTITION_BY_NUM" in shown and "ENSURE_REQUIREMENTS" not in shown
+
+
 READ = "run_id string, zm long, seqnames string, strand string, start_pos long, end_pos long"
 
 
