@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.sequences import cigar_ranges
+from ..functions.sequences import reference_length
 from ..operators.intervals import restrict
 
 
@@ -29,8 +29,8 @@ def parse_sam(lines: DataFrame) -> DataFrame:
         F.map_from_entries(F.transform(F.slice(f, 12, F.greatest(F.size(f) - 11, F.lit(0))), lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.substr(t, F.lit(6)).alias("v")))).alias("tags"),
     )
     rows = rows.withColumn("strand", F.when(F.col("flag").bitwiseAND(16) > 0, "-").otherwise("+")).withColumn("ccs_strand", F.regexp_extract("qname", "(fwd|rev)$", 1))
-    ranges = cigar_ranges("cigar", "start_pos")
-    return rows.withColumn("end_pos", F.try_element_at(F.transform(ranges, lambda o: o["r_end"]), F.lit(-1)))
+    some = F.col("cigar").rlike("[0-9][MIDNSHP=X]")
+    return rows.withColumn("end_pos", F.when(some, F.col("start_pos") + reference_length("cigar") - 1))
 
 
 def parse_read_groups(lines: DataFrame) -> DataFrame:

@@ -40,6 +40,13 @@ def test_calls_are_dealt_to_tasks_of_one_size(spark, name):
     assert "REPARTITION_BY_NUM" in shown and "ENSURE_REQUIREMENTS" not in shown
 
 
+def test_sam_ends_without_python(spark):
+    line = lambda cigar, start=100: ("\t".join(["q/fwd", "0", "c", str(start), "60", cigar, "*", "0", "0", "AC", "!!", "ec:f:3"]),)
+    df = tx.parse_sam(spark.createDataFrame([line("5S10=2I3D4X7S"), line("*"), line("4S6I"), line("10M5N10M2H")], "value string"))
+    assert rows(df.na.fill(-1, ["end_pos"]), "cigar", "end_pos") == [("*", -1), ("10M5N10M2H", 124), ("4S6I", 99), ("5S10=2I3D4X7S", 116)]
+    assert "EvalPython" not in plan(df)
+
+
 READ = "run_id string, zm long, seqnames string, strand string, start_pos long, end_pos long"
 
 
