@@ -50,6 +50,21 @@ def test_sam_ends_without_python(spark):
 READ = "run_id string, zm long, seqnames string, strand string, start_pos long, end_pos long"
 
 
+def test_strands_of_a_molecule_meet_once(spark):
+    k = ["run_id", "zm", "seqnames"]
+    some = [("r", 1, "c", "+", 1, 100), ("r", 1, "c", "-", 50, 60), ("r", 1, "c", "-", 61, 70), ("r", 1, "c", "-", 65, 68), ("r", 1, "c", "-", 90, 120), ("r", 2, "c", "+", 1, 9), ("r", 3, "c", "-", 5, 9), (None, 4, "c", "+", 1, 9), (None, 4, "c", "-", 1, 9)]
+    df = spark.createDataFrame(some, READ)
+    both, one = iv.duplex(df, k), iv.non_duplex(df, k)
+    assert rows(both, "zm", "strand", "start_pos", "end_pos") == [(1, "+", 50, 70), (1, "+", 90, 100), (1, "-", 50, 60), (1, "-", 61, 70), (1, "-", 65, 68), (1, "-", 90, 100)]
+    assert rows(one, "zm", "strand", "start_pos", "end_pos") == [(1, "+", 1, 49), (1, "+", 71, 89), (1, "-", 101, 120), (2, "+", 1, 9), (3, "-", 5, 9), (4, "+", 1, 9), (4, "-", 1, 9)]
+    assert plan(both).count("Exchange ") == 1 and plan(one).count("Exchange ") == 1
+
+
+def test_zero_width_rows_of_one_strand_stay_unless_inside_the_other(spark):
+    some = [("r", 1, "c", "+", 5, 4), ("r", 1, "c", "+", 8, 7), ("r", 1, "c", "-", 5, 9)]
+    assert rows(iv.non_duplex(spark.createDataFrame(some, READ), ["run_id", "zm", "seqnames"]), "strand", "start_pos", "end_pos") == [("+", 5, 4), ("-", 5, 9)]
+
+
 def test_scores_at_least(spark):
     df = spark.createDataFrame([(1, [0.5, 0.9, None, float("nan"), 0.97]), (2, []), (3, None), (4, [1.0])], "k int, s array<double>").select("k", sq.at_least("s", 0.9).alias("h"))
     assert {r.k: r.h and [x.q for x in r.h] for r in df.collect()} == {1: [2, 4, 5], 2: [], 3: None, 4: [1]}
