@@ -65,6 +65,16 @@ def test_zero_width_rows_of_one_strand_stay_unless_inside_the_other(spark):
     assert rows(iv.non_duplex(spark.createDataFrame(some, READ), ["run_id", "zm", "seqnames"]), "strand", "start_pos", "end_pos") == [("+", 5, 4), ("-", 5, 9)]
 
 
+def test_waterfall_is_one_sweep(spark):
+    at = lambda *x: spark.createDataFrame(list(x), "seqnames string, start_pos long, end_pos long")
+    whole = at(("a", 1, 100), ("a", 91, 110), ("b", 1, 10), (None, 1, 5))
+    masks = [("one", at(("a", 11, 20), ("a", 15, 30), ("a", 200, 300), (None, 1, 5), ("a", 3, 2))), ("two", at(("a", 21, 40), ("a", 95, 95), ("b", 10, 30))), ("none", at())]
+    for tile in (1 << 20, 8):
+        df = iv.waterfall(whole, masks, tile)
+        assert [tuple(r) for r in df.orderBy("step").collect()] == [(0, "one", 20, 115), (1, "two", 23, 102), (2, "none", 0, 102)]
+    assert plan(df).count("Exchange ") == plan(iv.waterfall(whole, masks[:1])).count("Exchange ")
+
+
 def test_scores_at_least(spark):
     df = spark.createDataFrame([(1, [0.5, 0.9, None, float("nan"), 0.97]), (2, []), (3, None), (4, [1.0])], "k int, s array<double>").select("k", sq.at_least("s", 0.9).alias("h"))
     assert {r.k: r.h and [x.q for x in r.h] for r in df.collect()} == {1: [2, 4, 5], 2: [], 3: None, 4: [1]}
