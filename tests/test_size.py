@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strandlake.operators import pileup, strands
+from strandlake.operators import pileup, strands, tracker
 
 
 def plan(df):
@@ -38,3 +38,51 @@ def test_call_places_with_alleles_need_no_other_read(spark):
     some = strands.call_sites(reads, alleles=True).select(*names)
     assert sorted(some.collect()) == sorted(strands.extract_with_evidence(reads).select(*names).collect()) and some.count() == 4
     assert "Window" not in plan(some)
+
+
+CALL = "run_id string, zm long, strand string, seqnames string, call_type string, start_pos long, end_pos long"
+
+
+def test_calls_are_told_beside_the_masks_of_their_molecule(spark):
+    calls = [("r", 1, "+", "c", "insertion", 10, 9), ("r", 1, "+", "c", "insertion", 12, 11), ("r", 1, "-", "c", "deletion", 20, 22), ("r", 1, "-", "c", "deletion", 20, 22), ("r", 2, "+", "c", "SBS", 9, 9), (None, 3, "+", "c", "SBS", 5, 5), ("r", 4, "+", "d", "insertion", 31, 30)]
+    span = "run_id string, zm long, seqnames string, start_pos long, end_pos long"
+    masks = [
+        ("low", spark.createDataFrame([("r", 1, "c", [9, 10, 11]), ("r", 2, "c", [8, 10]), ("r", 5, "c", [])], "run_id string, zm long, seqnames string, places array<long>")),
+        ("wide", spark.createDataFrame([("r", 1, "c", 11, 12), ("r", 1, "c", 22, 21), ("r", 1, "c", 23, 22), (None, 3, "c", 1, 9), ("r", 1, "c", None, 30)], span)),
+        ("beside", spark.createDataFrame([("r", 1, "c", 12, 15), ("r", 1, "c", 23, 30)], span)),
+        ("all", spark.createDataFrame([("c", 20, 20), ("c", 5, 5), ("d", 31, 40)], "seqnames string, start_pos long, end_pos long")),
+    ]
+    out = tracker.failed_filters(spark.createDataFrame(calls, CALL), masks, ["beside"], {"all": "zm = 3"}, ["all"])
+    # an insertion between two single places is in neither; a deletion holds the place of an interval without width
+    assert sorted((r.zm, r.start_pos, r.bits) for r in out.collect()) == [(1, 10, 0), (1, 12, 2 + 4), (1, 20, 2 + 8), (1, 20, 2 + 8), (2, 9, 0), (3, 5, 0), (4, 31, 8)]
+    assert not any("Join" in line and "zm" in line for line in plan(out).splitlines())
+
+
+@pytest.mark.parametrize("rows", [3, 10_000])
+def test_summed_pieces_are_those_of_the_sweep(spark, rows):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        reads = spark.createDataFrame([("r", 1, "+", "c", 5, 60), ("r", 1, "-", "c", 8, 61), ("r", 2, "+", "c", 30, 30), ("r", None, "+", "c", 1, 3), ("r", None, "-", "c", 1, 3)], "run_id string, zm long, strand string, seqnames string, start_pos long, end_pos long")
+        masks = [("a", spark.createDataFrame([("r", 1, "c", [7, 9, 10, 61]), ("r", 2, "c", [30])], "run_id string, zm long, seqnames string, places array<long>")), ("b", spark.createDataFrame([("c", 2, 9), ("c", 40, 45)], "seqnames string, start_pos long, end_pos long"))]
+        each = tracker.sweep(reads, masks).select("zm", "strand", "bits", F.explode(F.sequence("start_pos", "end_pos")).alias("p")).groupBy("zm", "strand", "bits").agg(F.count("p").alias("bases"), F.sum("p").alias("places"))
+        got, want = (sorted(map(str, x.collect())) for x in (tracker.sweep(reads, masks, summed=True).select("zm", "strand", "bits", "bases", "places"), each))
+        assert got == want and len(got) == 13
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_own_masks_are_those_told_one_by_one(spark):
+    rows = [("r", 1, "+", "c", 3, "2S2=2X1I2=3D1=", "AAGTAACGAC", [9, 9, 1, None, 9, 9, 2, 9, 9, 1], 0), ("r", 2, "-", "d", 5, "4=", "TGCA", [1, 9], 0), ("r", 3, "+", "c", 1, "1I3=", "TGCA", None, 0), ("r", 4, "+", "c", 1, None, None, [9], 0)]
+    reads = spark.createDataFrame(rows, READ).withColumns({"sa": F.col("qual"), "sm": F.transform("qual", lambda x, i: x % (i + 2)), "sx": F.col("qual"), "end_pos": F.col("start_pos") + 9})
+    calls = strands.call_sites(reads)
+    each = [("q", tracker.quality_mask(reads, 3)), ("t", tracker.trim_mask(reads, 4)), ("f", tracker.flank_mask(calls, 2)), ("i", tracker.indel_mask(calls, "m2b1", "m1b3")), ("s", tracker.subread_mask(reads, 0.2, 1, 0.3))]
+    names = [n for n, _ in each]
+    own = tracker.own_masks(reads, names, {"subreads": ("s", 0.2, 1, 0.3), "quality": ("q", 3), "trim": ("t", 4), "flank": ("f", 2), "indels": ("i", "m2b1", "m1b3")})
+    got = []
+    for r in own.collect():
+        got += [(r.zm, r.own_spans[k].bit_length() - 1, r.own_spans[k + 1], r.own_spans[k + 2]) for k in range(0, len(r.own_spans), 3)] + [(r.zm, p % 64, p // 64, p // 64) for p in r.own_places]
+    want = [(r.zm, k, r.start_pos, r.end_pos) for k, (_, m) in enumerate(each) for r in tracker._intervals(m).select("zm", "start_pos", "end_pos").collect()]
+    assert sorted(got) == sorted(want) and len(got) > 30
+    span = reads.select("run_id", "zm", "strand", "seqnames", "start_pos", "end_pos")
+    a, b = (sorted(map(tuple, x.collect())) for x in (tracker.sweep(span, each, summed=True), tracker.sweep(span, [(n, None) for n in names], summed=True, own=own)))
+    assert a == b
