@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strandlake.operators import pileup, strands, tracker
+from strandlake.operators import genome, pileup, strands, tracker
 
 
 def plan(df):
@@ -86,3 +86,17 @@ def test_own_masks_are_those_told_one_by_one(spark):
     span = reads.select("run_id", "zm", "strand", "seqnames", "start_pos", "end_pos")
     a, b = (sorted(map(tuple, x.collect())) for x in (tracker.sweep(span, each, summed=True), tracker.sweep(span, [(n, None) for n in names], summed=True, own=own)))
     assert a == b
+
+
+def test_coverage_rows_come_from_tasks_that_numpy_fills(spark, monkeypatch):
+    monkeypatch.setattr(pileup, "_ROWS", 3)
+    seq = "ACGTNACGTAC"
+    tiles = genome.tiled(spark.createDataFrame([("c", seq), ("d", "AC")], "seqnames string, seq string"), 4, 2)
+    runs = [("c", 1, 2, 5), ("c", 3, 3, 1), ("c", 6, 11, 2), ("d", 1, 3, 7)]  # the last ends beyond its contig
+    df = pileup.base_coverage(spark.createDataFrame(runs, "seqnames string, start_pos long, end_pos long, depth long"), tiles, 4, tasks=5)
+    known = {"c": seq, "d": "AC"}
+    tnc = lambda c, p: t if len(t := known[c][max(p - 2, 0) : p + 1]) == 3 and p > 1 and "N" not in t else None
+    want = sorted((c, p, n, str(tnc(c, p))) for c, s, e, n in runs for p in range(s, min(e, (len(known[c]) + 3) // 4 * 4) + 1))
+    assert sorted((r.seqnames, r.pos, r.depth, str(r.reftnc)) for r in df.collect()) == want
+    shown = plan(df)
+    assert "sequence(low" not in shown and shown.count("REPARTITION_BY_NUM") == 2
