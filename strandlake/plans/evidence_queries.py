@@ -86,7 +86,7 @@ def f7_unknown_bases(s, d):
 @query("f8_min_quality", f"SELECT {SITE}, not exists (select 1 from fx_read r, lateral (select unnest(generate_series(c.start_pos, c.end_pos)) as p) t where r.run_id = c.run_id and r.zm = c.zm and t.p between r.start_pos and r.end_pos and (r.zm + t.p - r.start_pos) % 94 < 4) as qual_pass from fx_call c where c.call_type <> 'insertion'")
 def f8_min_quality(s, d):
     qual = F.transform(F.sequence(F.lit(0).cast("long"), F.col("end_pos") - F.col("start_pos")), lambda i: ((F.col("zm") + i) % 94).cast("int"))
-    low = cl.positions_below(fx.reads(s, d).withColumn("qual", qual), "qual", 4)
+    low = ev.low_places(fx.reads(s, d).withColumn("qual", qual), "qual", 4)
     return ev.low_quality_filter(fx.calls(s, d).where("call_type <> 'insertion'"), low).select(*_SITE, "qual_pass")
 
 

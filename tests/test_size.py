@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strandlake.operators import genome, pileup, strands, tracker
+from strandlake.operators import calls as calls_module
+from strandlake.operators import evidence, genome, pileup, strands, tracker
 
 
 def plan(df):
@@ -100,3 +101,14 @@ def test_coverage_rows_come_from_tasks_that_numpy_fills(spark, monkeypatch):
     assert sorted((r.seqnames, r.pos, r.depth, str(r.reftnc)) for r in df.collect()) == want
     shown = plan(df)
     assert "sequence(low" not in shown and shown.count("REPARTITION_BY_NUM") == 2
+
+
+def test_low_quality_of_a_read_is_one_row(spark):
+    reads = spark.createDataFrame([("r", 1, "c", 5, [9, 1, None, 1, 9]), ("r", 1, "c", 6, [9, 9, 9, 9, 1]), ("r", 2, "c", 5, None), ("r", 3, "d", 1, [])], "run_id string, zm long, seqnames string, start_pos long, qual array<int>")
+    low = evidence.low_places(reads, "qual", 4)
+    assert sorted((r.zm, r.places) for r in low.collect()) == [(1, [6, 8]), (1, [10]), (2, []), (3, [])]
+    calls = [("r", 1, "+", "c", "SBS", k, k) for k in range(5, 12)] + [("r", 1, "-", "c", "deletion", 9, 10), ("r", 2, "+", "c", "SBS", 6, 6), (None, 1, "+", "c", "SBS", 6, 6)]
+    df = spark.createDataFrame(calls, CALL)
+    each = calls_module.positions_below(reads, "qual", 4)
+    a, b = (sorted(map(str, evidence.low_quality_filter(df, x).select(*df.columns, "qual_pass").collect())) for x in (low, each))
+    assert a == b and sum("qual_pass=False" in x for x in a) == 4
