@@ -112,3 +112,16 @@ def test_low_quality_of_a_read_is_one_row(spark):
     each = calls_module.positions_below(reads, "qual", 4)
     a, b = (sorted(map(str, evidence.low_quality_filter(df, x).select(*df.columns, "qual_pass").collect())) for x in (low, each))
     assert a == b and sum("qual_pass=False" in x for x in a) == 4
+
+
+def test_contexts_of_calls_come_with_the_reads(spark):
+    genome_seq = "ACGTTGCAACGGNTTCCAGT"
+    tiles = genome.tiled(spark.createDataFrame([("c", genome_seq)], "seqnames string, seq string"))
+    rows = [("r", 1, "+", "c", 1, "1X2=1X2=1I3=", "TCGATGACAA", [9] * 10, 0), ("r", 1, "-", "c", 1, "1X2=1X4=", "TCGATGCA", [9] * 8, 0), ("r", 2, "+", "c", 9, "3=1X1=1X2D1=1X3=", "ACGANACCAGT"[:11], [9] * 11, 0), ("r", 3, "+", "c", 18, "2=1X", "AGA", [9] * 3, 0)]
+    reads = spark.createDataFrame(rows, READ).withColumns({n: F.col("qual") for n in ("sa", "sm", "sx")} | {"bc_orientation": F.lit("a-b"), "end_pos": F.col("start_pos")})
+    names = ["zm", "strand", "call_type", "start_pos", "end_pos", "call_class", "ref_plus_strand", "reftnc", "reftnc_pyr"]
+    here = strands.all_calls(reads, tiles, contexts=True).where("kind <> 'indel'").select(*names)
+    joined = genome.trinucleotides(strands.all_calls(reads, tiles), tiles).where("kind <> 'indel'").select(*names)
+    a, b = (sorted(map(str, x.collect())) for x in (here, joined))
+    assert a == b and any("reftnc=None" in x for x in a) and any("reftnc='GTT'" in x for x in a)
+    assert plan(here).count("Join") < plan(joined).count("Join")
